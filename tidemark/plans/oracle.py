@@ -121,3 +121,82 @@ def as_of_signals_sql(src_ctes: str, as_of: str, factor=3, months: int = 2) -> s
         f"AND vs._file_date >= DATE '{as_of}' - INTERVAL '{months} months'"
     )
     return f"WITH {src_ctes}, {silver_ctes('bars', as_of, factor)}\n" + gold_select(where, factor)
+
+
+# ------------------------------------------------------- X2 raw files (text)
+_SUFFIX = "CASE _key % 10 WHEN 0 THEN 'BEES' WHEN 1 THEN 'ETF' WHEN 2 THEN 'SDLX' WHEN 3 THEN 'BEESX' ELSE '' END"
+EXCLUDE_REGEX = (
+    "BEES$|ETF$|IETF$|CASE$|ADD$|GOLD$|SILVER$|LIQUID$|BETA$|GILT$|NIFTY$|SDL|ADD$|VALUE$|QUAL$|MOM$|"
+    "ALPHA$|LOWVOL$|^HEALTHY$|^CONSUMER$|^FINANCE$|^MOGSEC$|^MOMENTUM$|^NIFTY50$|^GROWWLIQID$"
+)
+HEADER = (
+    "SYMBOL, SERIES, DATE1, PREV_CLOSE, OPEN_PRICE, HIGH_PRICE, LOW_PRICE, LAST_PRICE, CLOSE_PRICE, "
+    "AVG_PRICE, TTL_TRD_QNTY, TURNOVER_LACS, NO_OF_TRADES, DELIV_QTY, DELIV_PER"
+)
+
+X2 = f"""
+SELECT x1.*,
+       'S' || lpad(CAST(_key AS VARCHAR), 6, '0') || {_SUFFIX} AS x2_symbol,
+       CASE WHEN _key % 10 = 9 THEN 'BE' ELSE 'EQ' END AS x2_series,
+       'sec_bhavdata_full_' || strftime(_file_date, '%d%m%Y') || '.csv' AS filename
+FROM x1
+"""
+
+X2_FIELDS = """
+SELECT ' ' || CASE WHEN _key % 4 = 1 THEN lower(x2_symbol) ELSE x2_symbol END || ' ' AS SYMBOL,
+       ' ' || x2_series AS SERIES,
+       ' ' || strftime(_file_date, '%d-%b-%Y') AS DATE1,
+       ' ' || CAST(close_price AS VARCHAR) AS PREV_CLOSE,
+       ' ' || CAST(open_price AS VARCHAR) AS OPEN_PRICE,
+       ' ' || CAST(high_price AS VARCHAR) AS HIGH_PRICE,
+       ' ' || CAST(low_price AS VARCHAR) AS LOW_PRICE,
+       ' ' || CAST(close_price AS VARCHAR) AS LAST_PRICE,
+       ' ' || CAST(close_price AS VARCHAR) AS CLOSE_PRICE,
+       ' ' || CAST(close_price AS VARCHAR) AS AVG_PRICE,
+       ' ' || CAST(TTL_TRD_QNTY AS VARCHAR) AS TTL_TRD_QNTY,
+       ' -' AS TURNOVER_LACS,
+       ' ' || CAST(TTL_TRD_QNTY AS VARCHAR) AS NO_OF_TRADES,
+       ' ' || CASE WHEN DELIV_QTY = 0 THEN '' ELSE CAST(DELIV_QTY AS VARCHAR) END AS DELIV_QTY,
+       CASE WHEN DELIV_QTY = 0 THEN NULL ELSE CAST(DELIV_QTY * 100 // TTL_TRD_QNTY AS VARCHAR) END AS DELIV_PER,
+       filename AS _source_file,
+       _file_date,
+       x2_symbol, x2_series, _key
+FROM x2
+"""
+
+X2_LINE = """
+SELECT filename, _file_date,
+       SYMBOL || ',' || SERIES || ',' || DATE1 || ',' || PREV_CLOSE || ',' || OPEN_PRICE || ',' || HIGH_PRICE || ','
+       || LOW_PRICE || ',' || LAST_PRICE || ',' || CLOSE_PRICE || ',' || AVG_PRICE || ',' || TTL_TRD_QNTY || ','
+       || TURNOVER_LACS || ',' || NO_OF_TRADES || ',' || DELIV_QTY || ',' || COALESCE(DELIV_PER, 'NA') AS line
+FROM (SELECT *, _source_file AS filename FROM x2f)
+"""
+
+X2_RAW = f"""
+SELECT filename, '{HEADER}' || chr(10) || string_agg(line, chr(10) ORDER BY line) || chr(10) AS content
+FROM x2line GROUP BY filename
+"""
+
+KEEP = f"x2_series = 'EQ' AND NOT regexp_matches(x2_symbol, '{EXCLUDE_REGEX}')"
+
+
+def x2_ctes() -> str:
+    return (
+        f"x1 AS ({X1}), x2 AS ({X2}), x2f AS ({X2_FIELDS}), x2line AS ({X2_LINE}), "
+        f"x2raw AS ({X2_RAW})"
+    )
+
+
+PARSED_COLUMNS = (
+    "SYMBOL, SERIES, DATE1, PREV_CLOSE, OPEN_PRICE, HIGH_PRICE, LOW_PRICE, LAST_PRICE, CLOSE_PRICE, "
+    "AVG_PRICE, TTL_TRD_QNTY, TURNOVER_LACS, NO_OF_TRADES, DELIV_QTY, DELIV_PER, _source_file, _file_date"
+)
+
+# Bars that survive the text round trip: stocks only, blank delivery -> NULL.
+X2_BARS = f"""
+SELECT x2_symbol AS symbol, open_price, high_price, low_price, close_price, TTL_TRD_QNTY,
+       NULLIF(DELIV_QTY, 0) AS DELIV_QTY, _file_date
+FROM x2 WHERE {KEEP}
+"""
+
+EVEN_DAY = "day(_file_date) % 2 = 0"

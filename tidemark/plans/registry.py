@@ -11,9 +11,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import file_date_from_name
 from tidemark.operators import gold, silver
 from tidemark.plans import oracle as O
+from tidemark.session import scratch_dir
+from tidemark.sources import bhavcopy, landing
 from tidemark.sources import fixtures as X
 
 # Latest ship date at every scale: the default anchor.
@@ -110,3 +114,67 @@ def q_weekly_signal_history(spark, sf):
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signal history at factor 2 (factor 3 has no signal at sf0.001)."""
     return gold.weekly_signal_history(X.bars(spark, sf_dir), LATEST, factor=2)
+
+
+# -------------------------------------------------------- bronze (X2 raw files)
+_NO_LOAD_TIME = [c for c in bhavcopy.BRONZE_COLUMNS if c != "_loaded_at"]
+
+
+@register("parse_bhavcopy", f"WITH {O.x2_ctes()}\nSELECT {O.PARSED_COLUMNS} FROM x2f")
+def q_parse_bhavcopy(spark, sf):
+    return bhavcopy.parse_bhavcopy(X.raw_files(spark, sf)).select(*_NO_LOAD_TIME)
+
+
+@register(
+    "stock_filter",
+    f"WITH {O.x2_ctes()}\n"
+    f"SELECT x2_symbol AS SYMBOL, x2_series AS SERIES, _source_file, _file_date FROM x2f WHERE {O.KEEP}",
+)
+def q_stock_filter(spark, sf):
+    parsed = bhavcopy.parse_bhavcopy(X.raw_files(spark, sf))
+    return bhavcopy.stock_filter(parsed).select("SYMBOL", "SERIES", "_source_file", "_file_date")
+
+
+@register("clean_bars", f"WITH {O.x2_ctes()}\n{O.X2_BARS}")
+def q_clean_bars(spark, sf):
+    return silver.clean_bars(bhavcopy.bronze_rows(X.raw_files(spark, sf)))
+
+
+@register(
+    "ingest_counts",
+    f"WITH {O.x2_ctes()}\n"
+    "SELECT _source_file, COUNT(*) AS rows_read,\n"
+    f"       COUNT(CASE WHEN {O.KEEP} THEN 1 END) AS rows_kept\n"
+    "FROM x2f GROUP BY _source_file",
+)
+def q_ingest_counts(spark, sf):
+    return bhavcopy.ingest_counts(bhavcopy.parse_bhavcopy(X.raw_files(spark, sf)))
+
+
+def _even_day_bronze(raw: DataFrame) -> DataFrame:
+    """Bronze already holding the files of even days of the month."""
+    return bhavcopy.bronze_rows(raw.filter(F.dayofmonth(file_date_from_name("filename")) % 2 == 0))
+
+
+@register(
+    "pending_files",
+    f"WITH {O.x2_ctes()}, done AS (SELECT DISTINCT _source_file FROM x2f WHERE {O.EVEN_DAY} AND {O.KEEP})\n"
+    "SELECT filename, content FROM x2raw WHERE filename NOT IN (SELECT _source_file FROM done)",
+)
+def q_pending_files(spark, sf):
+    raw = X.raw_files(spark, sf)
+    return landing.pending_files(raw, _even_day_bronze(raw))
+
+
+@register(
+    "land_files",
+    f"WITH {O.x2_ctes()}\n"
+    "SELECT filename, content FROM x2raw\n"
+    "WHERE day(strptime(regexp_extract(filename, '([0-9]{8})', 1), '%d%m%Y')) % 2 = 1",
+)
+def q_land_files(spark, sf):
+    raw = X.raw_files(spark, sf)
+    landing_dir = scratch_dir(spark, "landing")
+    landing.write_landing(raw, landing_dir)
+    existing = raw.filter(F.dayofmonth(file_date_from_name("filename")) % 2 == 0)
+    return landing.land_files(spark, landing_dir, existing).select("filename", "content")

@@ -26,7 +26,7 @@ def landed_name(path: Column, name: Column) -> Column:
 
 def read_landing(spark: SparkSession, landing_dir: str) -> DataFrame:
     """Every file in ``landing_dir`` as ``(filename, content)``."""
-    df = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(landing_dir)
+    df = spark.read.option("recursiveFileLookup", True).text(landing_dir, wholetext=True)
     return df.select(
         landed_name(F.col("_metadata.file_path"), F.col("_metadata.file_name")).alias("filename"),
         F.col("value").alias("content"),
@@ -58,8 +58,20 @@ def append_raw_files(rows: DataFrame, raw_path: str) -> None:
 
 
 def write_landing(raw: DataFrame, landing_dir: str) -> None:
-    """Write raw files as a landing directory, one folder per file name."""
-    raw.select("filename", "content").write.mode("append").partitionBy("filename").text(landing_dir)
+    """Write raw files as a landing directory, one folder per file name.  The
+    text writer ends each file with a newline, so one trailing newline is
+    taken off first and the file reads back exactly."""
+    body = F.regexp_replace(F.col("content"), r"\n\z", "")
+    # Spread files over all cores: each task writes whole files, so an
+    # explicit count keeps AQE from packing every file into one writer.
+    n = raw.sparkSession.sparkContext.defaultParallelism
+    (
+        raw.select("filename", body.alias("content"))
+        .repartition(n, "filename")
+        .write.mode("append")
+        .partitionBy("filename")
+        .text(landing_dir)
+    )
 
 
 def pending_files(raw: DataFrame, bronze: DataFrame) -> DataFrame:
