@@ -2,6 +2,7 @@ from tidemark.functions.scalars import (
     NO,
     YES,
     as_of_date,
+    daily_file_name,
     exact_decimal_mean,
     file_date_from_name,
     flag,
@@ -17,6 +18,7 @@ __all__ = [
     "NO",
     "YES",
     "as_of_date",
+    "daily_file_name",
     "exact_decimal_mean",
     "file_date_from_name",
     "flag",

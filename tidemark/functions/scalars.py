@@ -11,9 +11,11 @@ import datetime as _dt
 from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
-# The labels the weekly checks emit.
+# The labels the weekly checks emit, and the prefix of the
+# daily price file names.
 YES = "✅ YES"
 NO = "❌ NO"
+FILE_PREFIX = "sec_bhavdata_full_"
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -98,3 +100,8 @@ def previous_business_day(d) -> Column:
     wd = F.weekday(d)  # Monday = 0
     back = F.when(wd == 0, 3).when(wd == 6, 2).otherwise(1)
     return F.date_sub(d, back)
+
+
+def daily_file_name(d) -> Column:
+    """``sec_bhavdata_full_<ddMMyyyy>.csv`` for date ``d``."""
+    return F.concat(F.lit(FILE_PREFIX), F.date_format(_c(d), "ddMMyyyy"), F.lit(".csv"))

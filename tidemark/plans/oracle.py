@@ -108,11 +108,15 @@ JOIN breakout_all AS pb ON vs.symbol = pb.symbol AND vs._file_date = pb._file_da
 WHERE vs.IS_3X_SURGE = {YES} AND pb.IS_BREAKOUT = {YES} AND {where}"""
 
 
-def history_sql(src_ctes: str, as_of: str, factor=3) -> str:
+def history_with(src_ctes: str, as_of: str, factor=3) -> str:
+    """``WITH ..., sig AS (signal history)`` -- a prefix for more CTEs."""
     week_ends = "SELECT MAX(_file_date) FROM filtered GROUP BY date_trunc('week', _file_date)"
-    return f"WITH {src_ctes}, {silver_ctes('bars', as_of, factor)}\n" + gold_select(
-        f"vs._file_date IN ({week_ends})", factor
-    )
+    sig = gold_select(f"vs._file_date IN ({week_ends})", factor)
+    return f"WITH {src_ctes}, {silver_ctes('bars', as_of, factor)},\nsig AS ({sig})"
+
+
+def history_sql(src_ctes: str, as_of: str, factor=3) -> str:
+    return history_with(src_ctes, as_of, factor) + "\nSELECT * FROM sig"
 
 
 def as_of_signals_sql(src_ctes: str, as_of: str, factor=3, months: int = 2) -> str:
@@ -200,3 +204,186 @@ FROM x2 WHERE {KEEP}
 """
 
 EVEN_DAY = "day(_file_date) % 2 = 0"
+
+
+# ------------------------------------------------------------ serving views
+CHART_URL = "https://in.tradingview.com/chart/?symbol="
+VIEW = """
+SELECT _file_date, strftime(_file_date, '%m-%Y') AS month_year, symbol, close_price,
+       "50w_Moving_avg" AS "50-week moving average", prev_180d_friday_high, "3X_180dvol_MULTIPLE",
+       IS_3X_SURGE, IS_BREAKOUT AS IS_PRICE_BREAKOUT,
+       CASE WHEN CAST(close_price AS DOUBLE) > "50w_Moving_avg" THEN 'green' ELSE 'red' END AS price_color,
+       'https://in.tradingview.com/chart/?symbol=' || symbol AS chart_url
+FROM sig
+"""
+DISPLAY_ORDER = '"3X_180dvol_MULTIPLE" DESC NULLS LAST, symbol ASC, _file_date ASC'
+
+
+def view_with(src_ctes: str, as_of: str, factor=3) -> str:
+    return history_with(src_ctes, as_of, factor) + f",\nv AS ({VIEW})"
+
+
+def page_sql(src_ctes: str, as_of: str, page: int, size: int = 10, month: str = "all") -> str:
+    where = "" if month == "all" else f" WHERE month_year = '{month}'"
+    return view_with(src_ctes, as_of) + f""",
+f AS (SELECT * FROM v{where}),
+pages AS (SELECT CAST(GREATEST(CEIL(COUNT(*) / {size}.0), 1) AS BIGINT) AS total_pages FROM f),
+cur AS (SELECT LEAST(GREATEST({page}, 1), total_pages) AS page, total_pages FROM pages),
+ranked AS (SELECT *, ROW_NUMBER() OVER (ORDER BY {DISPLAY_ORDER}) AS rn FROM f)
+SELECT ranked.* EXCLUDE (rn), CAST(cur.page AS BIGINT) AS page, cur.total_pages
+FROM ranked, cur
+WHERE rn > (cur.page - 1) * {size} AND rn <= cur.page * {size}"""
+
+
+def month_counts_sql(src_ctes: str, as_of: str) -> str:
+    return view_with(src_ctes, as_of) + """
+SELECT month_year, COUNT(DISTINCT symbol) AS symbol_count, COUNT(*) AS row_count FROM v GROUP BY month_year
+UNION ALL
+SELECT 'all', COUNT(DISTINCT symbol), COUNT(*) FROM v"""
+
+
+def json_sql(src_ctes: str, as_of: str) -> str:
+    return view_with(src_ctes, as_of) + """
+SELECT CAST(json_object(
+    '3X_180dvol_MULTIPLE', "3X_180dvol_MULTIPLE",
+    '50-week moving average', "50-week moving average",
+    'IS_3X_SURGE', IS_3X_SURGE,
+    'IS_PRICE_BREAKOUT', IS_PRICE_BREAKOUT,
+    '_file_date', CAST(_file_date AS VARCHAR),
+    'chart_url', chart_url,
+    'close_price', CAST(close_price AS VARCHAR),
+    'month_year', month_year,
+    'prev_180d_friday_high', CAST(prev_180d_friday_high AS VARCHAR),
+    'price_color', price_color,
+    'symbol', symbol) AS VARCHAR) AS json
+FROM v"""
+
+
+# ------------------------------------------------------------ expected files
+def file_name_sql(d: str) -> str:
+    return f"'sec_bhavdata_full_' || strftime({d}, '%d%m%Y') || '.csv'"
+
+
+PREVIOUS_BUSINESS_DAY = """
+SELECT d, CAST(d - CASE isodow(d) WHEN 1 THEN 3 WHEN 7 THEN 2 ELSE 1 END AS DATE) AS previous_business_day
+FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)
+"""
+
+
+def missing_files_sql(as_of: str, days_back: int = 365) -> str:
+    return f"""
+WITH cal AS (
+    SELECT i AS days_back, CAST(DATE '{as_of}' - CAST(i AS INTEGER) AS DATE) AS file_date FROM range({days_back}) t(i)
+),
+named AS (
+    SELECT days_back, file_date, {file_name_sql('file_date')} AS filename,
+           CAST(day(file_date) % 4 AS INTEGER) AS strikes
+    FROM cal WHERE isodow(file_date) <= 5
+),
+landed AS (
+    SELECT DISTINCT {file_name_sql('CAST(o_orderdate AS DATE)')} AS filename FROM orders WHERE o_orderstatus = 'P'
+)
+SELECT days_back, file_date, filename, strikes FROM named
+WHERE strikes < 2 AND filename NOT IN (SELECT filename FROM landed)"""
+
+
+ATTEMPTS = """
+SELECT 'f' || CAST(user_id AS VARCHAR) AS feed, 'f' || CAST(user_id AS VARCHAR) AS filename, ts, event_id AS seq,
+       CASE event_type WHEN 'error' THEN 404 WHEN 'purchase' THEN 200 END AS status
+FROM events
+"""
+
+STRIKE_COUNTS = f"""
+WITH att AS ({ATTEMPTS})
+SELECT a.filename, CAST(COUNT(*) AS INTEGER) AS strikes
+FROM att a
+WHERE a.status = 404 AND NOT EXISTS (
+    SELECT 1 FROM att b
+    WHERE b.filename = a.filename AND b.status = 200 AND (b.ts > a.ts OR (b.ts = a.ts AND b.seq > a.seq))
+)
+GROUP BY a.filename"""
+
+
+def fetch_window_sql(limit: int = 5) -> str:
+    return f"""
+WITH att AS ({ATTEMPTS}),
+f AS (SELECT *, CASE WHEN status IN (200, 0) THEN 1 ELSE 0 END AS r,
+             CASE WHEN status IS NOT NULL AND status NOT IN (200, 0) THEN 1 ELSE 0 END AS e FROM att),
+g AS (SELECT *, SUM(r) OVER (PARTITION BY feed ORDER BY ts, seq ROWS UNBOUNDED PRECEDING) AS island FROM f),
+h AS (SELECT *, SUM(e) OVER (PARTITION BY feed, island ORDER BY ts, seq ROWS UNBOUNDED PRECEDING) AS run_after FROM g),
+k AS (SELECT *, COALESCE(LAG(run_after) OVER (PARTITION BY feed ORDER BY ts, seq), 0) AS run_before FROM h),
+m AS (SELECT *, NOT BOOL_OR(run_before >= {limit}) OVER (PARTITION BY feed ORDER BY ts, seq ROWS UNBOUNDED PRECEDING) AS made
+      FROM k),
+stops AS (SELECT feed, ts AS stop_ts, seq AS stop_seq
+          FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY feed ORDER BY ts, seq) AS rn FROM m WHERE NOT made) WHERE rn = 1),
+agg AS (SELECT feed, COUNT(CASE WHEN made THEN 1 END) AS rows_made,
+               COALESCE(MAX(CASE WHEN made THEN run_after END), 0) >= {limit} AS reached_limit
+        FROM m GROUP BY feed)
+SELECT agg.feed, rows_made, reached_limit, stop_ts, stop_seq FROM agg LEFT JOIN stops USING (feed)"""
+
+
+# ---------------------------------------------------------------- watchlist
+CHANGES = """
+SELECT ts, event_id AS seq,
+       CASE WHEN event_type = 'error' THEN 'delete' ELSE 'upsert' END AS op,
+       'U' || CAST(user_id AS VARCHAR) AS symbol,
+       event_type AS note,
+       CAST(CAST(ts AS DATE) AS VARCHAR) AS file_name,
+       CASE WHEN event_type = 'purchase' THEN strftime(ts, '%Y-%m-%dT%H:%M') END AS reminder_time,
+       CASE WHEN event_type = 'purchase' THEN CAST(event_id AS VARCHAR) END AS event_id
+FROM events
+"""
+
+WATCHLIST_WITH = f"""
+WITH ch AS ({CHANGES}),
+o AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY ts, seq) AS pos FROM ch
+      WHERE symbol IS NOT NULL AND symbol <> ''),
+ld AS (SELECT symbol, MAX(pos) AS del_pos FROM o WHERE op = 'delete' GROUP BY symbol),
+af AS (SELECT o.* FROM o LEFT JOIN ld USING (symbol) WHERE o.op = 'upsert' AND o.pos > COALESCE(ld.del_pos, 0)),
+fo AS (
+    SELECT symbol,
+           arg_max_null(note, pos) AS note,
+           arg_max_null(file_name, pos) AS file_name,
+           arg_max_null(reminder_time, pos) AS rt,
+           arg_max(event_id, pos) FILTER (WHERE event_id IS NOT NULL) AS event_id,
+           arg_min(ts, pos) AS first_ts,
+           arg_min(seq, pos) AS first_seq
+    FROM af GROUP BY symbol
+),
+norm AS (SELECT *, replace(rt, 'T', ' ') AS rt1 FROM fo),
+wl AS (
+    SELECT CAST(ROW_NUMBER() OVER (ORDER BY first_ts, first_seq) AS BIGINT) AS id,
+           symbol, note, file_name,
+           CASE WHEN rt IS NULL OR rt = '' THEN NULL
+                ELSE TRY_CAST(CASE WHEN length(rt1) = 16 THEN rt1 || ':00' ELSE rt1 END AS TIMESTAMP) END
+             AS reminder_time,
+           FALSE AS is_notified,
+           event_id
+    FROM norm
+)"""
+
+WATCHLIST_APPLY = WATCHLIST_WITH + "\nSELECT * FROM wl"
+
+
+def watchlist_view_sql(now: str) -> str:
+    return WATCHLIST_WITH + f"""
+SELECT id, symbol,
+       CASE WHEN note IS NOT NULL AND trim(note) <> '' THEN note ELSE 'No descriptive note attached' END AS note_display,
+       CASE WHEN file_name IS NOT NULL AND file_name <> '' THEN file_name ELSE ' ' END AS file_name_display,
+       reminder_time,
+       reminder_time + INTERVAL 30 MINUTE AS reminder_end,
+       is_notified,
+       CASE WHEN reminder_time IS NOT NULL
+            THEN 'https://calendar.google.com/calendar/r/day/' || strftime(reminder_time, '%Y/%m/%d')
+            ELSE 'https://calendar.google.com/calendar/r' END AS calendar_url,
+       COALESCE(TIMESTAMP '{now}' > date_trunc('second', reminder_time), FALSE) AS is_expired,
+       '{CHART_URL}' || symbol AS chart_url
+FROM wl"""
+
+
+# ------------------------------------------------------------------ widgets
+WIDGET_ROWS = """
+SELECT CAST(event_id AS DOUBLE) AS event_id, CAST(user_id AS DOUBLE) AS user_id,
+       round_even(value * 10, 0) / 10 AS value
+FROM events WHERE event_type = 'purchase'
+"""

@@ -16,13 +16,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import daily_file_name
 from tidemark.sources.bhavcopy import BHAVCOPY_COLUMNS
 
 # Symbol suffixes by supplier key modulo 10 (X2).  The first
 # three are dropped by the stock filter; the fourth must survive because the
 # exclusion patterns are anchored at the end.
 X2_SUFFIX = {0: "BEES", 1: "ETF", 2: "SDLX", 3: "BEESX"}
-FILE_PREFIX = "sec_bhavdata_full_"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -109,16 +109,12 @@ def bhavcopy_lines(lineitem: DataFrame) -> DataFrame:
     )
     # The last field is written without padding so that 'NA' is read as NULL.
     return b.select(
-        file_name("_file_date").alias("filename"),
+        daily_file_name("_file_date").alias("filename"),
         "_file_date",
         F.concat(padded, F.lit(","), deliv_pct).alias("line"),
     )
 
 
-def file_name(d) -> "F.Column":
-    return F.concat(F.lit(FILE_PREFIX), F.date_format(F.col(d) if isinstance(d, str) else d, "ddMMyyyy"), F.lit(".csv"))
-
-
 HEADER = ", ".join(BHAVCOPY_COLUMNS)
 
 
@@ -139,14 +135,14 @@ def landed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders.filter(F.col("o_orderstatus") == "P")
         .select(F.col("o_orderdate").cast("date").alias("d"))
         .distinct()
-        .select(file_name("d").alias("filename"))
+        .select(daily_file_name("d").alias("filename"))
     )
 
 
 def strike_table(calendar: DataFrame) -> DataFrame:
     """X3 strikes: ``day(d) % 4`` for each calendar date."""
     return calendar.select(
-        file_name("file_date").alias("filename"), (F.dayofmonth("file_date") % 4).alias("strikes")
+        daily_file_name("file_date").alias("filename"), (F.dayofmonth("file_date") % 4).alias("strikes")
     )
 
 
