@@ -13,11 +13,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import ensure_checkpoint_dir
+
 _LOW_BITS = (1 << 33) - 1
 
 
 def dense_positions(df: DataFrame, order_col: str, out: str = "_pos") -> DataFrame:
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     n = max(1, spark.sparkContext.defaultParallelism)
     ranged = df.repartitionByRange(n, order_col).sortWithinPartitions(order_col).checkpoint(eager=True)
     mid = F.monotonically_increasing_id()

@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import file_date_from_name, previous_business_day
 from tidemark.operators import files, gold, serve, silver, watchlist
 from tidemark.plans import oracle as O
+from tidemark.plans import pipeline
 from tidemark.session import scratch_dir
 from tidemark.sources import bhavcopy, landing, widgets
 from tidemark.sources import fixtures as X
+from tidemark.streaming import ingest
 
 # Latest ship date at every scale: the default anchor.
 LATEST = "2001-11-04"
@@ -152,6 +154,23 @@ def q_ingest_counts(spark, sf):
     return bhavcopy.ingest_counts(bhavcopy.parse_bhavcopy(X.raw_files(spark, sf)))
 
 
+# Latest market week end with a factor-3 signal on stock-filtered X2 bars at
+# sf0.01; weeks after it are cut by the run-date filter, so the whole landing
+# directory can be read.
+PIPELINE_AS_OF = "2000-01-02"
+_LANDING: dict[str, str] = {}
+
+
+def _landing_dir(spark: SparkSession, sf: str) -> str:
+    """X2 raw files written once per process as a landing directory."""
+    key = f"{spark.sparkContext.applicationId}:{sf}"
+    if key not in _LANDING:
+        d = scratch_dir(spark, "landing")
+        landing.write_landing(X.raw_files(spark, sf), d)
+        _LANDING[key] = d
+    return _LANDING[key]
+
+
 def _even_day_bronze(raw: DataFrame) -> DataFrame:
     """Bronze already holding the files of even days of the month."""
     return bhavcopy.bronze_rows(raw.filter(F.dayofmonth(file_date_from_name("filename")) % 2 == 0))
@@ -174,11 +193,8 @@ def q_pending_files(spark, sf):
     "WHERE day(strptime(regexp_extract(filename, '([0-9]{8})', 1), '%d%m%Y')) % 2 = 1",
 )
 def q_land_files(spark, sf):
-    raw = X.raw_files(spark, sf)
-    landing_dir = scratch_dir(spark, "landing")
-    landing.write_landing(raw, landing_dir)
-    existing = raw.filter(F.dayofmonth(file_date_from_name("filename")) % 2 == 0)
-    return landing.land_files(spark, landing_dir, existing).select("filename", "content")
+    existing = X.raw_files(spark, sf).filter(F.dayofmonth(file_date_from_name("filename")) % 2 == 0)
+    return landing.land_files(spark, _landing_dir(spark, sf), existing).select("filename", "content")
 
 
 # ------------------------------------------------------------- serving views
@@ -254,3 +270,24 @@ def q_watchlist_view(spark, sf):
 @register("widget_rows", O.WIDGET_ROWS)
 def q_widget_rows(spark, sf):
     return widgets.widget_rows(X.widget_payloads(spark, sf))
+
+
+# ---------------------------------------------------- end-to-end and streaming
+@register(
+    "run_pipeline",
+    O.as_of_signals_sql(f"x1 AS ({O.X1}), x2 AS ({O.X2}), bars AS ({O.X2_BARS})", PIPELINE_AS_OF),
+)
+def q_run_pipeline(spark, sf):
+    result = pipeline.run_pipeline(spark, _landing_dir(spark, sf), scratch_dir(spark, "lake"), PIPELINE_AS_OF)
+    return result.table(spark, "historical_signals")
+
+
+@register(
+    "stream_ingest",
+    f"WITH {O.x2_ctes()}\n"
+    f"SELECT x2_symbol AS SYMBOL, x2_series AS SERIES, {O.PARSED_COLUMNS.split(', ', 2)[2]} FROM x2f WHERE {O.KEEP}",
+)
+def q_stream_ingest(spark, sf):
+    bronze = scratch_dir(spark, "bronze")
+    ingest.stream_ingest(spark, _landing_dir(spark, sf), bronze, scratch_dir(spark, "stream-ckpt"))
+    return spark.read.parquet(bronze).select(*_NO_LOAD_TIME)

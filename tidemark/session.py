@@ -30,11 +30,12 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    _ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(spark)
     return spark
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared checkpoint folder (set on the context for ``checkpoint()``)."""
     conf = spark.sparkContext.getConf()
     path = spark.conf.get(_CKPT_KEY, None) or conf.get(_CKPT_KEY, None)
     if not path:
@@ -48,5 +49,5 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
-    base = _ensure_checkpoint_dir(spark).rstrip("/")
+    base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
