@@ -5,7 +5,7 @@ Scale notes
 Bars hold one row per (symbol, trading day), so the rows of one symbol are
 bounded by the calendar (about 250 a year) no matter how large the raw feed
 is.  Every weekly step is keyed by symbol, so the bars are hash-partitioned
-on ``symbol`` once (``_by_symbol``); the weekly aggregate, the per-week rank
+on ``symbol`` once (``weekly_input``); the weekly aggregate, the per-week rank
 and the look-back windows all reuse that one exchange, and the surge and
 breakout branches share it as a reused exchange.
 
@@ -80,21 +80,30 @@ def through_week(bars: DataFrame, as_of=None) -> DataFrame:
     return bars.filter(week_start("_file_date") <= week_start(as_of_date(as_of)))
 
 
-def _by_symbol(bars: DataFrame) -> DataFrame:
-    return bars.repartition("symbol")
+def weekly_input(bars: DataFrame, as_of=None) -> DataFrame:
+    """The one shuffle every weekly step shares: bars up to the run week,
+    projected to the columns the checks need and hash-partitioned by symbol.
+    Every consumer builds the identical plan, so Spark runs the exchange once
+    and reuses it (surge, breakout, anchor subquery, market week ends)."""
+    return (
+        through_week(bars, as_of)
+        .select("symbol", "_file_date", "close_price", "TTL_TRD_QNTY", week_start("_file_date").alias("week_start"))
+        .repartition("symbol")
+    )
 
 
 def anchor_date(bars: DataFrame, as_of=None) -> Column:
     """Latest bar date up to the week of ``as_of``, as an uncorrelated scalar
     subquery (computed once, then used as a literal).  It equals both the
-    latest weekly-close date and the latest week-end date."""
+    latest weekly-close date and the latest week-end date.  It reads only the
+    date column and aggregates map-side: no shuffle of the bars."""
     return through_week(bars, as_of).agg(F.max("_file_date")).scalar()
 
 
 def market_week_ends(bars: DataFrame, as_of=None) -> DataFrame:
     """One row per calendar week: the last date any symbol traded in it.
     Bounded by the calendar (52 rows a year), partial-aggregated before its
-    shuffle."""
+    (tiny) shuffle."""
     return (
         through_week(bars, as_of)
         .groupBy(week_start("_file_date").alias("week_start"))
@@ -106,8 +115,8 @@ def market_week_ends(bars: DataFrame, as_of=None) -> DataFrame:
 def weekly_volume(bars: DataFrame, as_of=None) -> DataFrame:
     """Per (symbol, week): last traded date and summed quantity."""
     return (
-        _by_symbol(through_week(bars, as_of).select("symbol", "_file_date", "TTL_TRD_QNTY"))
-        .groupBy("symbol", week_start("_file_date").alias("week_start"))
+        weekly_input(bars, as_of)
+        .groupBy("symbol", "week_start")
         .agg(F.max("_file_date").alias("week_end_date"), F.sum("TTL_TRD_QNTY").alias("weekly_sum"))
     )
 
@@ -117,11 +126,7 @@ def weekly_close(bars: DataFrame, as_of=None) -> DataFrame:
     (symbol, date) bar yields two rows, as the self-join form would."""
     w = Window.partitionBy("symbol", "week_start").orderBy(F.col("_file_date").desc())
     return (
-        _by_symbol(
-            through_week(bars, as_of)
-            .select("symbol", "_file_date", "close_price")
-            .withColumn("week_start", week_start("_file_date"))
-        )
+        weekly_input(bars, as_of)
         .withColumn("_rk", F.rank().over(w))
         .filter(F.col("_rk") == 1)
         .select("symbol", "week_start", "_file_date", "close_price")
@@ -198,6 +203,52 @@ def moving_average_50w(bars: DataFrame, as_of=None, ma_weeks: int = 50) -> DataF
     )
 
 
+# ------------------------------------------------------------ L2 + L3 fused
+def weekly_stats(
+    bars: DataFrame, as_of=None, factor=3, weeks: int = 26, high_weeks: int = 26, ma_weeks: int = 50
+) -> DataFrame:
+    """Both checks for every weekly close in ONE pass over the bars (one
+    shuffle by symbol, then windows that all reuse it).
+
+    Rows are the weekly closes (duplicates kept).  Each carries its week's
+    total volume; the surge mean averages only the first row of each prior
+    week over a RANGE frame on a dense week number, so it is the mean of the
+    prior ``weeks`` traded weeks exactly as the per-week table gives it, and
+    the breakout frames count weekly-close rows as before.  Joining the two
+    separate checks on (symbol, _file_date) yields the same rows."""
+    week = Window.partitionBy("symbol", "week_start")
+    by_week = Window.partitionBy("symbol").orderBy("week_start")
+    by_date = Window.partitionBy("symbol").orderBy("_file_date")
+    closes = (
+        weekly_input(bars, as_of)
+        .withColumn("_week_sum", F.sum("TTL_TRD_QNTY").over(week))
+        .withColumn("_week_end", F.max("_file_date").over(week))
+        .filter(F.col("_file_date") == F.col("_week_end"))
+        .withColumn("_first", F.row_number().over(week.orderBy("_file_date")) == 1)
+        .withColumn("_wk", F.dense_rank().over(by_week))
+    )
+    prior = Window.partitionBy("symbol").orderBy("_wk").rangeBetween(-weeks, -1)
+    avg = F.avg(F.when(F.col("_first"), F.col("_week_sum"))).over(prior)
+    mean = exact_decimal_mean("close_price", by_date.rowsBetween(-(ma_weeks - 1), 0))
+    return (
+        closes.withColumn("_avg", avg)
+        .withColumn("prev_180d_friday_high", F.max("close_price").over(by_date.rowsBetween(-high_weeks, -1)))
+        .withColumn(MA_COLUMN, round_half_away(mean, 2))
+        .select(
+            "symbol",
+            "week_start",
+            "_file_date",
+            F.col("_week_sum").alias("TTL_TRD_QNTY"),
+            round_half_away("_avg", 0).alias("avg_vol_180d"),
+            flag(F.col("_week_sum") > F.lit(factor) * F.col("_avg")).alias("IS_3X_SURGE"),
+            "close_price",
+            "prev_180d_friday_high",
+            MA_COLUMN,
+            flag(F.col("close_price") > F.col("prev_180d_friday_high")).alias("IS_BREAKOUT"),
+        )
+    )
+
+
 # --------------------------------------------------------------------------- L4
 def delivery_weekly_check(bars: DataFrame, min_pct: float = 50.0) -> DataFrame:
     """Weekly delivered share of traded quantity, weeks above ``min_pct``.
