@@ -355,3 +355,49 @@ def test_widget_first_match_and_rounding(spark, tmp_path):
     path = widgets.write_widget_csv(widgets.widget_rows(df), str(tmp_path), dt.date(2024, 1, 5))
     assert path.endswith("wl_volume_gain_05012024")
     assert spark.read.option("header", True).csv(path).count() == 1
+
+
+def _fold(statuses, limit=5):
+    """Sequential reference of the download loop's run counter."""
+    run, out, stopped = 0, [], False
+    for s in statuses:
+        stopped = stopped or run >= limit
+        out.append((run, not stopped))
+        if s in (200, 0):
+            run = 0
+        elif s is not None:
+            run += 1
+    return out
+
+
+def test_fetch_window_hot_feed_spans_partitions(spark):
+    """One feed holding most rows is split over many partitions; the segmented
+    scan must equal the sequential fold."""
+    import random
+
+    rnd = random.Random(7)
+    choices = [200, 404, 404, 500, -1, 0, None, 404]
+    t0 = dt.datetime(2024, 1, 1)
+    data, expect = [], {}
+    for feed, n in [("hot", 3000), ("a", 40), ("b", 7), ("z", 300)]:
+        # rare resets in the hot feed so runs cross partition boundaries
+        sts = [rnd.choice(choices) if rnd.random() < 0.02 or feed != "hot" else rnd.choice([404, None, 500]) for _ in range(n)]
+        if feed == "hot":
+            sts = [200 if i % 997 == 0 else s for i, s in enumerate(sts)]
+            sts = [s if s != 404 or i < 2990 else 404 for i, s in enumerate(sts)]
+        for i, s in enumerate(sts):
+            data.append((feed, f"{feed}{i}", t0 + dt.timedelta(seconds=i), i, s))
+        expect[feed] = _fold(sts)
+    df = spark.createDataFrame(data, "feed string, filename string, ts timestamp_ntz, seq bigint, status int")
+    got = {}
+    for r in files.fetch_window_rows(df, limit=5000).collect():
+        got.setdefault(r["feed"], {})[r["seq"]] = (r["run_before"], r["made"])
+    for feed, exp in expect.items():
+        assert [got[feed][i] for i in range(len(exp))] == [
+            (rb, m) for rb, m in [(x[0], x[1]) for x in _fold([d[4] for d in data if d[0] == feed], 5000)]
+        ], feed
+    got5 = {}
+    for r in files.fetch_window_rows(df).collect():
+        got5.setdefault(r["feed"], {})[r["seq"]] = (r["run_before"], r["made"])
+    for feed, exp in expect.items():
+        assert [got5[feed][i] for i in range(len(exp))] == exp, feed

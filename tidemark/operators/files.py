@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import as_of_date, daily_file_name
+from tidemark.session import ensure_checkpoint_dir
 
 # Look-back, strike limit and early-stop length of a run.
 DAYS_BACK = 365
@@ -97,19 +98,80 @@ def fetch_window_rows(attempts: DataFrame, limit: int = EMPTY_RUN_LIMIT) -> Data
     """Attempt rows with ``run_before`` (empty days in a row before this row)
     and ``made`` (false from the first row reached with ``run_before >=
     limit``: the run stopped there).  200 and already-landed reset the run;
-    404, other codes and errors extend it; strike-skipped rows leave it."""
+    404, other codes and errors extend it; strike-skipped rows leave it.
+
+    A segmented scan, so one feed with a huge log never sits in one task:
+
+    1. range-partition by (feed, ts, seq) and checkpoint -- a hot feed spans
+       many partitions; a (partition, feed) pair is a *segment*.  The
+       checkpoint fixes which row is in which partition: a recomputed range
+       exchange re-samples its bounds (the sample seed depends on the RDD id)
+       and could move rows between segments;
+    2. scan each segment locally (windows by segment);
+    3. fold the segments of each feed in order on a small per-segment table
+       (one row per segment) to get the run entering each segment;
+    4. add that carry back, then cut each feed at its first row with
+       ``run_before >= limit`` (a per-feed minimum, aggregated map-side).
+    """
+    spark = attempts.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = max(1, spark.sparkContext.defaultParallelism)
     order = ["ts", "seq"]
-    w = Window.partitionBy("feed").orderBy(*order)
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    reset = F.col("status").isin(200, 0)
+    reset = F.coalesce(F.col("status").isin(200, 0), F.lit(False))
     empty = F.col("status").isNotNull() & ~reset
-    a = attempts.withColumn("_reset", reset.cast("int")).withColumn("_empty", empty.cast("int"))
-    a = a.withColumn("_island", F.sum("_reset").over(upto))
-    island = Window.partitionBy("feed", "_island").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    a = a.withColumn("_run_after", F.sum("_empty").over(island))
-    a = a.withColumn("run_before", F.coalesce(F.lag("_run_after", 1).over(w), F.lit(0)))
-    a = a.withColumn("made", ~F.max(F.col("run_before") >= limit).over(upto))
-    return a.drop("_reset", "_empty", "_island", "_run_after")
+    srt = attempts.repartitionByRange(n, "feed", *order).checkpoint()
+    a = srt.withColumn("_pid", F.spark_partition_id()).withColumn("_r", reset.cast("int")).withColumn(
+        "_e", empty.cast("int")
+    )
+
+    # 2. local scan per segment
+    seg = Window.partitionBy("_pid", "feed").orderBy(*order)
+    upto = seg.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy("_pid", "feed")
+    a = a.withColumn("_isl", F.sum("_r").over(upto))  # resets seen in the segment
+    isl = Window.partitionBy("_pid", "feed", "_isl").orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    a = a.withColumn("_e_isl", F.sum("_e").over(isl))  # empties in the local island so far
+
+    # 3. per-segment summary and the carry entering each segment
+    summary = a.groupBy("_pid", "feed").agg(
+        (F.max("_r") > 0).alias("_has_reset"),
+        F.sum("_e").alias("_tot"),
+        F.max_by("_e_isl", F.struct(*order)).alias("_tail_if_reset"),
+    )
+    by_feed = Window.partitionBy("feed").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    cum_before = F.coalesce(F.sum("_tot").over(by_feed), F.lit(0))
+    cum_incl = F.sum("_tot").over(Window.partitionBy("feed").orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0))
+    summary = summary.withColumn("_cum_incl", cum_incl)
+    last_reset = F.last(
+        F.when(F.col("_has_reset"), F.struct(F.col("_tail_if_reset").alias("tail"), F.col("_cum_incl").alias("cum"))),
+        ignorenulls=True,
+    ).over(by_feed)
+    carry = (
+        summary.withColumn("_lr", last_reset)
+        .withColumn(
+            "_carry",
+            F.when(F.col("_lr").isNull(), cum_before).otherwise(
+                F.col("_lr.tail") + cum_before - F.col("_lr.cum")
+            ),
+        )
+        .select("_pid", "feed", "_carry")
+    )
+
+    # 4. run values with the carry, then the per-feed cut
+    a = a.join(carry, ["_pid", "feed"])
+    run_after = F.col("_e_isl") + F.when(F.col("_isl") == 0, F.col("_carry")).otherwise(F.lit(0))
+    a = a.withColumn("_run_after", run_after)
+    a = a.withColumn("run_before", F.coalesce(F.lag("_run_after", 1).over(seg), F.col("_carry")))
+    cut = (
+        a.filter(F.col("run_before") >= limit)
+        .groupBy("feed")
+        .agg(F.min(F.struct(*order)).alias("_cut"))
+    )
+    a = a.join(cut, "feed", "left")
+    made = F.col("_cut").isNull() | (F.struct(*order) < F.col("_cut"))
+    return a.withColumn("made", made).drop("_pid", "_r", "_e", "_isl", "_e_isl", "_carry", "_run_after", "_cut")
 
 
 def fetch_window(attempts: DataFrame, limit: int = EMPTY_RUN_LIMIT) -> DataFrame:

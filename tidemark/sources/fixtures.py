@@ -23,6 +23,11 @@ from tidemark.sources.bhavcopy import BHAVCOPY_COLUMNS
 # three are dropped by the stock filter; the fourth must survive because the
 # exclusion patterns are anchored at the end.
 X2_SUFFIX = {0: "BEES", 1: "ETF", 2: "SDLX", 3: "BEESX"}
+# Suppliers per raw file: bounds one file (one row, one string) whatever the
+# scale.  Block 0 keeps the plain daily name; later blocks of the same day are
+# named ``sec_bhavdata_full_b<k>_<ddMMyyyy>.csv`` (the date is still the part
+# after the last underscore).
+FILE_BLOCK = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -108,8 +113,15 @@ def bhavcopy_lines(lineitem: DataFrame) -> DataFrame:
         deliv,
     )
     # The last field is written without padding so that 'NA' is read as NULL.
+    block = F.floor(F.col("l_suppkey") / FILE_BLOCK)
+    name = F.when(block == 0, daily_file_name("_file_date")).otherwise(
+        F.concat(
+            F.lit("sec_bhavdata_full_b"), block.cast("string"), F.lit("_"),
+            F.date_format("_file_date", "ddMMyyyy"), F.lit(".csv"),
+        )
+    )
     return b.select(
-        daily_file_name("_file_date").alias("filename"),
+        name.alias("filename"),
         "_file_date",
         F.concat(padded, F.lit(","), deliv_pct).alias("line"),
     )
@@ -119,7 +131,7 @@ HEADER = ", ".join(BHAVCOPY_COLUMNS)
 
 
 def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """X2: one raw file per ship date, (filename, content)."""
+    """X2: one raw file per ship date and block of suppliers, (filename, content)."""
     lines = bhavcopy_lines(table(spark, sf_dir, "lineitem"))
     body = F.concat_ws("\n", F.array_sort(F.collect_list("line")))
     return lines.groupBy("filename").agg(
