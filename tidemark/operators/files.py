@@ -124,54 +124,51 @@ def fetch_window_rows(attempts: DataFrame, limit: int = EMPTY_RUN_LIMIT) -> Data
         "_e", empty.cast("int")
     )
 
-    # 2. local scan per segment
+    # 2. local scan per segment.  A row's island is the number of resets
+    # strictly before it, so a reset row closes the previous island and
+    # run_before is "empties earlier in my island" (+ the carry in island 0).
     seg = Window.partitionBy("_pid", "feed").orderBy(*order)
-    upto = seg.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy("_pid", "feed")
-    a = a.withColumn("_isl", F.sum("_r").over(upto))  # resets seen in the segment
-    isl = Window.partitionBy("_pid", "feed", "_isl").orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    a = a.withColumn("_e_isl", F.sum("_e").over(isl))  # empties in the local island so far
+    before = seg.rowsBetween(Window.unboundedPreceding, -1)
+    a = a.withColumn("_isl", F.coalesce(F.sum("_r").over(before), F.lit(0)))
+    isl = Window.partitionBy("_pid", "feed", "_isl").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    a = a.withColumn("_prior", F.coalesce(F.sum("_e").over(isl), F.lit(0)))
+    # empties since the last reset up to and including this row
+    a = a.withColumn("_since", F.when(F.col("_r") == 1, F.lit(0)).otherwise(F.col("_prior") + F.col("_e")))
+    a = a.checkpoint()  # the one shuffle of the attempt rows; every branch below reads this
 
     # 3. per-segment summary and the carry entering each segment
     summary = a.groupBy("_pid", "feed").agg(
         (F.max("_r") > 0).alias("_has_reset"),
         F.sum("_e").alias("_tot"),
-        F.max_by("_e_isl", F.struct(*order)).alias("_tail_if_reset"),
+        F.max_by("_since", F.struct(*order)).alias("_tail"),
     )
-    by_feed = Window.partitionBy("feed").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    cum_before = F.coalesce(F.sum("_tot").over(by_feed), F.lit(0))
-    cum_incl = F.sum("_tot").over(Window.partitionBy("feed").orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0))
-    summary = summary.withColumn("_cum_incl", cum_incl)
+    by_feed = Window.partitionBy("feed").orderBy("_pid")
+    upto_prev = by_feed.rowsBetween(Window.unboundedPreceding, -1)
+    cum_before = F.coalesce(F.sum("_tot").over(upto_prev), F.lit(0))
+    summary = summary.withColumn("_cum_incl", F.sum("_tot").over(by_feed.rowsBetween(Window.unboundedPreceding, 0)))
     last_reset = F.last(
-        F.when(F.col("_has_reset"), F.struct(F.col("_tail_if_reset").alias("tail"), F.col("_cum_incl").alias("cum"))),
+        F.when(F.col("_has_reset"), F.struct(F.col("_tail").alias("tail"), F.col("_cum_incl").alias("cum"))),
         ignorenulls=True,
-    ).over(by_feed)
+    ).over(upto_prev)
     carry = (
         summary.withColumn("_lr", last_reset)
         .withColumn(
             "_carry",
-            F.when(F.col("_lr").isNull(), cum_before).otherwise(
-                F.col("_lr.tail") + cum_before - F.col("_lr.cum")
-            ),
+            F.when(F.col("_lr").isNull(), cum_before).otherwise(F.col("_lr.tail") + cum_before - F.col("_lr.cum")),
         )
         .select("_pid", "feed", "_carry")
     )
 
-    # 4. run values with the carry, then the per-feed cut
-    a = a.join(carry, ["_pid", "feed"])
-    run_after = F.col("_e_isl") + F.when(F.col("_isl") == 0, F.col("_carry")).otherwise(F.lit(0))
-    a = a.withColumn("_run_after", run_after)
-    a = a.withColumn("run_before", F.coalesce(F.lag("_run_after", 1).over(seg), F.col("_carry")))
-    cut = (
-        a.filter(F.col("run_before") >= limit)
-        .groupBy("feed")
-        .agg(F.min(F.struct(*order)).alias("_cut"))
+    # 4. run values with the carry, then the per-feed cut (small tables only
+    # are joined back, on the segment key)
+    a = a.join(carry, ["_pid", "feed"]).withColumn(
+        "run_before", F.col("_prior") + F.when(F.col("_isl") == 0, F.col("_carry")).otherwise(F.lit(0))
     )
-    a = a.join(cut, "feed", "left")
+    cut = a.filter(F.col("run_before") >= limit).groupBy("feed").agg(F.min(F.struct(*order)).alias("_cut"))
+    seg_cut = carry.select("_pid", "feed").join(cut, "feed", "left")
+    a = a.join(seg_cut, ["_pid", "feed"], "left")
     made = F.col("_cut").isNull() | (F.struct(*order) < F.col("_cut"))
-    return a.withColumn("made", made).drop("_pid", "_r", "_e", "_isl", "_e_isl", "_carry", "_run_after", "_cut")
+    return a.withColumn("made", made).drop("_pid", "_r", "_e", "_isl", "_prior", "_since", "_carry", "_cut")
 
 
 def fetch_window(attempts: DataFrame, limit: int = EMPTY_RUN_LIMIT) -> DataFrame:
