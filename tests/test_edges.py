@@ -110,6 +110,8 @@ def test_clean_bars_strict_and_lenient(spark):
     with pytest.raises(PySparkException):
         silver.clean_bars(bronze).collect()
     assert silver.clean_bars(bronze, lenient=True).collect()[0]["TTL_TRD_QNTY"] is None
+    losses = silver.clean_bars_losses(bronze).collect()[0].asDict()
+    assert losses["TTL_TRD_QNTY"] == 1 and losses["DELIV_QTY"] == 0 and losses["close_price"] == 0
 
 
 def test_landing_flat_and_folder_layout(spark, tmp_path):
@@ -159,6 +161,17 @@ def test_current_week_included(spark, as_of):
     assert got == [(D(2024, 6, 10),)]
 
 
+def test_complete_weeks_only(spark):
+    from tidemark.functions.scalars import last_complete_week_end
+
+    assert last_complete_week_end("2024-06-14") == D(2024, 6, 9)
+    assert last_complete_week_end("2024-06-16") == D(2024, 6, 9)
+    assert last_complete_week_end("2024-06-17") == D(2024, 6, 16)
+    b = bars_df(spark, [("A", D(2024, 6, 7), 10, 1), ("A", D(2024, 6, 14), 10, 1)])
+    got = rows(silver.weekly_volume(b, last_complete_week_end("2024-06-14")), "week_start")
+    assert got == [(D(2024, 6, 3),)]
+
+
 def test_zero_mean_volume_gives_null_multiple(spark):
     b = bars_df(spark, [("A", D(2024, 6, 7), 10, 0), ("A", D(2024, 6, 14), 20, 5)])
     surge = silver.volume_surge_check(b, "2024-06-14")

@@ -6,6 +6,7 @@ from tidemark.functions.scalars import (
     exact_decimal_mean,
     file_date_from_name,
     flag,
+    last_complete_week_end,
     previous_business_day,
     round_half_away,
     round_half_even,
@@ -22,6 +23,7 @@ __all__ = [
     "exact_decimal_mean",
     "file_date_from_name",
     "flag",
+    "last_complete_week_end",
     "previous_business_day",
     "round_half_away",
     "round_half_even",

@@ -105,3 +105,14 @@ def previous_business_day(d) -> Column:
 def daily_file_name(d) -> Column:
     """``sec_bhavdata_full_<ddMMyyyy>.csv`` for date ``d``."""
     return F.concat(F.lit(FILE_PREFIX), F.date_format(_c(d), "ddMMyyyy"), F.lit(".csv"))
+
+
+def last_complete_week_end(as_of) -> _dt.date:
+    """The Sunday before the week of ``as_of``.  Passing it as the run date
+    keeps complete weeks only (what the reference's comment intended; its
+    code keeps the current week)."""
+    if isinstance(as_of, str):
+        as_of = _dt.date.fromisoformat(as_of)
+    if isinstance(as_of, _dt.datetime):
+        as_of = as_of.date()
+    return as_of - _dt.timedelta(days=as_of.weekday() + 1)

@@ -73,6 +73,28 @@ def clean_bars(bronze: DataFrame, lenient: bool = False) -> DataFrame:
     )
 
 
+_TEXT_COLUMNS = {
+    "open_price": "OPEN_PRICE",
+    "high_price": "HIGH_PRICE",
+    "low_price": "LOW_PRICE",
+    "close_price": "CLOSE_PRICE",
+    "TTL_TRD_QNTY": "TTL_TRD_QNTY",
+    "DELIV_QTY": "DELIV_QTY",
+}
+
+
+def clean_bars_losses(bronze: DataFrame) -> DataFrame:
+    """What ``lenient=True`` turns into NULL: per column, the number of
+    non-blank texts that do not convert (one aggregation, combined map-side)."""
+    kept = bronze.filter((F.trim(F.col("SERIES")) == "EQ") & F.col("_file_date").isNotNull())
+    aggs = []
+    for out, src in _TEXT_COLUMNS.items():
+        conv = _price(src, True) if out.endswith("price") else _quantity(src, True)
+        lost = F.nullif(F.trim(F.col(src)), F.lit("")).isNotNull() & conv.isNull()
+        aggs.append(F.count(F.when(lost, F.lit(1))).alias(out))
+    return kept.agg(*aggs)
+
+
 # ------------------------------------------------------------------ shared steps
 def through_week(bars: DataFrame, as_of=None) -> DataFrame:
     """Keep bars whose week is not after the week of ``as_of`` (the current
