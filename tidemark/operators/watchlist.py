@@ -40,7 +40,7 @@ def normalise_reminder(raw: Column) -> Column:
     space and ':00' is added to a 16-character value; blank -> NULL."""
     s = F.replace(raw, F.lit("T"), F.lit(" "))
     s = F.when(F.length(s) == 16, F.concat(s, F.lit(":00"))).otherwise(s)
-    ts = F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
+    ts = s.try_cast("timestamp_ntz")  # wall-clock text, independent of the session time zone
     return F.when(raw.isNull() | (raw == ""), F.lit(None).cast("timestamp_ntz")).otherwise(ts)
 
 
@@ -57,7 +57,6 @@ def watchlist_apply(current: DataFrame, changes: DataFrame, order_cols=("ts", "s
         F.max_by(F.struct("note", "file_name", "reminder_time"), F.col("_o")).alias("_last"),
         F.max_by(F.col("event_id"), F.when(F.col("event_id").isNotNull(), F.col("_o"))).alias("_event"),
         F.min("_o").alias("_first"),
-        F.max(F.col("_del").isNotNull()).alias("_had_delete"),
     )
     upserted = folded.select(
         "symbol",
@@ -66,7 +65,6 @@ def watchlist_apply(current: DataFrame, changes: DataFrame, order_cols=("ts", "s
         normalise_reminder(F.col("_last.reminder_time")).alias("reminder_time"),
         "_event",
         "_first",
-        "_had_delete",
     )
 
     kept = current.join(last_del.select("symbol"), "symbol", "left_anti")
