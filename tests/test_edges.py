@@ -126,6 +126,8 @@ def test_landing_flat_and_folder_layout(spark, tmp_path):
     existing = raw_df(spark, {"sec_bhavdata_full_05012024.csv": "old"})
     new = landing.land_files(spark, str(flat), existing)
     assert new.count() == 0
+    assert landing.read_landing(spark, str(flat), modified_after="2999-01-01T00:00:00").count() == 0
+    assert landing.read_landing(spark, str(flat), modified_after="2000-01-01T00:00:00").count() == 1
 
 
 # ------------------------------------------------------------------ silver

@@ -66,3 +66,13 @@ def test_pending_files_reduces_bronze_before_the_join(spark):
     p = plan(landing.pending_files(raw, bhavcopy.bronze_rows(raw)))
     assert "LeftAnti" in p
     assert p.count("HashAggregate") >= 2  # distinct names, partial + final
+
+
+def test_run_week_bound_reaches_the_scan(spark, tmp_path):
+    """On a stored bars table the run-week filter is a pushed Parquet filter."""
+    path = str(tmp_path / "bars")
+    X.bars(spark, SF_SMALL).write.parquet(path)
+    bars = spark.read.parquet(path)
+    p = plan(silver.weekly_volume(bars, "2000-07-16"))
+    pushed = re.search(r"PushedFilters: \[([^\]]*)\]", p).group(1)
+    assert "LessThan(_file_date,2000-07-17)" in pushed, p

@@ -98,8 +98,10 @@ def clean_bars_losses(bronze: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ shared steps
 def through_week(bars: DataFrame, as_of=None) -> DataFrame:
     """Keep bars whose week is not after the week of ``as_of`` (the current
-    week is kept)."""
-    return bars.filter(week_start("_file_date") <= week_start(as_of_date(as_of)))
+    week is kept).  Written as ``_file_date < Monday after`` -- the same rows
+    as comparing week starts, but a plain bound on the column that folds to a
+    literal and reaches the Parquet scan (row-group and partition pruning)."""
+    return bars.filter(F.col("_file_date") < F.date_add(week_start(as_of_date(as_of)), 7))
 
 
 def weekly_input(bars: DataFrame, as_of=None) -> DataFrame:

@@ -24,9 +24,15 @@ def landed_name(path: Column, name: Column) -> Column:
     return F.when(from_dir != "", F.url_decode(from_dir)).otherwise(name)
 
 
-def read_landing(spark: SparkSession, landing_dir: str) -> DataFrame:
-    """Every file in ``landing_dir`` as ``(filename, content)``."""
-    df = spark.read.option("recursiveFileLookup", True).text(landing_dir, wholetext=True)
+def read_landing(spark: SparkSession, landing_dir: str, modified_after: str | None = None) -> DataFrame:
+    """Every file in ``landing_dir`` as ``(filename, content)``.  A landing
+    directory only grows, so a scheduled run can pass ``modified_after``
+    (``yyyy-MM-ddTHH:mm:ss``) to skip older files at listing time instead of
+    reading their contents and anti-joining them away."""
+    reader = spark.read.option("recursiveFileLookup", True)
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after)
+    df = reader.text(landing_dir, wholetext=True)
     return df.select(
         landed_name(F.col("_metadata.file_path"), F.col("_metadata.file_name")).alias("filename"),
         F.col("value").alias("content"),
@@ -47,10 +53,14 @@ def new_raw_files(candidates: DataFrame, existing: DataFrame | None, loaded_at:
 
 
 def land_files(
-    spark: SparkSession, landing_dir: str, existing: DataFrame | None = None, loaded_at: Column | None = None
+    spark: SparkSession,
+    landing_dir: str,
+    existing: DataFrame | None = None,
+    loaded_at: Column | None = None,
+    modified_after: str | None = None,
 ) -> DataFrame:
     """New raw-file rows from a landing directory (not yet in ``existing``)."""
-    return new_raw_files(read_landing(spark, landing_dir), existing, loaded_at)
+    return new_raw_files(read_landing(spark, landing_dir, modified_after), existing, loaded_at)
 
 
 def append_raw_files(rows: DataFrame, raw_path: str) -> None:
