@@ -74,10 +74,16 @@ def flag(cond: Column) -> Column:
     return F.when(cond, F.lit(YES)).otherwise(F.lit(NO))
 
 
+# The characters Python's ``str.strip()`` removes, derived from Python's own
+# definition rather than listed by hand.
+PY_WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+
+
 def strip_ws(x) -> Column:
     """``str.strip()``: remove any whitespace (not only spaces) at both ends.
-    Plain ``trim`` removes spaces only."""
-    return F.regexp_replace(_c(x), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    Plain ``trim`` removes spaces only; ``btrim`` with Python's whitespace set
+    is code-generated (no regex per value)."""
+    return F.btrim(_c(x), F.lit(PY_WHITESPACE))
 
 
 def strip_upper(x) -> Column:
