@@ -75,7 +75,8 @@ def test_pipeline_is_idempotent_and_stream_matches_batch(spark):
 
     stream_bronze = scratch_dir(spark, "t-stream")
     ckpt = scratch_dir(spark, "t-ckpt")
-    ingest.stream_ingest(spark, land, stream_bronze, ckpt)
+    q = ingest.stream_ingest(spark, land, stream_bronze, ckpt, max_files_per_trigger=200)
+    assert len(q.recentProgress) > 1  # the backlog was split into bounded batches
     ingest.stream_ingest(spark, land, stream_bronze, ckpt)  # restart: nothing new
     streamed = spark.read.parquet(stream_bronze).drop("_loaded_at")
     assert rows(streamed) == rows(bronze)

@@ -89,4 +89,4 @@ def pending_files(raw: DataFrame, bronze: DataFrame) -> DataFrame:
     side is reduced to distinct names (partial aggregation) before the anti
     join, so only one row per file crosses the shuffle."""
     done = bronze.select(F.col("_source_file").alias("filename")).distinct()
-    return raw.join(done, "filename", "left_anti")
+    return raw.join(done, "filename", "left_anti").select(*raw.columns)
