@@ -76,3 +76,13 @@ def test_run_week_bound_reaches_the_scan(spark, tmp_path):
     p = plan(silver.weekly_volume(bars, "2000-07-16"))
     pushed = re.search(r"PushedFilters: \[([^\]]*)\]", p).group(1)
     assert "LessThan(_file_date,2000-07-17)" in pushed, p
+
+
+def test_prepartitioned_bars_need_no_new_exchange(spark):
+    """Bars already hash-partitioned by symbol (as a bucketed table would be):
+    the fused checks add no exchange of their own."""
+    bars = X.bars(spark, SF_SMALL).repartition(8, "symbol")
+    stats = silver.weekly_stats(bars, "2001-11-04")
+    p = plan(stats)
+    assert len(re.findall(r"Exchange hashpartitioning\(symbol#\d+, 8\), REPARTITION_BY_NUM", p)) == 1, p
+    assert not re.search(r"Exchange hashpartitioning\(symbol#\d+, \d+\), ENSURE_REQUIREMENTS", p), p

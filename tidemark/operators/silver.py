@@ -231,8 +231,12 @@ def moving_average_50w(bars: DataFrame, as_of=None, ma_weeks: int = 50) -> DataF
 def weekly_stats(
     bars: DataFrame, as_of=None, factor=3, weeks: int = 26, high_weeks: int = 26, ma_weeks: int = 50
 ) -> DataFrame:
-    """Both checks for every weekly close in ONE pass over the bars (one
-    shuffle by symbol, then windows that all reuse it).
+    """Both checks for every weekly close in ONE pass over the bars.
+
+    Every window is partitioned by ``symbol`` alone (per-week values use a
+    RANGE frame over the equal ``week_start`` peers), so Spark needs a single
+    hash exchange by symbol -- and none at all when the bars are already
+    partitioned or bucketed by symbol.
 
     Rows are the weekly closes (duplicates kept).  Each carries its week's
     total volume; the surge mean averages only the first row of each prior
@@ -240,15 +244,24 @@ def weekly_stats(
     prior ``weeks`` traded weeks exactly as the per-week table gives it, and
     the breakout frames count weekly-close rows as before.  Joining the two
     separate checks on (symbol, _file_date) yields the same rows."""
-    week = Window.partitionBy("symbol", "week_start")
     by_week = Window.partitionBy("symbol").orderBy("week_start")
+    same_week = by_week.rangeBetween(Window.currentRow, Window.currentRow)
     by_date = Window.partitionBy("symbol").orderBy("_file_date")
+    base = through_week(bars, as_of).select(
+        "symbol", "_file_date", "close_price", "TTL_TRD_QNTY", week_start("_file_date").alias("week_start")
+    )
     closes = (
-        weekly_input(bars, as_of)
-        .withColumn("_week_sum", F.sum("TTL_TRD_QNTY").over(week))
-        .withColumn("_week_end", F.max("_file_date").over(week))
+        base.withColumn("_week_sum", F.sum("TTL_TRD_QNTY").over(same_week))
+        .withColumn("_week_end", F.max("_file_date").over(same_week))
         .filter(F.col("_file_date") == F.col("_week_end"))
-        .withColumn("_first", F.row_number().over(week.orderBy("_file_date")) == 1)
+        .withColumn(
+            "_first",
+            F.coalesce(
+                F.lag("week_start").over(Window.partitionBy("symbol").orderBy("week_start", "_file_date"))
+                != F.col("week_start"),
+                F.lit(True),
+            ),
+        )
         .withColumn("_wk", F.dense_rank().over(by_week))
     )
     prior = Window.partitionBy("symbol").orderBy("_wk").rangeBetween(-weeks, -1)
