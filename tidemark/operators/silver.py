@@ -5,9 +5,10 @@ Scale notes
 Bars hold one row per (symbol, trading day), so the rows of one symbol are
 bounded by the calendar (about 250 a year) no matter how large the raw feed
 is.  Every weekly step is keyed by symbol, so the bars are hash-partitioned
-on ``symbol`` once (``weekly_input``); the weekly aggregate, the per-week rank
-and the look-back windows all reuse that one exchange, and the surge and
-breakout branches share it as a reused exchange.
+on ``symbol`` once: every weekly step is a window partitioned by ``symbol``
+alone (``weekly_rows``), so Spark inserts one exchange per branch (none when
+the bars are already partitioned or bucketed by symbol), and the signal
+queries compute both checks in a single branch (``weekly_stats``).
 
 Frames count traded weeks (rows), never calendar time, so history is never
 pruned by date before a window.
@@ -104,18 +105,35 @@ def through_week(bars: DataFrame, as_of=None) -> DataFrame:
     return bars.filter(F.col("_file_date") < F.date_add(week_start(as_of_date(as_of)), 7))
 
 
-def weekly_input(bars: DataFrame, as_of=None) -> DataFrame:
-    """The one shuffle every weekly step shares: bars up to the run week,
-    projected to the columns the checks need and hash-partitioned by symbol.
-    Every consumer builds the identical plan, so Spark runs the exchange once
-    and reuses it (surge, breakout, anchor subquery, market week ends)."""
+def _by_week() -> Window:
+    return Window.partitionBy("symbol").orderBy("week_start")
+
+
+def _same_week() -> Window:
+    return _by_week().rangeBetween(Window.currentRow, Window.currentRow)
+
+
+def weekly_rows(bars: DataFrame, as_of=None) -> DataFrame:
+    """Bars up to the run week with their week's total quantity and last date.
+
+    The per-week values are windows partitioned by ``symbol`` alone (a RANGE
+    frame over equal ``week_start`` peers), so every weekly step downstream
+    shares one hash exchange by symbol, inserted by Spark -- or none when the
+    bars are already partitioned or bucketed by symbol."""
     return (
         through_week(bars, as_of)
         .select("symbol", "_file_date", "close_price", "TTL_TRD_QNTY", week_start("_file_date").alias("week_start"))
-        .repartition("symbol")
+        .withColumn("_week_sum", F.sum("TTL_TRD_QNTY").over(_same_week()))
+        .withColumn("_week_end", F.max("_file_date").over(_same_week()))
     )
 
 
+def _first_of_week() -> Column:
+    """True on exactly one row per (symbol, week)."""
+    prev = F.lag("week_start").over(Window.partitionBy("symbol").orderBy("week_start", "_file_date"))
+    return F.coalesce(prev != F.col("week_start"), F.lit(True))
+
+
 def anchor_date(bars: DataFrame, as_of=None) -> Column:
     """Latest bar date up to the week of ``as_of``, as an uncorrelated scalar
     subquery (computed once, then used as a literal).  It equals both the
@@ -139,20 +157,19 @@ def market_week_ends(bars: DataFrame, as_of=None) -> DataFrame:
 def weekly_volume(bars: DataFrame, as_of=None) -> DataFrame:
     """Per (symbol, week): last traded date and summed quantity."""
     return (
-        weekly_input(bars, as_of)
-        .groupBy("symbol", "week_start")
-        .agg(F.max("_file_date").alias("week_end_date"), F.sum("TTL_TRD_QNTY").alias("weekly_sum"))
+        weekly_rows(bars, as_of)
+        .withColumn("_first", _first_of_week())
+        .filter(F.col("_first"))
+        .select("symbol", "week_start", F.col("_week_end").alias("week_end_date"), F.col("_week_sum").alias("weekly_sum"))
     )
 
 
 def weekly_close(bars: DataFrame, as_of=None) -> DataFrame:
     """Bars on each symbol's last trading date of each week.  A duplicated
     (symbol, date) bar yields two rows, as the self-join form would."""
-    w = Window.partitionBy("symbol", "week_start").orderBy(F.col("_file_date").desc())
     return (
-        weekly_input(bars, as_of)
-        .withColumn("_rk", F.rank().over(w))
-        .filter(F.col("_rk") == 1)
+        weekly_rows(bars, as_of)
+        .filter(F.col("_file_date") == F.col("_week_end"))
         .select("symbol", "week_start", "_file_date", "close_price")
     )
 
@@ -244,25 +261,12 @@ def weekly_stats(
     prior ``weeks`` traded weeks exactly as the per-week table gives it, and
     the breakout frames count weekly-close rows as before.  Joining the two
     separate checks on (symbol, _file_date) yields the same rows."""
-    by_week = Window.partitionBy("symbol").orderBy("week_start")
-    same_week = by_week.rangeBetween(Window.currentRow, Window.currentRow)
     by_date = Window.partitionBy("symbol").orderBy("_file_date")
-    base = through_week(bars, as_of).select(
-        "symbol", "_file_date", "close_price", "TTL_TRD_QNTY", week_start("_file_date").alias("week_start")
-    )
     closes = (
-        base.withColumn("_week_sum", F.sum("TTL_TRD_QNTY").over(same_week))
-        .withColumn("_week_end", F.max("_file_date").over(same_week))
+        weekly_rows(bars, as_of)
         .filter(F.col("_file_date") == F.col("_week_end"))
-        .withColumn(
-            "_first",
-            F.coalesce(
-                F.lag("week_start").over(Window.partitionBy("symbol").orderBy("week_start", "_file_date"))
-                != F.col("week_start"),
-                F.lit(True),
-            ),
-        )
-        .withColumn("_wk", F.dense_rank().over(by_week))
+        .withColumn("_first", _first_of_week())
+        .withColumn("_wk", F.dense_rank().over(_by_week()))
     )
     prior = Window.partitionBy("symbol").orderBy("_wk").rangeBetween(-weeks, -1)
     avg = F.avg(F.when(F.col("_first"), F.col("_week_sum"))).over(prior)
