@@ -4,11 +4,11 @@ Scale notes
 -----------
 Bars hold one row per (symbol, trading day), so the rows of one symbol are
 bounded by the calendar (about 250 a year) no matter how large the raw feed
-is.  Every weekly step is keyed by symbol, so the bars are hash-partitioned
-on ``symbol`` once: every weekly step is a window partitioned by ``symbol``
-alone (``weekly_rows``), so Spark inserts one exchange per branch (none when
-the bars are already partitioned or bucketed by symbol), and the signal
-queries compute both checks in a single branch (``weekly_stats``).
+is, and hashing by symbol is skew-safe.  Every weekly step is a window
+partitioned by ``symbol`` alone (``weekly_rows``), so Spark inserts a single
+exchange by symbol per branch -- none when the bars are already partitioned
+or bucketed by symbol -- and the signal queries compute both checks in one
+branch (``weekly_stats``).
 
 Frames count traded weeks (rows), never calendar time, so history is never
 pruned by date before a window.
