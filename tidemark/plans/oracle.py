@@ -205,7 +205,9 @@ SELECT x2_symbol AS symbol, open_price, high_price, low_price, close_price, TTL_
 FROM x2 WHERE {KEEP}
 """
 
-EVEN_DAY = "day(_file_date) % 2 = 0"
+# Files a previous run already processed: those dated before this day.
+PREVIOUS_RUN = "1998-07-01"
+DONE_BEFORE = f"_file_date < DATE '{PREVIOUS_RUN}'"
 
 
 # ------------------------------------------------------------ serving views

@@ -171,29 +171,31 @@ def _landing_dir(spark: SparkSession, sf: str) -> str:
     return _LANDING[key]
 
 
-def _even_day_bronze(raw: DataFrame) -> DataFrame:
-    """Bronze already holding the files of even days of the month."""
-    return bhavcopy.bronze_rows(raw.filter(F.dayofmonth(file_date_from_name("filename")) % 2 == 0))
+def _processed_before(raw: DataFrame) -> DataFrame:
+    """Raw files a previous run already handled: those dated before its day."""
+    return raw.filter(file_date_from_name("filename") < F.lit(O.PREVIOUS_RUN).cast("date"))
 
 
 @register(
     "pending_files",
-    f"WITH {O.x2_ctes()}, done AS (SELECT DISTINCT _source_file FROM x2f WHERE {O.EVEN_DAY} AND {O.KEEP})\n"
+    f"WITH {O.x2_ctes()}, done AS (SELECT DISTINCT _source_file FROM x2f WHERE {O.DONE_BEFORE} AND {O.KEEP})\n"
     "SELECT filename, content FROM x2raw WHERE filename NOT IN (SELECT _source_file FROM done)",
 )
 def q_pending_files(spark, sf):
     raw = X.raw_files(spark, sf)
-    return landing.pending_files(raw, _even_day_bronze(raw))
+    return landing.pending_files(raw, bhavcopy.bronze_rows(_processed_before(raw)))
 
 
 @register(
     "land_files",
     f"WITH {O.x2_ctes()}\n"
     "SELECT filename, content FROM x2raw\n"
-    "WHERE day(strptime(regexp_extract(filename, '([0-9]{8})', 1), '%d%m%Y')) % 2 = 1",
+    "WHERE CAST(strptime(regexp_extract(filename, '([0-9]{8})', 1), '%d%m%Y') AS DATE) >= DATE '"
+    + O.PREVIOUS_RUN
+    + "'",
 )
 def q_land_files(spark, sf):
-    existing = X.raw_files(spark, sf).filter(F.dayofmonth(file_date_from_name("filename")) % 2 == 0)
+    existing = _processed_before(X.raw_files(spark, sf))
     return landing.land_files(spark, _landing_dir(spark, sf), existing).select("filename", "content")
 
 
