@@ -85,6 +85,15 @@ def test_pipeline_is_idempotent_and_stream_matches_batch(spark):
     ref = gold.weekly_signal_history(silver.clean_bars(bronze), "2000-12-31")
     assert rows(hist) == rows(ref)
 
+    views = pipeline.register_views(spark, third)
+    assert "gold_historical_signals" in views and "silver_bhavcopy_clean" in views
+    dash = spark.sql(
+        "SELECT _file_date, date_format(_file_date, 'MM-yyyy') AS month_year, symbol, close_price, "
+        "`50w_Moving_avg` AS `50-week moving average`, prev_180d_friday_high, `3X_180dvol_MULTIPLE`, "
+        "IS_3X_SURGE, IS_BREAKOUT AS IS_PRICE_BREAKOUT FROM gold_signal_history ORDER BY `3X_180dvol_MULTIPLE` DESC"
+    )
+    assert dash.count() == hist.count()
+
 
 def test_run_date_filter_reaches_current_week_only(spark):
     bars = X.bars(spark, SF_SMALL)
