@@ -15,10 +15,20 @@ from pyspark.sql import SparkSession
 _CKPT_KEY = "spark.checkpoint.dir"
 
 
-def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "tidemark") -> SparkSession:
-    """A session configured the way the library is tested (UTC, AQE on, UI off)."""
+def get_session(
+    master: str = "local[*]",
+    shuffle_partitions: int = 8,
+    app: str = "tidemark",
+    driver_memory: str | None = None,
+) -> SparkSession:
+    """A session configured the way the library is tested (UTC, AQE on, UI off).
+    In local mode every task runs inside the driver JVM, so ``driver_memory``
+    is its whole heap (Spark's default is 1g)."""
+    builder = SparkSession.builder
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     spark = (
-        SparkSession.builder.master(master)
+        builder.master(master)
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
