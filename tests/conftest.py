@@ -14,7 +14,7 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from tidemark.session import get_session
 
-    s = get_session("local[*]", shuffle_partitions=8)
+    s = get_session("local[*]", shuffle_partitions=8, driver_memory="8g")
     yield s
     s.stop()
 
