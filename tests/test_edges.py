@@ -64,11 +64,11 @@ def test_parse_na_padding_crlf_and_blank_lines(spark):
 
 
 def test_blank_lines_and_quoted_commas(spark):
-    content = "\n \t\n" + HEADER + "\n\t\n" + line('"A,B"') + "\n  \n,\n"
+    content = "\n \t\n" + HEADER + "\n\t\n" + line('"A,B"') + "\n  \n,\n" + line('"Q""T"') + "\n"
     out = bhavcopy.parse_bhavcopy(raw_df(spark, {"sec_bhavdata_full_05012024.csv": content}))
     assert bhavcopy.file_errors(raw_df(spark, {"sec_bhavdata_full_05012024.csv": content})).count() == 0
     got = rows(out, "SYMBOL", "SERIES")
-    assert got == sorted([("A,B", "EQ"), (None, None)], key=repr)
+    assert got == sorted([("A,B", "EQ"), (None, None), ('Q"T', "EQ")], key=repr)
 
 
 def test_bad_files_are_reported_and_yield_no_rows(spark):
