@@ -78,9 +78,10 @@ def signals_page(view: DataFrame, month: str = "all", page: int = 1, page_size:
     )
 
 
-def signal_month_counts(view: DataFrame) -> DataFrame:
+def signal_month_counts(view: DataFrame, chronological: bool = False) -> DataFrame:
     """Distinct symbols and rows per month plus an ``all`` row; months in
-    reverse text order of ``MM-yyyy`` (so 12-2025 precedes 01-2026)."""
+    reverse text order of ``MM-yyyy`` (so 12-2025 precedes 01-2026), or
+    newest month first with ``chronological=True``."""
     per_month = view.groupBy("month_year").agg(
         F.countDistinct("symbol").alias("symbol_count"), F.count(F.lit(1)).alias("row_count")
     )
@@ -89,9 +90,9 @@ def signal_month_counts(view: DataFrame) -> DataFrame:
         F.countDistinct("symbol").alias("symbol_count"),
         F.count(F.lit(1)).alias("row_count"),
     )
-    return per_month.unionByName(overall).orderBy(
-        (F.col("month_year") == "all").desc(), F.col("month_year").desc()
-    )
+    month_start = F.try_to_timestamp(F.concat(F.lit("01-"), F.col("month_year")), F.lit("dd-MM-yyyy"))
+    key = month_start if chronological else F.col("month_year")
+    return per_month.unionByName(overall).orderBy((F.col("month_year") == "all").desc(), key.desc())
 
 
 def signals_json(view: DataFrame) -> DataFrame:
