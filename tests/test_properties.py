@@ -9,7 +9,6 @@ from decimal import Decimal
 import duckdb
 import numpy as np
 from pyspark.sql import Window
-from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import exact_decimal_mean, round_half_away, round_half_even
 from tidemark.sources import bhavcopy
