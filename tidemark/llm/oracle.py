@@ -57,3 +57,22 @@ ORACLE: dict[str, str] = {
     "op5_top_k_search": OP5,
     "op8_benchmark_decontamination": OP8,
 }
+
+OP2 = r"""
+WITH d AS (
+  SELECT doc_id, [x FOR x IN string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS w FROM documents
+), wins AS (
+  SELECT doc_id, p, md5(array_to_string(w[p:p + 49], ' ')) AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM d)
+), firsts AS (SELECT s, min(doc_id) AS first FROM wins GROUP BY s),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS i FROM wins JOIN firsts USING (s) WHERE first < doc_id
+), words AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+  FROM words WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.doc_id = words.doc_id AND gone.i = words.i) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+ORACLE["op2_substring_dedup"] = OP2

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, topk, urls
+from . import chat, decontaminate, langid, phrases, tokencount, topk, toxicity, urls
 from .common import table
 from .oracle import ORACLE
 
@@ -21,6 +21,19 @@ URL_RULES = (
 MARKED = r"\### Assistant: </turn> ok"
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(table(spark, sf_dir, "documents"))
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.digests(table(spark, sf_dir, "documents"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.severities(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and conversation -7, which comes as a list of messages."""
     own = spark.range(1).select(
@@ -35,6 +48,11 @@ def op5_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, *langid.train(langid.sample(docs, ~langid.held_out(F.col("doc_id")))))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -46,8 +64,12 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_token_counts,
+        op2_substring_dedup,
+        op3_toxicity,
         op4_chat_formatting,
         op5_top_k_search,
+        op7_language_id,
         op8_benchmark_decontamination,
         op9_url_filter,
     )
