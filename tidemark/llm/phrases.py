@@ -252,10 +252,9 @@ def _kept(words: list[bytes], spans: list[dict] | None) -> list[bytes]:
 def with_spans(docs: DataFrame, **options: int) -> DataFrame:
     """All rows and columns of ``docs``, and the ``_spans`` to remove."""
     spans = repeated_spans(docs, **options).distinct()
-    per = stored(spans.groupBy("doc_id", "tk").agg(F.collect_list(F.struct("a", "b")).alias("_spans"), F.count("*").alias("n")), "spans")
-    total = per.agg(F.sum("n")).first()[0] or 0
-    side = per.select(F.col("doc_id").alias("_d"), F.col("tk").alias("_k"), "_spans")
-    side = F.broadcast(side) if total <= 500_000 else side
+    per = stored(spans.groupBy("doc_id", "tk").agg(F.collect_list(F.struct("a", "b")).alias("_spans")), "spans")
+    # a merge join at every size: the spans grow with the documents
+    side = per.select(F.col("doc_id").alias("_d"), F.col("tk").alias("_k"), "_spans").hint("merge")
     return docs.join(side, (F.col("doc_id").cast("long") == F.col("_d")) & (F.xxhash64("text") == F.col("_k")), "left").drop("_d", "_k")
 
 
