@@ -46,7 +46,7 @@ MANY = 200
 #: An automaton is compiled for about so many phrase words at a time.
 SHARD_WORDS = 400_000
 
-_SEGMENTS = "doc_id long, tk long, h long, sh long, at int, m int"
+_SEGMENTS = "doc_id long, tk long, h long, sh long, ats array<int>, m int"
 
 
 def least_at(values: np.ndarray, width: int) -> np.ndarray:
@@ -85,8 +85,15 @@ def _passages(window: int, gram: int):
                 h = anchor_hash[anchor[new]]
                 sh = w.runs(start, start + m + window - 1)
                 r = row[start]
-                cols = [ids[lo + r], keys[lo + r], _signed(h), _signed(sh), (start - w.first[r]).astype(np.int32), m.astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["doc_id", "tk", "h", "sh", "at", "m"])
+                # a row for each different passage of a document, with all its places: a text
+                # that repeats itself has as few rows as any other
+                same = mix(sh + mix(r.astype(np.uint64)))
+                order = np.argsort(same, kind="stable")
+                head = np.flatnonzero(np.concatenate([[True], same[order[1:]] != same[order[:-1]]]))
+                one = order[head]
+                places = pa.ListArray.from_arrays(pa.array(np.append(head, len(order)), pa.int32()), pa.array((start - w.first[r])[order], pa.int32()))
+                cols = [ids[lo + r[one]], keys[lo + r[one]], _signed(h[one]), _signed(sh[one])]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, cols), places, pa.array(m[one], pa.int32())], names=["doc_id", "tk", "h", "sh", "ats", "m"])
 
     return run
 
@@ -215,7 +222,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, many
     found = base.mapInArrow(_passages(window, gram), _SEGMENTS)
     recurring = found.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("h")
     passages = stored(found.join(recurring, "h", "left_semi"), "passages")
-    owned = passages.groupBy("h", "sh").agg(F.min(F.struct("doc_id", "tk", "at", "m")).alias("o")).select("h", "sh", "o.*")
+    owned = passages.select("h", "sh", "doc_id", "tk", F.element_at("ats", 1).alias("at"), "m")
+    owned = owned.groupBy("h", "sh").agg(F.min(F.struct("doc_id", "tk", "at", "m")).alias("o")).select("h", "sh", "o.*")
     owned = stored(owned, "passage-owners")
     salts = F.ceil(F.count("*") / many).cast("int").alias("salts")
     frequent = stored(owned.groupBy("h").agg(salts).filter("salts > 1"), "frequent-anchors")
@@ -235,7 +243,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, many
         streams = streams.unionByName(phrases.select("h", F.lit(0).cast("long").alias("sh"), "salt", F.lit(True).alias("phrase"), "first", "text"))
     dealt = streams.repartition("h", "salt").sortWithinPartitions("h", "salt")
     spans = stored(dealt.mapInArrow(_locate(window), _FOUND), "phrase-spans")
-    hits = passages.join(spans, ["h", "sh"]).filter(F.col("first") < F.col("doc_id"))
+    hits = passages.join(spans, ["h", "sh"]).filter(F.col("first") < F.col("doc_id")).withColumn("at", F.explode("ats"))
     return hits.select("doc_id", "tk", (F.col("at") + F.col("a")).alias("a"), (F.col("at") + F.col("b") + (window - 1)).alias("b"))
 
 
