@@ -76,3 +76,21 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0)
 FROM d LEFT JOIN kept USING (doc_id)
 """
 ORACLE["op2_substring_dedup"] = OP2
+
+OP6 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, [x FOR x IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF x <> ''] AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(w[p:p + 3], ' ')) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 2)) AS p FROM d WHERE len(w) >= 4)
+  UNION ALL SELECT doc_id, 'all ' || array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 3
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reach.b) AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id
+"""
+ORACLE["op6_jaccard_join"] = OP6

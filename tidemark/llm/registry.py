@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, langid, phrases, tokencount, topk, toxicity, urls
+from . import chat, decontaminate, jaccard, langid, phrases, tokencount, topk, toxicity, urls
 from .common import table
 from .oracle import ORACLE
 
@@ -48,6 +48,10 @@ def op5_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked(table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.identify(docs, *langid.train(langid.sample(docs, ~langid.held_out(F.col("doc_id")))))
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_toxicity,
         op4_chat_formatting,
         op5_top_k_search,
+        op6_jaccard_join,
         op7_language_id,
         op8_benchmark_decontamination,
         op9_url_filter,
