@@ -82,3 +82,9 @@ def contained(docs: DataFrame, items: DataFrame, k: int = WORDS, threshold: tupl
     shared, size = F.size(F.array_intersect("wanted", "s")), F.size("wanted")
     rows = both.select("doc_id", "item_id", shared.alias("shared"), size.alias("size")).filter(F.col("shared") * den >= F.col("size") * num)
     return rows.groupBy("doc_id", "item_id").agg(F.max("shared").cast("long").alias("shared"), F.max("size").cast("long").alias("size"))
+
+
+def without_items(docs: DataFrame, items: DataFrame, k: int = WORDS, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that contain no item, all columns."""
+    leaks = contained(docs, items, k, threshold).select(F.col("doc_id").alias("_d")).distinct()
+    return docs.join(small(stored(leaks, "leaks")), F.col("doc_id") == F.col("_d"), "left_anti")

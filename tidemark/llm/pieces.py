@@ -53,3 +53,33 @@ def load(path: str = MODEL) -> Pieces:
         byte_ids,
         zipf(n),
     )
+
+
+def viterbi(word: str, pieces: Pieces) -> list[int]:
+    """Ids of the best spelling of one word: highest score, then fewest pieces,
+    then the longest last piece."""
+    text = SPACE + word
+    best: list[tuple[int, int, int, int]] = [(0, 0, 0, 0)]  # score, pieces, start, id
+    longest = pieces.longest
+    for end in range(1, len(text) + 1):
+        top: tuple[int, int, int, int] | None = None
+        for start in range(max(0, end - longest), end):
+            piece = text[start:end]
+            score, i = pieces.scores.get(piece), pieces.ids.get(piece, -1)
+            n = 1
+            if score is None:
+                if end - start > 1:
+                    continue
+                score, n = pieces.fallback(piece)
+            have = (best[start][0] + score, best[start][1] + n, start, i)
+            if top is None or have[0] > top[0] or have[0] == top[0] and have[1] < top[1]:
+                top = have
+        best.append(top)
+    out: list[int] = []
+    at = len(text)
+    while at:
+        _, _, start, i = best[at]
+        own = [i] if i >= 0 else [pieces.byte_ids[b] for b in text[start:at].encode("utf-8", "surrogatepass")]
+        out[:0] = own
+        at = start
+    return out

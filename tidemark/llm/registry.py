@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, jaccard, langid, phrases, tokencount, topk, toxicity, urls
+from . import chat, decontaminate, jaccard, langid, lattice, phrases, tokencount, topk, toxicity, urls
 from .common import table
 from .oracle import ORACLE
 
@@ -65,6 +65,10 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES).drop("score")
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_language_id,
         op8_benchmark_decontamination,
         op9_url_filter,
+        op10_sentencepiece,
     )
 }
 
