@@ -5,7 +5,9 @@ documents link if ``den * |A & B| >= num * |A | B|``; the result is the componen
 of each document.  All links count: none is lost to a cap or a sample.
 
 1. Equal sets are one class, represented by its smallest document.
-2. Classes that share a part signature (see ``setparts``) form a group.  Groups of
+2. Classes that share a part signature (see ``setparts``) form a group; the
+   elements of frequent passages are counted first, so that these do not make
+   groups.  Groups of
    up to ``ALL_PAIRS`` classes give all their pairs, larger ones pair their first
    member with the others.
 3. Pairs that differ in too many bits of a 1024-bit parity sketch go: each element
@@ -48,6 +50,8 @@ SKETCH = 1024
 BUCKETS = 512
 #: Sets whose signatures a task remembers to have given.
 SEEN = 100_000
+#: Elements named as common (see ``setparts``): in so many sets of a batch, at most so many in all.
+COMMON_IN, COMMON = 8, 200_000
 _U = np.uint64
 
 
@@ -58,21 +62,58 @@ def need(x: int, y: int, similar: tuple[int, int]) -> int:
 
 
 def _sets(k: int):
+    """Size and digest of each row's set; and rows (``element``) of the elements
+    that are in COMMON_IN or more different sets of a batch, with the number."""
+    names = ["element", "doc_id", "n", "d1", "d2"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, d1, d2 = [], [], []
+            seen: set[tuple[int, int]] = set()
+            held: list[np.ndarray] = []
+            much = 0
+
+            def often() -> pa.RecordBatch:
+                e, times = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, _U), np.zeros(0, np.int64))  # noqa: B023
+                e, times = e[times >= COMMON_IN], times[times >= COMMON_IN]
+                held.clear()  # noqa: B023
+                none = pa.nulls(len(e), pa.int64())
+                return pa.RecordBatch.from_arrays([pa.array(np.ones(len(e), bool)), none, pa.array(times.astype(np.int64)), pa.array(e.view(np.int64)), pa.array(np.zeros(len(e), np.int64))], names=names)
+
             for _, w in chunks(b["text"], lower=True):
                 for s in row_sets(w, k):
                     x = digest(s) if len(s) else (0, 0)
                     n.append(len(s))
                     d1.append(x[0])
                     d2.append(x[1])
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64())], names=["doc_id", "n", "d1", "d2"])
+                    if len(s) and x not in seen:
+                        seen.add(x)
+                        held.append(s)
+                        much += len(s)
+                if much > 2_000_000:
+                    yield often()
+                    much = 0
+            yield often()
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n), bool)), b["doc_id"], pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64())], names=names)
 
     return run
 
 
-def _signatures(k: int, similar: tuple[int, int], buckets: int):
+def common_elements(counts: DataFrame, most: int = COMMON) -> np.ndarray:
+    """The most frequent elements of ``(d1, n)``, at most ``most``, sorted."""
+    counts = stored(counts.groupBy("d1").agg(F.sum("n").alias("n")), "element-counts")
+    bins = counts.groupBy(F.floor(F.log2("n") * 8).alias("bin")).agg(F.count("*").alias("n")).collect()  # at most 64 * 8
+    total, least = 0, 1 << 62
+    for r in sorted(bins, reverse=True):
+        total += r.n
+        if total > most:
+            break
+        least = r.bin
+    rows = counts.filter(F.floor(F.log2("n") * 8) >= least).select("d1").toArrow()["d1"].to_numpy()
+    return np.sort(rows.astype(np.int64).view(_U))
+
+
+def _signatures(k: int, similar: tuple[int, int], buckets: int, common: np.ndarray):
     """Signatures with the key of their set, as one blob per bucket and kind."""
     names = ["bucket", "kind", "sigs", "keys"]
     kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
@@ -108,11 +149,11 @@ def _signatures(k: int, similar: tuple[int, int], buckets: int):
                     if len(seen) >= SEEN:
                         seen.clear()
                     seen.add(x)
-                    for kind, own in signatures(s, classes):
+                    for kind, own in signatures(s, classes, common):
                         sigs[kind].append(own)
                         keys[kind].append((x[0], len(own)))
                         held += len(own)
-                if held > 1_500_000:
+                if held > 500_000:
                     yield from flush()
                     held = 0
         yield from flush()
@@ -327,9 +368,11 @@ def _across(similar: tuple[int, int]):
 def linked(docs: DataFrame, k: int = SHINGLE, similar: tuple[int, int] = SIMILAR, buckets: int = BUCKETS) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` of each row of ``(doc_id, text)``."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = stored(base.mapInArrow(_sets(k), "doc_id long, n long, d1 long, d2 long"), "shingle-sets")
+    first = stored(base.mapInArrow(_sets(k), "element boolean, doc_id long, n long, d1 long, d2 long"), "shingle-sets")
+    sets = first.filter("not element").drop("element")
+    common = common_elements(first.filter("element").select("d1", "n"))
     classes = stored(sets.filter("n > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("r"), F.min("n").alias("n")), "set-classes")
-    blobs = base.filter("doc_id is not null").select("text").mapInArrow(_signatures(k, similar, buckets), "bucket int, kind int, sigs binary, keys binary")
+    blobs = base.filter("doc_id is not null").select("text").mapInArrow(_signatures(k, similar, buckets, common), "bucket int, kind int, sigs binary, keys binary")
     groups = blobs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_groups, "g long, d1 long").distinct()
     groups = stored(groups.join(classes, "d1").select("g", "r"), "signature-groups")
     wanted = classes.join(groups.select("r").distinct(), "r", "left_semi")

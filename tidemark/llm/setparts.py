@@ -8,13 +8,15 @@ signature.  So similar sets share a signature, whatever the data (no sampling).
 
 The number of parts depends on the size, so sizes are put into classes that grow
 by den / num: two similar sets are of one class or of neighbouring ones, and a
-set gives signatures for its own class and the one below.  Parts of few elements
-say little (an empty part is shared by most sets).  There are ``spare`` parts
+set gives signatures for its own class and the one below.  Weak parts say little:
+an empty part is shared by most sets.  There are ``spare`` parts
 more than differences; a set with at most so many weak parts leaves these out,
 since more than ``spare`` parts are shared.  A set with more weak parts deals its
 elements out once more with another seed; after the last seed it keeps all parts.
 A shared part is weak in both sets, so a pair is found at the first seed at which
-either of the two stops.
+either of the two stops.  Elements of frequent passages may be named as common:
+a part counts by its other elements only.  Any choice of them gives right results
+if all sets use the same; a good one keeps groups small.
 
 Small sets that can differ in one element only give the set itself and the set
 less each element instead: one set is then the other less one element.
@@ -33,8 +35,6 @@ from .wordhash import Words, mix
 
 _U = np.uint64
 SEEDS = 5
-#: From this size on, parts of one element are weak too.
-SINGLES = 48
 
 PART, WHOLE, LESS_ONE = 0, 1, 2
 
@@ -87,24 +87,25 @@ class Classes:
         return bisect_right(self.edges, n) - 1
 
     @lru_cache(maxsize=None)  # noqa: B019
-    def parts(self, j: int) -> tuple[int, int, int]:
-        """(parts, spare, largest weak part) of the scheme for classes j and j + 1."""
+    def parts(self, j: int) -> tuple[int, int]:
+        """(parts, spare) of the scheme for classes j and j + 1."""
         x = max(self.edges[j], self.edges[j + 1] - 1)
         differ = (x + x * self.den // self.num) * (self.den - self.num) // (self.den + self.num)
         low = self.edges[j]
-        weak = 1 if low >= SINGLES else 0
         for spare in range(2 * differ + 3):
             n = differ + 1 + spare
-            rate = low / n
-            p = math.exp(-rate) * (1 + weak * rate)
+            p = math.exp(-0.85 * low / n)  # of a part without an element that counts
             if spare >= n * p + 1.5 * math.sqrt(n * p):
                 break
-        return differ + 1 + spare, spare, weak
+        return differ + 1 + spare, spare
 
 
-def signatures(s: np.ndarray, classes: Classes) -> list[tuple[int, np.ndarray]]:
-    """``(kind, signatures)`` of a sorted set."""
+def signatures(s: np.ndarray, classes: Classes, common: np.ndarray | None = None) -> list[tuple[int, np.ndarray]]:
+    """``(kind, signatures)`` of a sorted set; ``common`` is sorted."""
     n = len(s)
+    own = np.ones(n, dtype=bool)
+    if common is not None and len(common):
+        own = common[np.minimum(np.searchsorted(common, s), len(common) - 1)] != s
     out: list[tuple[int, np.ndarray]] = []
     if n * classes.num <= classes.small * classes.den and n > 1:
         values = mix(s)
@@ -114,7 +115,7 @@ def signatures(s: np.ndarray, classes: Classes) -> list[tuple[int, np.ndarray]]:
         return out
     c = classes.of(n)
     for j in (c, c - 1):
-        m, spare, weak = classes.parts(j)
+        m, spare = classes.parts(j)
         for seed in range(SEEDS):
             salt = mix(np.array([(j + 1) * 1000 + seed], dtype=_U))[0]
             values = mix(s ^ salt)
@@ -124,7 +125,7 @@ def signatures(s: np.ndarray, classes: Classes) -> list[tuple[int, np.ndarray]]:
             sums = np.concatenate([[_U(0)], np.cumsum(mix(values)[order], dtype=_U)])
             ends = np.cumsum(size)
             sig = mix((sums[ends] - sums[ends - size]) + mix(np.arange(m, dtype=_U) + salt))
-            strong = size > weak
+            strong = np.bincount(part[own], minlength=m) > 0
             last = seed == SEEDS - 1
             enough = m - int(strong.sum()) <= spare
             out.append((PART, sig if last and not enough else sig[strong]))

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts are hashed in chunks of about so many bytes (one long text may exceed it).
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -138,7 +138,3 @@ def chunks(texts: pa.Array, lower: bool = False, size: int = CHUNK_BYTES) -> Ite
             words.first = np.concatenate([[0], np.cumsum(counts)])
         yield lo, words
         lo = hi
-
-
-def joined(words: list[bytes]) -> bytes:
-    return b" ".join(words)
