@@ -16,25 +16,20 @@ of their occurrences, which no word is frequent enough to make uneven.
 
 Words are ``[^\\x20\\x09-\\x0D]+``.  Defined results: the best spelling has the
 highest score, then the fewest pieces, then the longest last piece; a null or
-blank text has no words and no pieces; words beyond ``LONG`` characters are folded
-one by one in Python with the same rule; repeated rows and null ids stay; an empty
+blank text has no words and no pieces; repeated rows and null ids stay; an empty
 table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import stored
-from .pieces import MODEL, SPACE, Pieces, load, viterbi
+from .pieces import MODEL, SPACE, Pieces, load
 
 #: Words that may be broadcast with their spelling.
 FREQUENT = 200_000
-LONG = 200
 #: Bits of the hash that each occurrence adds to a text's digest.
 DIGEST_BITS = 40
 
@@ -97,21 +92,11 @@ def _path(states: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.size(states) - 1), begin, step)["path"]
 
 
-def _long(pieces: Pieces):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids = [viterbi(w, pieces) for w in b["word"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([b["word"], b["count"], pa.array(ids, pa.list_(pa.int32()))], names=["word", "count", "ids"])
-
-    return run
-
-
 def spell(vocabulary: DataFrame, pieces: Pieces) -> DataFrame:
     """``(word, count, ids)`` of ``(word, count)`` with distinct words; stays in
     the partitions of ``vocabulary`` if these are by word."""
     spark = vocabulary.sparkSession
-    size = F.char_length("word")
-    text = vocabulary.filter(size <= LONG).select("word", "count", F.concat(F.lit(SPACE), "word").alias("t"))
+    text = vocabulary.select("word", "count", F.concat(F.lit(SPACE), "word").alias("t"))
     starts = text.withColumn("f", F.explode(F.sequence(F.lit(1), F.char_length("t"))))
     cuts = starts.withColumn("l", F.explode(F.sequence(F.lit(1), F.least(F.lit(pieces.longest), F.char_length("t") - F.col("f") + 1))))
     cuts = cuts.select("word", "count", F.substring(F.col("t"), F.col("f"), F.col("l")).alias("piece"), (F.col("f") - 1).alias("f"), (F.col("f") + F.col("l") - 1).alias("e"), "l")
@@ -126,8 +111,7 @@ def spell(vocabulary: DataFrame, pieces: Pieces) -> DataFrame:
     paths = states.select("word", "count", _path(F.col("states")).alias("path"))
     marked = F.concat(F.lit(SPACE), F.col("word"))
     ids = F.flatten(F.transform("path", lambda p: F.when(p["id"] >= 0, F.array(p["id"])).otherwise(_bytes(F.substring(marked, p["e"], F.lit(1)), pieces.byte_ids[0] if pieces.byte_ids else 0))))
-    short = paths.select("word", "count", ids.alias("ids"))
-    return short.unionByName(vocabulary.filter(size > LONG).select("word", "count").mapInArrow(_long(pieces), "word string, count long, ids array<int>"))
+    return paths.select("word", "count", ids.alias("ids"))
 
 
 def decode(spelt: DataFrame, pieces: Pieces) -> DataFrame:

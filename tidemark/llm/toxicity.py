@@ -38,7 +38,7 @@ TERMS = 2_000
 LEAST_DOCS = 5
 GRADES = 3
 PREFIXES = (4, 5)
-MEMO = 200_000
+MEMO = 100_000
 
 
 def features(word: bytes) -> tuple[str, ...]:
