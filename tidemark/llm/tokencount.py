@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .pieces import MODEL, SPACE, Pieces, load
 
-MAX_NODES = 300_000
+MAX_NODES = 1_000_000
 LONG_WORD = 64
 
 
@@ -37,6 +37,10 @@ class Trie:
 
     def __init__(self, pieces: Pieces) -> None:
         self.pieces, self.longest = pieces, pieces.longest
+        #: Pieces with their scores, and all ends of pieces (None): beyond one that
+        #: is not here no longer piece can end.
+        self.known: dict[str, int | None] = {p[i:]: None for p in pieces.scores for i in range(len(p))}
+        self.known.update(pieces.scores)
         self.clear()
 
     def clear(self) -> None:
@@ -47,9 +51,11 @@ class Trie:
         """Best (score, pieces) of ``text[:end]``, given those of its prefixes."""
         extra, n = self.pieces.fallback(text[end - 1])
         best, fewest = score[end - 1] + extra, count[end - 1] + n
-        known = self.pieces.scores
+        known = self.known
         for start in range(end - 1, max(-1, end - 1 - self.longest), -1):
-            s = known.get(text[start:end])
+            s = known.get(text[start:end], 0)
+            if s == 0:  # scores are negative
+                break
             if s is not None:
                 s += score[start]
                 if s > best or s == best and count[start] + 1 < fewest:
