@@ -23,10 +23,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free(name: str, df: DataFrame) -> str:
+    """``name``, with underscores before it until ``df`` has no such column."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name = "_" + name
+    return name
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it is counted to be small; any larger
     ``df`` is left to a shuffle join.  ``df`` should be cheap to count."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-__all__ = ["BROADCAST_ROWS", "ensure_checkpoint_dir", "scratch_dir", "small", "stored", "table"]
+__all__ = ["BROADCAST_ROWS", "ensure_checkpoint_dir", "free", "scratch_dir", "small", "stored", "table"]

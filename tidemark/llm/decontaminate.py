@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, stored
+from .common import free, small, stored
 
 WORDS = 5
 THRESHOLD = (80, 100)
@@ -86,5 +86,6 @@ def contained(docs: DataFrame, items: DataFrame, k: int = WORDS, threshold: tupl
 
 def without_items(docs: DataFrame, items: DataFrame, k: int = WORDS, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that contain no item, all columns."""
-    leaks = contained(docs, items, k, threshold).select(F.col("doc_id").alias("_d")).distinct()
-    return docs.join(small(stored(leaks, "leaks")), F.col("doc_id") == F.col("_d"), "left_anti")
+    d = free("_d", docs)
+    leaks = contained(docs, items, k, threshold).select(F.col("doc_id").alias(d)).distinct()
+    return docs.join(small(stored(leaks, "leaks")), F.col("doc_id") == F.col(d), "left_anti")

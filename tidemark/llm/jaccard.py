@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, stored
+from .common import free, small, stored
 from .setparts import LESS_ONE, PART, WHOLE, Classes, digest, row_sets, signatures
 from .wordhash import chunks, mix
 
@@ -412,5 +412,6 @@ def one_of_each(docs: DataFrame, k: int, similar: tuple[int, int]) -> DataFrame:
     """The rows of ``docs`` that are the smallest document of their component
     (all rows with an empty set or without id, and once each id), all columns."""
     found = linked(docs, k, similar)
-    keep = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_d")).distinct()
-    return docs.join(keep, F.col("doc_id").cast("long") == F.col("_d"), "left_semi").unionByName(docs.filter("doc_id is null"))
+    d = free("_d", docs)
+    keep = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(d)).distinct()
+    return docs.join(keep, F.col("doc_id").cast("long") == F.col(d), "left_semi").unionByName(docs.filter("doc_id is null"))

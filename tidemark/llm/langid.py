@@ -136,7 +136,7 @@ def held_out(doc_id: Column) -> Column:
 
 def sample(docs: DataFrame, may_train: Column, size: int = SAMPLE) -> list[tuple[str, bytes]]:
     """Excerpts ``(lang, bytes)`` of at most ``size`` documents per language."""
-    rows = docs.filter(may_train & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    rows = docs.filter(may_train & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", "text")
     ids = rows.select(F.col("doc_id").alias("_d"), F.col("lang").alias("_l")).distinct()
     order = Window.partitionBy("_l").orderBy(F.xxhash64(F.col("_d").cast("string")), "_d")
     ids = ids.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= size).select("_d", "_l")

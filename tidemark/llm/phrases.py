@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, stored
+from .common import free, small, stored
 from .wordhash import chunks, mix
 
 WINDOW, GRAM = 50, 12
@@ -257,13 +257,14 @@ def _kept(words: list[bytes], spans: list[dict] | None) -> list[bytes]:
     return [w for w, n in zip(words, np.cumsum(out[:-1]).tolist(), strict=True) if not n]
 
 
-def with_spans(docs: DataFrame, **options: int) -> DataFrame:
-    """All rows and columns of ``docs``, and the ``_spans`` to remove."""
+def with_spans(docs: DataFrame, name: str, **options: int) -> DataFrame:
+    """All rows and columns of ``docs``, and the spans to remove as ``name``."""
+    d, k = free("_d", docs), free("_k", docs)
     spans = repeated_spans(docs, **options).distinct()
     per = stored(spans.groupBy("doc_id", "tk").agg(F.collect_list(F.struct("a", "b")).alias("_spans")), "spans")
     # a merge join at every size: the spans grow with the documents
-    side = per.select(F.col("doc_id").alias("_d"), F.col("tk").alias("_k"), "_spans").hint("merge")
-    return docs.join(side, (F.col("doc_id").cast("long") == F.col("_d")) & (F.xxhash64("text") == F.col("_k")), "left").drop("_d", "_k")
+    side = per.select(F.col("doc_id").alias(d), F.col("tk").alias(k), F.col("_spans").alias(name)).hint("merge")
+    return docs.join(side, (F.col("doc_id").cast("long") == F.col(d)) & (F.xxhash64("text") == F.col(k)), "left").drop(d, k)
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,15 +282,15 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def digests(docs: DataFrame, **options: int) -> DataFrame:
     """``(doc_id, n_words, n_removed, kept_sha256)`` of each row; the digest is of
     the kept words joined by one space."""
-    rows = with_spans(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), **options)
+    rows = with_spans(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), "_spans", **options)
     return rows.mapInArrow(_digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
-def _rewrite(names: list[str]):
+def _rewrite(names: list[str], spans_name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = []
-            for text, spans in zip(b["text"].cast(pa.large_binary()).to_pylist(), b["_spans"].to_pylist(), strict=True):
+            for text, spans in zip(b["text"].cast(pa.large_binary()).to_pylist(), b[spans_name].to_pylist(), strict=True):
                 texts.append(b" ".join(_kept(text.split(), spans)) if spans else text)
             own = {"text": pa.array(texts, pa.binary()).cast(pa.string())}
             yield pa.RecordBatch.from_arrays([own.get(c, b[c]) for c in names], names=names)
@@ -300,5 +301,5 @@ def _rewrite(names: list[str]):
 def without_repeats(docs: DataFrame, **options: int) -> DataFrame:
     """``docs`` with the repeated words taken out of ``text``; a text that loses
     none is unchanged, any other is its kept words joined by one space."""
-    rows = with_spans(docs, **options)
-    return rows.mapInArrow(_rewrite(docs.columns), docs.schema)
+    name = free("_spans", docs)
+    return with_spans(docs, name, **options).mapInArrow(_rewrite(docs.columns, name), docs.schema)
