@@ -36,6 +36,8 @@ from pyspark.sql import functions as F
 SAMPLE = 12_000
 TERMS = 2_000
 LEAST_DOCS = 5
+#: Least standard score of a term's log odds; what differs by chance only is left out.
+LEAST_Z = 3.0
 GRADES = 3
 PREFIXES = (4, 5)
 MEMO = 100_000
@@ -168,9 +170,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int = T
     odds = F.log(t / (size[1] + 1 - t)) - F.log(c / (size[0] + 1 - c))
     z = odds / F.sqrt(1 / t + 1 / c)
     telling = counts.filter(F.col("c") + F.col("t") >= LEAST_DOCS).filter((t < size[1] + 1) & (c < size[0] + 1))
-    telling = telling.select("term", F.round(z, 6).alias("z")).orderBy(F.desc(F.abs("z")), "term").limit(terms).collect()
+    telling = telling.select("term", F.round(z, 6).alias("z")).filter(F.abs("z") >= LEAST_Z).orderBy(F.desc(F.abs("z")), "term").limit(terms).collect()
     index = {r.term: i for i, r in enumerate(telling)}
-    strong = np.array([r.z > 3 for r in telling], dtype=bool)
+    strong = np.array([r.z > 0 for r in telling], dtype=bool)
     found = texts.select("doc_id", "text", "toxic").mapInArrow(_active(index), "doc_id long, toxic int, terms array<int>").collect()
     found = sorted((r.doc_id, r.toxic, list(r.terms)) for r in found)
     toxic = np.array([r[1] for r in found])

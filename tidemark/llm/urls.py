@@ -95,15 +95,15 @@ def gram_scores(counts: DataFrame, order: int = ORDER) -> DataFrame:
         w = Window.partitionBy("ctx")
         level = level.withColumn("ctx", F.expr(f"left(gram, {o})"))
         for k in "ar":
-            level = level.withColumn(f"N_{k}", F.sum(f"n_{k}").over(w)).withColumn(f"T_{k}", F.sum((F.col(f"n_{k}") > 0).cast("long")).over(w))
+            level = level.withColumn(f"all_{k}", F.sum(f"n_{k}").over(w)).withColumn(f"kinds_{k}", F.sum((F.col(f"n_{k}") > 0).cast("long")).over(w))
         if lower is None:
             level = level.withColumn("q_a", F.lit(1.0 / ALPHABET)).withColumn("q_r", F.lit(1.0 / ALPHABET))
         else:
             short = lower.select(F.col("gram").alias("_s"), F.col("p_a").alias("q_a"), F.col("p_r").alias("q_r"))
             level = level.join(short, F.expr(f"right(gram, {o})") == F.col("_s"))
         for k in "ar":
-            total = F.col(f"N_{k}") + F.col(f"T_{k}")
-            mixed = (F.col(f"n_{k}") + F.col(f"T_{k}") * F.col(f"q_{k}")) / F.when(total > 0, total)
+            total = F.col(f"all_{k}") + F.col(f"kinds_{k}")
+            mixed = (F.col(f"n_{k}") + F.col(f"kinds_{k}") * F.col(f"q_{k}")) / F.when(total > 0, total)
             level = level.withColumn(f"p_{k}", F.coalesce(mixed, F.col(f"q_{k}")))
         lower = level.select("gram", "p_a", "p_r")
         if o < order:
