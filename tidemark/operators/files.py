@@ -161,12 +161,15 @@ def fetch_window_rows(attempts: DataFrame, limit: int = EMPTY_RUN_LIMIT) -> Data
 
     # 4. run values with the carry, then the per-feed cut (small tables only
     # are joined back, on the segment key)
-    a = a.join(carry, ["_pid", "feed"]).withColumn(
+    # keys are null-safe: rows of a NULL feed are a feed of their own
+    own = carry.select(F.col("_pid").alias("_p"), F.col("feed").alias("_f"), "_carry")
+    a = a.join(own, (F.col("_pid") == F.col("_p")) & F.col("feed").eqNullSafe(F.col("_f"))).drop("_p", "_f").withColumn(
         "run_before", F.col("_prior") + F.when(F.col("_isl") == 0, F.col("_carry")).otherwise(F.lit(0))
     )
     cut = a.filter(F.col("run_before") >= limit).groupBy("feed").agg(F.min(F.struct(*order)).alias("_cut"))
-    seg_cut = carry.select("_pid", "feed").join(cut, "feed", "left")
-    a = a.join(seg_cut, ["_pid", "feed"], "left")
+    cut = cut.withColumnRenamed("feed", "_f")
+    seg_cut = carry.select(F.col("_pid").alias("_p"), F.col("feed").alias("_g")).join(cut, F.col("_g").eqNullSafe(F.col("_f"))).drop("_f")
+    a = a.join(seg_cut, (F.col("_pid") == F.col("_p")) & F.col("feed").eqNullSafe(F.col("_g")), "left").drop("_p", "_g")
     made = F.col("_cut").isNull() | (F.struct(*order) < F.col("_cut"))
     return a.withColumn("made", made).drop("_pid", "_r", "_e", "_isl", "_prior", "_since", "_carry", "_cut")
 

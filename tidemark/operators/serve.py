@@ -104,4 +104,4 @@ def signals_json(view: DataFrame) -> DataFrame:
         if f.dataType.typeName() in ("decimal", "date", "timestamp", "timestamp_ntz"):
             c = c.cast("string")
         cols.append(c.alias(f.name))
-    return view.select(F.to_json(F.struct(*cols)).alias("json"))
+    return view.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("json"))

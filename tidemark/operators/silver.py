@@ -128,6 +128,11 @@ def weekly_rows(bars: DataFrame, as_of=None) -> DataFrame:
     )
 
 
+def named(bars: DataFrame) -> DataFrame:
+    """Bars with a symbol."""
+    return bars.filter(F.col("symbol").isNotNull())
+
+
 def _first_of_week() -> Column:
     """True on exactly one row per (symbol, week)."""
     prev = F.lag("week_start").over(Window.partitionBy("symbol").orderBy("week_start", "_file_date"))
@@ -166,9 +171,10 @@ def weekly_volume(bars: DataFrame, as_of=None) -> DataFrame:
 
 def weekly_close(bars: DataFrame, as_of=None) -> DataFrame:
     """Bars on each symbol's last trading date of each week.  A duplicated
-    (symbol, date) bar yields two rows, as the self-join form would."""
+    (symbol, date) bar yields two rows, as the self-join form would; a bar
+    without symbol has no close, as in an equi-join."""
     return (
-        weekly_rows(bars, as_of)
+        weekly_rows(named(bars), as_of)
         .filter(F.col("_file_date") == F.col("_week_end"))
         .select("symbol", "week_start", "_file_date", "close_price")
     )
@@ -200,7 +206,7 @@ def volume_surge_check(bars: DataFrame, as_of=None, factor=3, weeks: int = 26) -
     that did not trade on the anchor date is absent."""
     return (
         surge_stats(bars, as_of, factor, weeks)
-        .filter(F.col("_file_date") == anchor_date(bars, as_of))
+        .filter(F.col("_file_date") == anchor_date(named(bars), as_of))
         .drop("week_start")
     )
 
@@ -232,7 +238,7 @@ def price_breakout_check(bars: DataFrame, as_of=None, high_weeks: int = 26, ma_w
     """Weekly close above the prior 26-week high, for rows on the anchor date."""
     return (
         breakout_stats(bars, as_of, high_weeks, ma_weeks)
-        .filter(F.col("_file_date") == anchor_date(bars, as_of))
+        .filter(F.col("_file_date") == anchor_date(named(bars), as_of))
         .drop("week_start")
     )
 
@@ -263,7 +269,7 @@ def weekly_stats(
     separate checks on (symbol, _file_date) yields the same rows."""
     by_date = Window.partitionBy("symbol").orderBy("_file_date")
     closes = (
-        weekly_rows(bars, as_of)
+        weekly_rows(named(bars), as_of)
         .filter(F.col("_file_date") == F.col("_week_end"))
         .withColumn("_first", _first_of_week())
         .withColumn("_wk", F.dense_rank().over(_by_week()))

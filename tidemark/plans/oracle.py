@@ -142,8 +142,7 @@ X2 = f"""
 SELECT x1.*,
        'S' || lpad(CAST(_key AS VARCHAR), 6, '0') || {_SUFFIX} AS x2_symbol,
        CASE WHEN _key % 10 = 9 THEN 'BE' ELSE 'EQ' END AS x2_series,
-       CASE WHEN _key // 1000 = 0 THEN 'sec_bhavdata_full_'
-            ELSE 'sec_bhavdata_full_b' || CAST(_key // 1000 AS VARCHAR) || '_' END
+       'sec_bhavdata_full_b' || CAST(_key // 1000 AS VARCHAR) || '_'
          || strftime(_file_date, '%d%m%Y') || '.csv' AS filename
 FROM x1
 """

@@ -103,10 +103,11 @@ def q_delivery_weekly_check(spark, sf):
 
 
 # ------------------------------------------------------------------- gold
-@register("weekly_signals", O.as_of_signals_sql(O.bars_cte(SIGNAL_AS_OF), SIGNAL_AS_OF))
+@register("weekly_signals", O.as_of_signals_sql(O.bars_cte(), SIGNAL_AS_OF))
 def q_weekly_signals(spark, sf):
-    b = X.bars(spark, sf, through=SIGNAL_AS_OF)
-    return gold.signals_as_of(b, SIGNAL_AS_OF)
+    b = X.bars(spark, sf)
+    surge, breakout = silver.volume_surge_check(b, SIGNAL_AS_OF), silver.price_breakout_check(b, SIGNAL_AS_OF)
+    return gold.weekly_signals(surge, breakout, SIGNAL_AS_OF)
 
 
 @register("weekly_signal_history", O.history_sql(O.bars_cte(), LATEST))

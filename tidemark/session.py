@@ -35,6 +35,7 @@ def get_session(
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -49,7 +50,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf = spark.sparkContext.getConf()
     path = spark.conf.get(_CKPT_KEY, None) or conf.get(_CKPT_KEY, None)
     if not path:
-        # Unset only in local tests: fall back to a private temp folder.
+        # Executors of a cluster do not see a folder of the driver's machine.
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError(f"set {_CKPT_KEY} to a shared folder on master {spark.sparkContext.master}")
         path = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set(_CKPT_KEY, path)
     if spark.sparkContext.getCheckpointDir() is None:

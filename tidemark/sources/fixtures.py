@@ -24,9 +24,8 @@ from tidemark.sources.bhavcopy import BHAVCOPY_COLUMNS
 # exclusion patterns are anchored at the end.
 X2_SUFFIX = {0: "BEES", 1: "ETF", 2: "SDLX", 3: "BEESX"}
 # Suppliers per raw file: bounds one file (one row, one string) whatever the
-# scale.  Block 0 keeps the plain daily name; later blocks of the same day are
-# named ``sec_bhavdata_full_b<k>_<ddMMyyyy>.csv`` (the date is still the part
-# after the last underscore).
+# scale.  All blocks of a day are named ``sec_bhavdata_full_b<k>_<ddMMyyyy>.csv``
+# (the date is the part after the last underscore).
 FILE_BLOCK = 1000
 
 
@@ -114,11 +113,9 @@ def bhavcopy_lines(lineitem: DataFrame) -> DataFrame:
     )
     # The last field is written without padding so that 'NA' is read as NULL.
     block = F.floor(F.col("l_suppkey") / FILE_BLOCK)
-    name = F.when(block == 0, daily_file_name("_file_date")).otherwise(
-        F.concat(
-            F.lit("sec_bhavdata_full_b"), block.cast("string"), F.lit("_"),
-            F.date_format("_file_date", "ddMMyyyy"), F.lit(".csv"),
-        )
+    name = F.concat(
+        F.lit("sec_bhavdata_full_b"), block.cast("string"), F.lit("_"),
+        F.date_format("_file_date", "ddMMyyyy"), F.lit(".csv"),
     )
     return b.select(
         name.alias("filename"),
