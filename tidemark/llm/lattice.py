@@ -5,8 +5,9 @@ before it, is exploded into its substrings of bounded length; an equi-join with
 the piece table leaves the edges of its lattice; the edges are grouped by word and
 folded, in the order of their ends, by a higher-order ``aggregate`` that keeps the
 best spelling of every prefix (Viterbi).  A character that no piece spells gives
-one edge of byte pieces.  The substrings stay in the partition of their word, so
-edges are not shuffled.
+one edge of byte pieces.  The substrings stay in the partition of their word and
+next to each other, so edges are neither shuffled nor sorted: an Arrow function
+only marks in the stream of edges where words and ends begin.
 
 Decoding turns ids into pieces again, joins them and the bytes, and gives the word.
 
@@ -22,6 +23,11 @@ table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +36,8 @@ from .pieces import MODEL, SPACE, Pieces, load
 
 #: Words that may be broadcast with their spelling.
 FREQUENT = 200_000
+#: Stands for an id where a character is spelt in bytes.
+BYTES = (1 << 25) - 1
 #: Bits of the hash that each occurrence adds to a text's digest.
 DIGEST_BITS = 40
 
@@ -38,9 +46,17 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda x: x != "")
 
 
+def _edge(cost: int, n: int, length: int, code: int) -> int:
+    """An edge in one number: cost, pieces, length, and id or ``BYTES``."""
+    return cost << 34 | n << 31 | length << 25 | code
+
+
 def piece_table(spark: SparkSession, pieces: Pieces) -> DataFrame:
-    rows = [(p, pieces.ids[p], s) for p, s in pieces.scores.items()]
-    return spark.createDataFrame(rows, "piece string, id int, score long")
+    worst = 4 * pieces.byte_score, *pieces.scores.values()
+    if pieces.longest > 63 or max(pieces.ids.values(), default=0) >= BYTES or min(worst) <= -(1 << 29):
+        raise ValueError("the model's pieces do not fit the form of an edge")
+    rows = [(p, _edge(-s, 1, len(p), pieces.ids[p])) for p, s in pieces.scores.items()]
+    return spark.createDataFrame(rows, "p string, edge long").select(F.xxhash64("p").alias("h"), "p", "edge")
 
 
 def piece_names(spark: SparkSession, pieces: Pieces) -> DataFrame:
@@ -61,57 +77,102 @@ def _bytes(char: Column, first: int) -> Column:
     return F.transform(pairs, lambda i: F.conv(F.substring(h, i * 2 - 1, F.lit(2)), 16, 10).cast("int") + first)
 
 
-def _fold(edges: Column) -> Column:
-    """States of all prefixes from edges sorted by end: ``(s, n, f, id)`` with the
-    best score, its number of pieces, the start of its last piece, and that."""
-    kind = "array<struct<s:bigint,n:int,f:int,id:int>>"
-    start = F.array(F.struct(F.lit(0).cast("long").alias("s"), F.lit(0).alias("n"), F.lit(0).alias("f"), F.lit(0).alias("id"))).cast(kind)
-
-    def step(acc: Column, x: Column) -> Column:
-        prev = F.element_at(acc, x["f"] + 1)
-        s, n = prev["s"] + x["score"], prev["n"] + x["n"]
-        new = F.array(F.struct(s.alias("s"), n.alias("n"), x["f"].alias("f"), x["id"].alias("id")))
-        last = F.element_at(acc, -1)
-        better = (s > last["s"]) | ((s == last["s"]) & (n < last["n"]))
-        first = F.size(acc) == x["e"]
-        return F.when(first, F.concat(acc, new)).when(better, F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), new)).otherwise(acc).cast(kind)
-
-    return F.aggregate(edges, start, step)
+def _by_word(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(word, count, edge)`` in, ``(word, count, ends)`` out: for every end in a
+    word the edges that end there.
+
+    The edges come as they were exploded: word by word, by end, then by length.
+    The first of a word alone names it, and each end has an edge of length 1, which
+    is its first.
+    """
+    rest: pa.Table | None = None
+    for batch in itertools.chain(batches, [None]):
+        parts = ([] if rest is None else [rest]) + ([] if batch is None else [pa.Table.from_batches([batch])])
+        if not parts:
+            return
+        rows = pa.concat_tables(parts).combine_chunks()
+        heads = np.flatnonzero(rows["word"].is_valid().to_numpy())
+        # the last word may go on in the next batch
+        done = rows.num_rows if batch is None else (int(heads[-1]) if len(heads) else 0)
+        rest = None if batch is None else rows.slice(done)
+        if not done:
+            continue
+        rows, heads = rows.slice(0, done), heads[heads < done]
+        edge = rows["edge"].to_numpy()
+        first = np.flatnonzero(edge >> 25 & 63 == 1)
+        words_at = np.searchsorted(first, heads)
+        if len(heads) == 0 or heads[0] != 0 or not np.array_equal(first[words_at], heads):
+            raise ValueError("the edges of a word are not together")
+        ends = pa.ListArray.from_arrays(pa.array(np.append(first, done), pa.int32()), pa.array(edge))
+        lists = pa.ListArray.from_arrays(pa.array(np.append(words_at, len(first)), pa.int32()), ends)
+        named = rows.select(["word", "count"]).take(pa.array(heads)).combine_chunks()
+        yield pa.RecordBatch.from_arrays([named["word"].chunk(0), named["count"].chunk(0), lists], ["word", "count", "ends"])
+
+
+def _length(edge: Column) -> Column:
+    return F.shiftright(edge, 25).bitwiseAND(63).cast("int")
+
+
+def _fold(ends: Column) -> Column:
+    """States of all prefixes from the edges of each end: ``(s, m, last)`` with the
+    best score, minus its number of pieces, and length and id of its last piece.
+    The greatest such row is the best spelling of the prefix."""
+    start = F.array(F.struct(F.lit(0).cast("long").alias("s"), F.lit(0).cast("long").alias("m"), F.lit(0).cast("long").alias("last")))
+
+    def step(acc: Column, edges: Column) -> Column:
+        def state(x: Column) -> Column:
+            prev = F.element_at(acc, -_length(x))
+            return F.struct((prev["s"] - F.shiftright(x, 34)).alias("s"), (prev["m"] - F.shiftright(x, 31).bitwiseAND(7)).alias("m"), x.bitwiseAND((1 << 31) - 1).alias("last"))
+
+        return F.concat(acc, F.array(F.array_max(F.transform(edges, state))))
+
+    return F.aggregate(ends, start.cast("array<struct<s:bigint,m:bigint,last:bigint>>"), step)
 
 
 def _path(states: Column) -> Column:
-    """Ends and ids of the last pieces, back from the whole word, in order."""
-    kind = "struct<at:int,path:array<struct<e:int,id:int>>>"
-    begin = F.struct((F.size(states) - 1).alias("at"), F.array().cast("array<struct<e:int,id:int>>").alias("path")).cast(kind)
+    """The pieces back from the whole word, in order: the last state of each, with
+    its end above bit 31."""
+    kind = "struct<at:int,path:array<bigint>>"
+    begin = F.struct(F.size(states).alias("at"), F.array().cast("array<bigint>").alias("path")).cast(kind)
 
     def step(acc: Column, _: Column) -> Column:
-        now = F.element_at(states, acc["at"] + 1)
-        more = F.struct(now["f"].alias("at"), F.concat(F.array(F.struct(acc["at"].alias("e"), now["id"].alias("id"))), acc["path"]).alias("path"))
-        return F.when(acc["at"] > 0, more).otherwise(acc).cast(kind)
+        last = F.element_at(states, acc["at"])["last"]
+        piece = F.shiftleft(acc["at"].cast("long") - 1, 31).bitwiseOR(last)
+        return F.when(acc["at"] > 1, F.struct((acc["at"] - _length(last)).alias("at"), F.concat(acc["path"], F.array(piece)).alias("path"))).otherwise(acc)
 
-    return F.aggregate(F.sequence(F.lit(1), F.size(states) - 1), begin, step)["path"]
+    # a byte spelling is one step, so there are at most as many as pieces
+    return F.reverse(F.aggregate(F.sequence(F.lit(1).cast("long"), -F.element_at(states, -1)["m"]), begin, step)["path"])
 
 
 def spell(vocabulary: DataFrame, pieces: Pieces) -> DataFrame:
-    """``(word, count, ids)`` of ``(word, count)`` with distinct words; stays in
-    the partitions of ``vocabulary`` if these are by word."""
+    """``(word, count, ids)`` of ``(word, count)`` with distinct words; each word
+    stays in its partition."""
     spark = vocabulary.sparkSession
+    most = pieces.longest
     text = vocabulary.select("word", "count", F.concat(F.lit(SPACE), "word").alias("t"))
-    starts = text.withColumn("f", F.explode(F.sequence(F.lit(1), F.char_length("t"))))
-    cuts = starts.withColumn("l", F.explode(F.sequence(F.lit(1), F.least(F.lit(pieces.longest), F.char_length("t") - F.col("f") + 1))))
-    cuts = cuts.select("word", "count", F.substring(F.col("t"), F.col("f"), F.col("l")).alias("piece"), (F.col("f") - 1).alias("f"), (F.col("f") + F.col("l") - 1).alias("e"), "l")
-    # the piece table is bounded by the model
-    edges = cuts.join(F.broadcast(piece_table(spark, pieces)), "piece", "left").filter("id is not null or l = 1")
-    spelt = F.octet_length("piece")
-    edge = F.struct(
-        "e", "f", F.coalesce("score", spelt * F.lit(pieces.byte_score)).cast("long").alias("score"), F.coalesce(F.col("id"), F.lit(-1)).alias("id"), F.when(F.col("id").isNull(), spelt).otherwise(1).cast("int").alias("n")
-    )
-    grouped = edges.groupBy("word").agg(F.first("count").alias("count"), F.sort_array(F.collect_list(edge)).alias("edges"))
-    states = grouped.select("word", "count", _fold(F.col("edges")).alias("states"))
+    ends = text.select("word", "count", "t", F.explode(F.sequence(F.lit(1), F.char_length("t"))).alias("e"))
+    own = ends.select("word", "count", "e", F.substring(F.col("t"), F.greatest(F.col("e") - most, F.lit(0)) + 1, F.least(F.col("e"), F.lit(most))).alias("t"))
+    cuts = own.select("word", "count", "e", "t", F.explode(F.sequence(F.lit(1), F.char_length("t"))).alias("l"))
+    cuts = cuts.select("word", "count", "e", "l", F.substring(F.col("t"), -F.col("l"), F.col("l")).alias("piece"))
+    # the piece table is bounded by the model; its key is a hash that is faster to look up
+    table = F.broadcast(piece_table(spark, pieces))
+    found = cuts.join(table, (F.xxhash64("piece") == F.col("h")) & (F.col("piece") == F.col("p")), "left").filter("edge is not null or l = 1")
+    spelt = F.octet_length("piece").cast("long")
+    in_bytes = F.shiftleft(spelt * -pieces.byte_score, 34).bitwiseOR(F.shiftleft(spelt, 31)).bitwiseOR(F.lit(_edge(0, 0, 1, BYTES)))
+    head = F.col("e") == 1
+    rows = found.select(F.when(head, F.col("word")).alias("word"), F.when(head, F.col("count")).alias("count"), F.coalesce("edge", in_bytes).alias("edge"))
+    grouped = rows.mapInArrow(_by_word, "word string, count long, ends array<array<bigint>>")
+    states = grouped.select("word", "count", _fold(F.col("ends")).alias("states"))
     paths = states.select("word", "count", _path(F.col("states")).alias("path"))
-    marked = F.concat(F.lit(SPACE), F.col("word"))
-    ids = F.flatten(F.transform("path", lambda p: F.when(p["id"] >= 0, F.array(p["id"])).otherwise(_bytes(F.substring(marked, p["e"], F.lit(1)), pieces.byte_ids[0] if pieces.byte_ids else 0))))
-    return paths.select("word", "count", ids.alias("ids"))
+    marked, first = F.concat(F.lit(SPACE), F.col("word")), pieces.byte_ids[0] if pieces.byte_ids else 0
+
+    def ids(p: Column) -> Column:
+        code = p.bitwiseAND((1 << 25) - 1).cast("int")
+        return F.when(code != BYTES, F.array(code)).otherwise(_bytes(F.substring(marked, F.shiftright(p, 31).cast("int"), F.lit(1)), first))
+
+    plain = F.transform("path", lambda p: p.bitwiseAND((1 << 25) - 1).cast("int"))
+    each = F.when(F.exists("path", lambda p: p.bitwiseAND((1 << 25) - 1) == BYTES), F.flatten(F.transform("path", ids))).otherwise(plain)
+    return paths.select("word", "count", each.alias("ids"))
 
 
 def decode(spelt: DataFrame, pieces: Pieces) -> DataFrame:
