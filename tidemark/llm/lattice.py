@@ -9,7 +9,7 @@ one edge of byte pieces.  The substrings stay in the partition of their word and
 next to each other, so edges are neither shuffled nor sorted: an Arrow function
 only marks in the stream of edges where words and ends begin.
 
-Decoding turns ids into pieces again, joins them and the bytes, and gives the word.
+Decoding looks the ids up in the model's names, joins their bytes, and gives the word.
 
 A text is its words; the words of all texts get their spelling by a join: the
 frequent ones, at most ``FREQUENT``, by a broadcast table, the others by a shuffle
@@ -59,15 +59,16 @@ def piece_table(spark: SparkSession, pieces: Pieces) -> DataFrame:
     return spark.createDataFrame(rows, "p string, edge long").select(F.xxhash64("p").alias("h"), "p", "edge")
 
 
-def piece_names(spark: SparkSession, pieces: Pieces) -> DataFrame:
-    """One row: the UTF-8 bytes of every id in hex, at place id + 1."""
+def piece_names(pieces: Pieces) -> Column:
+    """The UTF-8 bytes of every id in hex, at place id + 1: a constant, which the
+    rows need not carry."""
     top = max([*pieces.ids.values(), *pieces.byte_ids], default=0)
     names = [""] * (top + 1)
     for p, i in pieces.ids.items():
         names[i] = p.encode().hex()
     for b, i in enumerate(pieces.byte_ids):
         names[i] = f"{b:02x}"
-    return spark.createDataFrame([(0, names)], "_k int, names array<string>")
+    return F.split(F.lit(",".join(names)), ",")
 
 
 def _bytes(char: Column, first: int) -> Column:
@@ -177,10 +178,9 @@ def spell(vocabulary: DataFrame, pieces: Pieces) -> DataFrame:
 
 def decode(spelt: DataFrame, pieces: Pieces) -> DataFrame:
     """``spelt`` with ``decoded``: the word that its ``ids`` spell."""
-    names = F.broadcast(piece_names(spelt.sparkSession, pieces))  # one row
-    rows = spelt.withColumn("_k", F.lit(0)).join(names, "_k")
-    raw = F.unhex(F.concat_ws("", F.transform("ids", lambda i: F.element_at("names", i + 1))))
-    return rows.withColumn("decoded", F.regexp_replace(F.decode(raw, "UTF-8"), "^" + SPACE, "")).drop("_k", "names")
+    names = piece_names(pieces)
+    raw = F.unhex(F.concat_ws("", F.transform("ids", lambda i: F.element_at(names, i + 1))))
+    return spelt.withColumn("decoded", F.regexp_replace(F.decode(raw, "UTF-8"), "^" + SPACE, ""))
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
