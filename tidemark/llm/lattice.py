@@ -1,13 +1,16 @@
 """Operator 10, SentencePiece encoding and decoding on a relational lattice.
 
 The distinct words of all texts are spelt once.  A word, with the word-start mark
-before it, is exploded into its substrings of bounded length; an equi-join with
-the piece table leaves the edges of its lattice; the edges are grouped by word and
-folded, in the order of their ends, by a higher-order ``aggregate`` that keeps the
-best spelling of every prefix (Viterbi).  A character that no piece spells gives
-one edge of byte pieces.  The substrings stay in the partition of their word and
-next to each other, so edges are neither shuffled nor sorted: an Arrow function
-only marks in the stream of edges where words and ends begin.
+before it, is cut where no piece holds both neighbours: every spelling has an end
+there, so its segments are spelt apart, each distinct one once.  A segment is
+exploded into its substrings of bounded length; an equi-join with the piece table
+leaves the edges of its lattice; the edges are grouped by segment and folded, in the
+order of their ends, by a higher-order ``aggregate`` that keeps the best spelling of
+every prefix (Viterbi).  A character that no piece spells gives one edge of byte
+pieces.  The substrings stay in the partition of their segment and next to each
+other, so edges are neither shuffled nor sorted: an Arrow function only marks in the
+stream of edges where segments and ends begin.  The segments' ids go back to the
+words as words' ids go to texts (below).
 
 Decoding looks the ids up in the model's names, joins their bytes, and gives the word.
 
@@ -28,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +42,8 @@ from .pieces import MODEL, SPACE, Pieces, load
 FREQUENT = 200_000
 #: Stands for an id where a character is spelt in bytes.
 BYTES = (1 << 25) - 1
+#: Bits for the pieces of a path; the rest of a long holds its cost.
+PIECE_BITS = 20
 #: Bits of the hash that each occurrence adds to a text's digest.
 DIGEST_BITS = 40
 
@@ -78,13 +84,40 @@ def _bytes(char: Column, first: int) -> Column:
     return F.transform(pairs, lambda i: F.conv(F.substring(h, i * 2 - 1, F.lit(2)), 16, 10).cast("int") + first)
 
 
-def _by_word(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(word, count, edge)`` in, ``(word, count, ends)`` out: for every end in a
-    word the edges that end there.
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(word, count)`` of the words of each batch of texts."""
+    for batch in batches:
+        # the six ASCII separators of a word are those that this function splits at
+        found = pc.value_counts(pc.ascii_split_whitespace(batch["text"].cast(pa.large_string())).flatten())
+        rows = pa.RecordBatch.from_arrays([found.field(0).cast(pa.large_string()), found.field(1)], names=["word", "count"])
+        rows = rows.filter(pc.not_equal(rows["word"], ""))
+        for lo in range(0, rows.num_rows, 1 << 14):
+            yield rows.slice(lo, 1 << 14)
 
-    The edges come as they were exploded: word by word, by end, then by length.
-    The first of a word alone names it, and each end has an edge of length 1, which
-    is its first.
+
+def _split(pairs: frozenset[str]):
+    """``(word, count)`` in, with the segments of the marked word out: it is cut
+    where no piece holds both neighbours, so every spelling has an end there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for word in batch["word"].to_pylist():
+                t = SPACE + word
+                cuts = [0, *(i for i in range(1, len(t)) if t[i - 1 : i + 1] not in pairs), len(t)]
+                out.append([t[a:b] for a, b in itertools.pairwise(cuts)])
+            yield pa.RecordBatch.from_arrays([batch["word"], batch["count"], pa.array(out, pa.list_(pa.string()))], names=["word", "count", "segments"])
+
+    return run
+
+
+def _by_segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(segment, edge)`` in, ``(segment, ends)`` out: for every end in a segment
+    the edges that end there.
+
+    The edges come as they were exploded: segment by segment, by end, then by
+    length.  The first of a segment alone names it, and each end has an edge of
+    length 1, which is its first.
     """
     rest: pa.Table | None = None
     for batch in itertools.chain(batches, [None]):
@@ -92,8 +125,8 @@ def _by_word(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not parts:
             return
         rows = pa.concat_tables(parts).combine_chunks()
-        heads = np.flatnonzero(rows["word"].is_valid().to_numpy())
-        # the last word may go on in the next batch
+        heads = np.flatnonzero(rows["segment"].is_valid().to_numpy())
+        # the last segment may go on in the next batch
         done = rows.num_rows if batch is None else (int(heads[-1]) if len(heads) else 0)
         rest = None if batch is None else rows.slice(done)
         if not done:
@@ -101,79 +134,100 @@ def _by_word(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, heads = rows.slice(0, done), heads[heads < done]
         edge = rows["edge"].to_numpy()
         first = np.flatnonzero(edge >> 25 & 63 == 1)
-        words_at = np.searchsorted(first, heads)
-        if len(heads) == 0 or heads[0] != 0 or not np.array_equal(first[words_at], heads):
-            raise ValueError("the edges of a word are not together")
+        segments_at = np.searchsorted(first, heads)
+        if len(heads) == 0 or heads[0] != 0 or not np.array_equal(first[segments_at], heads):
+            raise ValueError("the edges of a segment are not together")
         ends = pa.ListArray.from_arrays(pa.array(np.append(first, done), pa.int32()), pa.array(edge))
-        lists = pa.ListArray.from_arrays(pa.array(np.append(words_at, len(first)), pa.int32()), ends)
-        named = rows.select(["word", "count"]).take(pa.array(heads)).combine_chunks()
-        yield pa.RecordBatch.from_arrays([named["word"].chunk(0), named["count"].chunk(0), lists], ["word", "count", "ends"])
+        lists = pa.ListArray.from_arrays(pa.array(np.append(segments_at, len(first)), pa.int32()), ends)
+        named = rows["segment"].combine_chunks().take(pa.array(heads))
+        yield pa.RecordBatch.from_arrays([named.chunk(0) if isinstance(named, pa.ChunkedArray) else named, lists], ["segment", "ends"])
 
 
 def _length(edge: Column) -> Column:
     return F.shiftright(edge, 25).bitwiseAND(63).cast("int")
 
 
+def _weight(edge: Column) -> Column:
+    """Cost and pieces of an edge in one number that adds up along a path; less is
+    better: cost first, then pieces."""
+    return F.shiftleft(F.shiftright(edge, 34), PIECE_BITS).bitwiseOR(F.shiftright(edge, 31).bitwiseAND(7))
+
+
 def _fold(ends: Column) -> Column:
-    """States of all prefixes from the edges of each end: ``(s, m, last)`` with the
-    best score, minus its number of pieces, and length and id of its last piece.
-    The greatest such row is the best spelling of the prefix."""
-    start = F.array(F.struct(F.lit(0).cast("long").alias("s"), F.lit(0).cast("long").alias("m"), F.lit(0).cast("long").alias("last")))
+    """The least weight of each prefix, from the edges of each end."""
 
     def step(acc: Column, edges: Column) -> Column:
-        def state(x: Column) -> Column:
-            prev = F.element_at(acc, -_length(x))
-            return F.struct((prev["s"] - F.shiftright(x, 34)).alias("s"), (prev["m"] - F.shiftright(x, 31).bitwiseAND(7)).alias("m"), x.bitwiseAND((1 << 31) - 1).alias("last"))
-
-        return F.concat(acc, F.array(F.array_max(F.transform(edges, state))))
+        return F.concat(acc, F.array(F.array_min(F.transform(edges, lambda x: F.element_at(acc, -_length(x)) + _weight(x)))))
 
-    return F.aggregate(ends, start.cast("array<struct<s:bigint,m:bigint,last:bigint>>"), step)
+    return F.aggregate(ends, F.array(F.lit(0).cast("long")), step)
 
 
-def _path(states: Column) -> Column:
-    """The pieces back from the whole word, in order: the last state of each, with
-    its end above bit 31."""
+def _path(ends: Column, best: Column) -> Column:
+    """The pieces back from the whole segment, in order: the longest edge of each
+    end that gives its least weight, with the end above bit 31."""
     kind = "struct<at:int,path:array<bigint>>"
-    begin = F.struct(F.size(states).alias("at"), F.array().cast("array<bigint>").alias("path")).cast(kind)
+    begin = F.struct((F.size(best) - 1).alias("at"), F.array().cast("array<bigint>").alias("path")).cast(kind)
 
     def step(acc: Column, _: Column) -> Column:
-        last = F.element_at(states, acc["at"])["last"]
-        piece = F.shiftleft(acc["at"].cast("long") - 1, 31).bitwiseOR(last)
-        return F.when(acc["at"] > 1, F.struct((acc["at"] - _length(last)).alias("at"), F.concat(acc["path"], F.array(piece)).alias("path"))).otherwise(acc)
+        at = acc["at"]
+        fits = F.filter(F.element_at(ends, at), lambda x: F.element_at(best, at + 1 - _length(x)) + _weight(x) == F.element_at(best, at + 1))
+        # edges of an end come by length
+        last = F.element_at(fits, -1).bitwiseAND((1 << 31) - 1)
+        piece = F.shiftleft(at.cast("long"), 31).bitwiseOR(last)
+        return F.when(at > 0, F.struct((at - _length(last)).alias("at"), F.concat(acc["path"], F.array(piece)).alias("path"))).otherwise(acc)
 
     # a byte spelling is one step, so there are at most as many as pieces
-    return F.reverse(F.aggregate(F.sequence(F.lit(1).cast("long"), -F.element_at(states, -1)["m"]), begin, step)["path"])
+    most = F.element_at(best, -1).bitwiseAND((1 << PIECE_BITS) - 1)
+    return F.reverse(F.aggregate(F.sequence(F.lit(1).cast("long"), most), begin, step)["path"])
 
 
-def spell(vocabulary: DataFrame, pieces: Pieces) -> DataFrame:
-    """``(word, count, ids)`` of ``(word, count)`` with distinct words; each word
-    stays in its partition."""
-    spark = vocabulary.sparkSession
+def spell_segments(segments: DataFrame, pieces: Pieces) -> DataFrame:
+    """``(segment, uses, ids)`` of ``(segment, uses)`` with distinct segments."""
     most = pieces.longest
-    text = vocabulary.select("word", "count", F.concat(F.lit(SPACE), "word").alias("t"))
-    ends = text.select("word", "count", "t", F.explode(F.sequence(F.lit(1), F.char_length("t"))).alias("e"))
-    own = ends.select("word", "count", "e", F.substring(F.col("t"), F.greatest(F.col("e") - most, F.lit(0)) + 1, F.least(F.col("e"), F.lit(most))).alias("t"))
-    cuts = own.select("word", "count", "e", "t", F.explode(F.sequence(F.lit(1), F.char_length("t"))).alias("l"))
-    cuts = cuts.select("word", "count", "e", "l", F.substring(F.col("t"), -F.col("l"), F.col("l")).alias("piece"))
+    text = segments.select("segment", "uses", F.explode(F.sequence(F.lit(1), F.char_length("segment"))).alias("e"))
+    own = text.select("segment", "uses", "e", F.substring(F.col("segment"), F.greatest(F.col("e") - most, F.lit(0)) + 1, F.least(F.col("e"), F.lit(most))).alias("t"))
+    cuts = own.select("segment", "uses", "e", "t", F.explode(F.sequence(F.lit(1), F.char_length("t"))).alias("l"))
+    cuts = cuts.select("segment", "uses", "e", "l", F.substring(F.col("t"), -F.col("l"), F.col("l")).alias("piece"))
     # the piece table is bounded by the model; its key is a hash that is faster to look up
-    table = F.broadcast(piece_table(spark, pieces))
+    table = F.broadcast(piece_table(segments.sparkSession, pieces))
     found = cuts.join(table, (F.xxhash64("piece") == F.col("h")) & (F.col("piece") == F.col("p")), "left").filter("edge is not null or l = 1")
     spelt = F.octet_length("piece").cast("long")
     in_bytes = F.shiftleft(spelt * -pieces.byte_score, 34).bitwiseOR(F.shiftleft(spelt, 31)).bitwiseOR(F.lit(_edge(0, 0, 1, BYTES)))
-    head = F.col("e") == 1
-    rows = found.select(F.when(head, F.col("word")).alias("word"), F.when(head, F.col("count")).alias("count"), F.coalesce("edge", in_bytes).alias("edge"))
-    grouped = rows.mapInArrow(_by_word, "word string, count long, ends array<array<bigint>>")
-    states = grouped.select("word", "count", _fold(F.col("ends")).alias("states"))
-    paths = states.select("word", "count", _path(F.col("states")).alias("path"))
-    marked, first = F.concat(F.lit(SPACE), F.col("word")), pieces.byte_ids[0] if pieces.byte_ids else 0
+    named = F.when(F.col("e") == 1, F.struct("segment", "uses"))
+    rows = found.select(named.alias("segment"), F.coalesce("edge", in_bytes).alias("edge"))
+    grouped = rows.mapInArrow(_by_segment, "segment struct<segment:string,uses:bigint>, ends array<array<bigint>>")
+    folded = grouped.select("segment.*", "ends", _fold(F.col("ends")).alias("best"))
+    paths = folded.select("segment", "uses", _path(F.col("ends"), F.col("best")).alias("path"))
+    first = pieces.byte_ids[0] if pieces.byte_ids else 0
 
     def ids(p: Column) -> Column:
         code = p.bitwiseAND((1 << 25) - 1).cast("int")
-        return F.when(code != BYTES, F.array(code)).otherwise(_bytes(F.substring(marked, F.shiftright(p, 31).cast("int"), F.lit(1)), first))
+        return F.when(code != BYTES, F.array(code)).otherwise(_bytes(F.substring(F.col("segment"), F.shiftright(p, 31).cast("int"), F.lit(1)), first))
 
     plain = F.transform("path", lambda p: p.bitwiseAND((1 << 25) - 1).cast("int"))
     each = F.when(F.exists("path", lambda p: p.bitwiseAND((1 << 25) - 1) == BYTES), F.flatten(F.transform("path", ids))).otherwise(plain)
-    return paths.select("word", "count", each.alias("ids"))
+    return paths.select("segment", "uses", each.alias("ids"))
+
+
+def spell(vocabulary: DataFrame, pieces: Pieces, frequent: int) -> DataFrame:
+    """``(word, count, ids)`` of ``(word, count)`` with distinct words.  Each
+    distinct segment of the words is spelt once."""
+    pairs = frozenset(p[i : i + 2] for p in pieces.scores for i in range(len(p) - 1))
+    cut = stored(vocabulary.mapInArrow(_split(pairs), "word string, count long, segments array<string>"), "segments")
+    used = cut.select(F.explode("segments").alias("segment")).groupBy("segment").agg(F.count("*").alias("uses"))
+    spelt = stored(spell_segments(used, pieces), "segment-spellings")
+    least = frequent_from(spelt.select(F.col("uses").alias("count")), frequent)
+    known = F.broadcast(spelt.filter(F.col("uses") >= least).select("segment", "ids"))
+    rare = spelt.filter(F.col("uses") < least).select("segment", "ids").hint("merge")
+    single = cut.filter(F.size("segments") == 1).select("word", "count", F.lit(0).alias("at"), F.col("segments")[0].alias("segment"))
+    many = cut.filter(F.size("segments") > 1).select("word", "count", F.posexplode("segments").alias("at", "segment"))
+    rows = single.unionByName(many)
+    placed = rows.join(known, "segment", "left")
+    missing = placed.filter("ids is null").drop("ids").join(rare, "segment")
+    cols = ["word", "count", "at", "ids"]
+    every = placed.filter("ids is not null").select(cols).unionByName(missing.select(cols))
+    put = every.groupBy("word", "count").agg(F.sort_array(F.collect_list(F.struct("at", "ids"))).alias("parts"))
+    return put.select("word", "count", F.flatten(F.transform("parts", lambda x: x["ids"])).alias("ids"))
 
 
 def decode(spelt: DataFrame, pieces: Pieces) -> DataFrame:
@@ -208,8 +262,9 @@ def encode(docs: DataFrame, model: str = MODEL, frequent: int = FREQUENT) -> tup
     it decodes to the word), and of every word of every text, ``(doc_id, tk, pos,
     ids, exact)``."""
     pieces = load(model)
-    counted = occurrences(docs).groupBy("word").agg(F.count("*").alias("count"))
-    spelt = decode(spell(counted, pieces), pieces).select("word", "count", "ids", (F.col("decoded") == F.col("word")).alias("exact"))
+    some = docs.select(F.col("text").cast("string").alias("text")).filter("text is not null").mapInArrow(_counted, "word string, count long")
+    counted = some.groupBy("word").agg(F.sum("count").alias("count"))
+    spelt = decode(spell(counted, pieces, frequent), pieces).select("word", "count", "ids", (F.col("decoded") == F.col("word")).alias("exact"))
     spelt = stored(spelt, "spellings")
     least = frequent_from(spelt, frequent)
     known = F.broadcast(spelt.filter(F.col("count") >= least).select("word", "ids", "exact"))
