@@ -46,7 +46,7 @@ def register(name: str, sql: str | None = None):
 @register(
     "weekly_volume",
     f"WITH {O.bars_cte()}, {O.silver_ctes('bars', LATEST)}\n"
-    "SELECT symbol, week_start, week_end_date, weekly_sum FROM weekly_aggregates",
+    "SELECT symbol, week_start, week_end_date, weekly_sum FROM week_volume",
 )
 def q_weekly_volume(spark, sf):
     return silver.weekly_volume(X.bars(spark, sf), LATEST)
@@ -56,7 +56,7 @@ def q_weekly_volume(spark, sf):
     "weekly_close",
     f"WITH {O.bars_cte()}, {O.silver_ctes('bars', LATEST)}\n"
     "SELECT symbol, CAST(date_trunc('week', _file_date) AS DATE) AS week_start, _file_date, close_price "
-    "FROM weekly_closes",
+    "FROM week_close",
 )
 def q_weekly_close(spark, sf):
     return silver.weekly_close(X.bars(spark, sf), LATEST)
@@ -65,8 +65,8 @@ def q_weekly_close(spark, sf):
 @register(
     "volume_surge_check",
     f"WITH {O.bars_cte()}, {O.silver_ctes('bars', LATEST)}\n"
-    "SELECT symbol, _file_date, TTL_TRD_QNTY, avg_vol_180d, IS_3X_SURGE FROM surge_all "
-    "WHERE _file_date = (SELECT MAX(week_end_date) FROM weekly_aggregates)",
+    "SELECT symbol, _file_date, TTL_TRD_QNTY, avg_vol_180d, IS_3X_SURGE FROM surges "
+    "WHERE _file_date = (SELECT MAX(week_end_date) FROM week_volume)",
 )
 def q_volume_surge_check(spark, sf):
     return silver.volume_surge_check(X.bars(spark, sf), LATEST)
@@ -76,7 +76,7 @@ def q_volume_surge_check(spark, sf):
     "price_breakout_check",
     f"WITH {O.bars_cte()}, {O.silver_ctes('bars', LATEST)}\n"
     "SELECT symbol, _file_date, close_price, prev_180d_friday_high, \"50w_Moving_avg\", IS_BREAKOUT "
-    "FROM breakout_all WHERE _file_date = (SELECT MAX(_file_date) FROM weekly_closes)",
+    "FROM breakouts WHERE _file_date = (SELECT MAX(_file_date) FROM week_close)",
 )
 def q_price_breakout_check(spark, sf):
     return silver.price_breakout_check(X.bars(spark, sf), LATEST)
@@ -85,7 +85,7 @@ def q_price_breakout_check(spark, sf):
 @register(
     "moving_average_50w",
     f"WITH {O.bars_cte()}, {O.silver_ctes('bars', LATEST)}\n"
-    "SELECT symbol, _file_date, close_price, \"50w_Moving_avg\" FROM price_stats",
+    "SELECT symbol, _file_date, close_price, \"50w_Moving_avg\" FROM breakouts",
 )
 def q_moving_average_50w(spark, sf):
     return silver.moving_average_50w(X.bars(spark, sf), LATEST)
