@@ -1,10 +1,13 @@
 """Hand-made edge rows (FIXTURES.md §3) for each operator."""
 
 import datetime as dt
+import io
+import json
 import math
 from decimal import Decimal
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -71,6 +74,24 @@ def test_blank_lines_and_quoted_commas(spark):
     assert got == sorted([("A,B", "EQ"), (None, None), ('Q"T', "EQ")], key=repr)
 
 
+def test_line_ends_quoted_newlines_and_byte_order_mark_as_pandas(spark):
+    cases = {
+        "sec_bhavdata_full_01012024.csv": HEADER + "\r" + line("A") + "\r" + line("B"),
+        "sec_bhavdata_full_02012024.csv": "\ufeff" + HEADER + "\n" + line("A") + "\n",
+        "sec_bhavdata_full_03012024.csv": HEADER + "\n" + line('"A\nB"') + "\n" + line("C") + "\n",
+        "sec_bhavdata_full_04012024.csv": HEADER + "\r\n" + line('"A\r\nB, ""x"""') + "\r\n\r\n" + line("C") + "\r\n",
+        "sec_bhavdata_full_05012024.csv": HEADER + "\n" + line("A") + "\r" + line("B") + "\n",
+    }
+    raw = raw_df(spark, cases)
+    assert bhavcopy.file_errors(raw).count() == 0
+    got = rows(bhavcopy.parse_bhavcopy(raw), "_source_file", *bhavcopy.BHAVCOPY_COLUMNS)
+    want = []
+    for name, content in cases.items():
+        for r in pd.read_csv(io.BytesIO(content.encode()), dtype=str).itertuples(index=False):
+            want.append((name, *(None if pd.isna(x) else x for x in r)))
+    assert got == sorted(want, key=repr)
+
+
 def test_bad_files_are_reported_and_yield_no_rows(spark):
     raw = raw_df(
         spark,
@@ -426,3 +447,23 @@ def test_fetch_window_hot_feed_spans_partitions(spark):
         got5.setdefault(r["feed"], {})[r["seq"]] = (r["run_before"], r["made"])
     for feed, exp in expect.items():
         assert [got5[feed][i] for i in range(len(exp))] == exp, feed
+
+
+def test_widget_schema_is_that_of_the_matched_widget(spark):
+    other = {"name": "Other", "values": [{"x": "text", "y": 1}]}
+    mine = {"name": "my WL Volume % gain", "values": [{"x": 1.27, "s": "A"}, {"x": 3, "s": None}]}
+    docs = [
+        ("d1", json.dumps({"data": [other, mine]})),
+        ("d2", json.dumps({"data": []})),
+        ("d3", "not json"),
+        ("d4", None),
+        ("d5", json.dumps({"data": [{"name": None, "values": None}]})),
+        ("d6", json.dumps({"data": [{"name": "WL Volume % gain", "values": []}]})),
+    ]
+    payloads = spark.createDataFrame(docs, "day string, payload string")
+    out = widgets.widget_rows(payloads, keep=["day"])
+    assert out.columns == ["day", "s", "x"]
+    assert rows(out) == sorted([("d1", "A", 1.3), ("d1", None, 3.0)], key=repr)
+    assert widgets.unreadable_payloads(payloads).collect()[0].unreadable == 1
+    none = widgets.widget_rows(payloads.filter("day <> 'd1'"))
+    assert none.columns == [] and none.count() == 0

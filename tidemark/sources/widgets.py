@@ -7,11 +7,14 @@ rows, and every numeric field is cast to DOUBLE and rounded half-to-even to
 widget with no records yields no rows.
 
 Each payload is one row, so flattening is a per-row ``explode`` in the scan
-stage; record fields are inferred from the payloads when no schema is given.
+stage; record fields are inferred from the matching widgets when no schema is given.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,13 +27,25 @@ WIDGET_NAME = "WL Volume % gain"
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
-def infer_record_schema(payloads: DataFrame, column: str = "payload") -> T.StructType:
-    """Schema of the widget records, inferred by Spark's JSON reader over all
-    payloads (a distributed pass, like reading JSON files)."""
-    spark = payloads.sparkSession
-    inferred = spark.read.json(payloads.select(column).rdd.map(lambda r: r[0]))
-    data = inferred.schema["data"].dataType.elementType
-    return data["values"].dataType.elementType
+def _records(payloads: DataFrame, name: str, column: str, keep: Sequence[str]) -> DataFrame:
+    """``keep`` and one variant ``_record`` per record of the first widget whose
+    name contains ``name``; unreadable payloads have none."""
+    data = F.try_variant_get(F.try_parse_json(F.col(column)), "$.data", "array<variant>")
+    named = F.filter(data, lambda w: F.coalesce(F.try_variant_get(w, "$.name", "string"), F.lit("")).contains(name))
+    values = F.try_variant_get(F.try_element_at(named, F.lit(1)), "$.values", "array<variant>")
+    return payloads.select(*keep, F.explode(values).alias("_record"))
+
+
+def infer_record_schema(payloads: DataFrame, name: str = WIDGET_NAME, column: str = "payload") -> T.StructType:
+    """Schema of the records of the widgets that match (a distributed pass, like
+    reading JSON files); no other widget counts.  No record: no fields."""
+    found = _records(payloads, name, column, []).filter(F.schema_of_variant("_record").startswith("OBJECT"))
+    ddl = found.agg(F.schema_of_variant_agg("_record").alias("s")).collect()[0].s
+    if not ddl or not ddl.startswith("OBJECT<") or ddl == "OBJECT<>":
+        return T.StructType([])
+    # numbers with a point are doubles, fields of mixed or unknown type text
+    ddl = re.sub(r"DECIMAL\(\d+,\s*\d+\)|FLOAT", "DOUBLE", ddl.replace("OBJECT<", "STRUCT<"))
+    return T._parse_datatype_string(re.sub(r"(?<=: )(VARIANT|VOID)\b", "STRING", ddl))
 
 
 def widget_rows(
@@ -39,21 +54,30 @@ def widget_rows(
     record_schema: T.StructType | str | None = None,
     column: str = "payload",
     digits: int = 1,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
+    """Rows of the matching widgets, after the columns ``keep`` of their payload
+    (its day, say).  Unreadable payloads give no rows; ``unreadable_payloads``
+    counts them."""
     if record_schema is None:
-        record_schema = infer_record_schema(payloads, column)
+        record_schema = infer_record_schema(payloads, name, column)
     if isinstance(record_schema, str):
         record_schema = T._parse_datatype_string(record_schema)
-    widget = T.StructType([T.StructField("name", T.StringType()), T.StructField("values", T.ArrayType(record_schema))])
-    doc = T.StructType([T.StructField("data", T.ArrayType(widget))])
-    parsed = payloads.select(F.from_json(F.col(column), doc).alias("p"))
-    first = F.try_element_at(F.filter("p.data", lambda w: F.coalesce(w["name"], F.lit("")).contains(name)), F.lit(1))
-    rows = parsed.select(F.explode(first["values"]).alias("r")).select("r.*")
+    if not record_schema.fields:
+        return payloads.select(*keep).limit(0)
+    record = F.from_json(F.to_json("_record"), record_schema).alias("_r")
+    rows = _records(payloads, name, column, list(keep)).select(*keep, record)
     out = []
     for f in record_schema.fields:
-        c = F.col(f"`{f.name}`")
+        c = F.col("_r")[f.name]
         out.append((round_half_even(c, digits) if isinstance(f.dataType, _NUMERIC) else c).alias(f.name))
-    return rows.select(*out)
+    return rows.select(*keep, *out)
+
+
+def unreadable_payloads(payloads: DataFrame, column: str = "payload") -> DataFrame:
+    """One row: how many non-null payloads are no JSON."""
+    bad = F.col(column).isNotNull() & F.try_parse_json(F.col(column)).isNull()
+    return payloads.agg(F.count_if(bad).alias("unreadable"))
 
 
 def write_widget_csv(rows: DataFrame, out_dir: str, day) -> str:
