@@ -276,6 +276,27 @@ def test_landed_resets_run_and_strikes_are_per_file(spark):
     assert rows(files.strike_counts(b)) == [("x", 1)]
 
 
+def test_strikes_follow_the_log_on_top_of_carried_ones(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    start = dt.datetime(2024, 1, 1)
+    log = [
+        ("f", f"f{rng.integers(6)}", start + dt.timedelta(hours=int(rng.integers(96))), seq, [200, 404, 404, 500, None][rng.integers(5)])
+        for seq in range(60)
+    ]
+    carried = {"f0": 2, "f1": 1, "old": 1}
+    want = dict(carried)
+    for _, name, _, _, status in sorted(log, key=lambda r: (r[2], r[3])):
+        if status == 200:
+            want.pop(name, None)
+        elif status == 404:
+            want[name] = want.get(name, 0) + 1
+    attempts = spark.createDataFrame(log, "feed string, filename string, ts timestamp, seq long, status int")
+    previous = spark.createDataFrame(list(carried.items()), "filename string, strikes int")
+    assert rows(files.strike_counts(attempts, previous)) == sorted(want.items(), key=repr)
+    none = files.read_strike_tracker(spark, str(tmp_path / "absent.json"))
+    assert rows(files.strike_counts(attempts, none)) == rows(files.strike_counts(attempts))
+
+
 def test_strike_tracker_round_trip(spark, tmp_path):
     p = tmp_path / "strikes.json"
     p.write_text('{"sec_bhavdata_full_02102025.csv": 3, "sec_bhavdata_full_24042026.csv": 1}')

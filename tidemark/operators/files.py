@@ -13,6 +13,7 @@ request), and NULL for a file skipped because of its strikes (no request).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,8 +60,13 @@ def missing_files(
 
 def read_strike_tracker(spark, path: str) -> DataFrame:
     """``(filename, strikes)`` from a JSON object file ``{filename: n}``; an
-    unreadable file counts as empty."""
-    text = spark.read.text(path, wholetext=True)
+    absent or unreadable file counts as empty."""
+    try:
+        text = spark.read.text(path, wholetext=True)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "filename string, strikes int")
     m = F.coalesce(F.from_json("value", "map<string,int>"), F.create_map().cast("map<string,int>"))
     return text.select(F.explode(m).alias("filename", "strikes"))
 
@@ -78,20 +84,30 @@ def _order(a: DataFrame) -> Column:
     return F.struct("ts", "seq")
 
 
-def strike_counts(attempts: DataFrame) -> DataFrame:
-    """Strikes per file: 404s after the file's last 200 (a 200 clears the
-    entry, other outcomes leave it unchanged).  Files with none are absent.
+def strike_counts(attempts: DataFrame, previous: DataFrame | None = None) -> DataFrame:
+    """Strikes per file: 404s after the file's last 200 (a 200 clears the entry,
+    other outcomes leave it unchanged), on top of the ``previous`` ``(filename,
+    strikes)`` of a file without a 200.  Files with none are absent.
 
-    Two aggregations joined on ``filename`` instead of an ordered window, so a
-    file with a huge log is still reduced map-side and AQE can split it."""
-    last_ok = attempts.filter(F.col("status") == 200).groupBy("filename").agg(F.max(_order(attempts)).alias("_ok"))
-    misses = attempts.filter(F.col("status") == 404).select("filename", _order(attempts).alias("_at"))
-    return (
-        misses.join(last_ok, "filename", "left")
-        .filter(F.col("_ok").isNull() | (F.col("_at") > F.col("_ok")))
-        .groupBy("filename")
-        .agg(F.count(F.lit(1)).cast("int").alias("strikes"))
+    Counts per (file, day) are combined map-side; a day after the one of the last
+    200 counts whole, and only that one day's 404s are looked at again, so the rows
+    of a file with a huge log are never brought together."""
+    never = F.lit("0001-01-01").cast("date")
+    day = lambda ts: F.coalesce(F.to_date(ts), never)
+    tried = attempts.filter(F.col("status").isin(200, 404)).select("filename", "status", _order(attempts).alias("_at"), day(F.col("ts")).alias("_day"))
+    days = tried.groupBy("filename", "_day").agg(
+        F.count_if(F.col("status") == 404).alias("_n"), F.max(F.when(F.col("status") == 200, F.col("_at"))).alias("_ok")
     )
+    cleared = days.filter(F.col("_ok").isNotNull()).groupBy("filename").agg(F.max("_ok").alias("_ok"))
+    cleared = cleared.select("filename", "_ok", day(F.col("_ok")["ts"]).alias("_ok_day"))
+    whole = days.drop("_ok").join(cleared, "filename", "left").filter(F.col("_ok").isNull() | (F.col("_day") > F.col("_ok_day")))
+    on = ["filename", "_day"]
+    part = tried.filter(F.col("status") == 404).join(cleared.withColumnRenamed("_ok_day", "_day"), on).filter(F.col("_at") > F.col("_ok"))
+    parts = whole.select("filename", "_n").unionByName(part.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).select("filename", "_n"))
+    if previous is not None:
+        kept = previous.join(cleared, "filename", "left_anti")
+        parts = parts.unionByName(kept.select("filename", F.col("strikes").cast("long").alias("_n")))
+    return parts.groupBy("filename").agg(F.sum("_n").cast("int").alias("strikes")).filter(F.col("strikes") > 0)
 
 
 def fetch_window_rows(attempts: DataFrame, limit: int = EMPTY_RUN_LIMIT) -> DataFrame:
