@@ -1,13 +1,21 @@
 """Corpus pipeline: toxic documents go, one of each group of near copies stays,
 repeated passages are cut out, documents with benchmark items go, and what is left
-is encoded.  Each stage reads what its predecessor kept."""
+is encoded.  Each stage reads what its predecessor kept.
+
+A document is a row's id and text.  Of repeated rows one stays; texts under one id
+are documents of their own, and so are rows without id: the stages that tell
+documents by id get a number for each (see ``rows``).  Where the smallest document
+stays, that is the one of smallest id; further texts of an id come after all ids,
+rows without id last.  Blank texts are near copies of none."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, jaccard, lattice, phrases, toxicity
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import free, stored, table
+from tidemark.llm.rows import digest, numbered, restored
 
 #: Near copies: word shingles of five words, Jaccard similarity 0.8 or more.
 SHINGLE, SIMILAR = 5, (80, 100)
@@ -18,15 +26,22 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard.one_of_each(docs, SHINGLE, SIMILAR)
+    rows, own, copied = numbered(docs)
+    kept = jaccard.one_of_each(rows, SHINGLE, SIMILAR)
+    once = kept.filter(~F.col(copied)).unionByName(kept.filter(copied).dropDuplicates(["doc_id"]))
+    return restored(once, own, docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return phrases.without_repeats(docs)
+    rows, own, _ = numbered(docs)
+    return restored(phrases.without_repeats(rows), own, docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.without_items(docs, table(spark, sf_dir, "benchmark"))
+    # whether a document holds an item depends on its text alone
+    own = free("_own_id", docs)
+    rows = docs.withColumn(own, F.col("doc_id")).withColumn("doc_id", digest())
+    return restored(decontaminate.without_items(rows, table(spark, sf_dir, "benchmark")), own, docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,66 @@
+"""The pipeline's stages decide per row: repeated rows, several texts under one id,
+rows without id."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tidemark.llm import rows
+
+KIND = "doc_id long, text string, _d string"
+
+
+def prose(r, n):
+    return " ".join(f"w{r.randrange(4000)}" for _ in range(n))
+
+
+def frame(spark, own):
+    return spark.createDataFrame([(i, t, "x") for i, t in own], KIND)
+
+
+def pairs(df):
+    return sorted(((r.doc_id, r.text) for r in df.collect()), key=lambda x: (x[0] is None, x[0] or 0, x[1] is None, x[1] or ""))
+
+
+def test_stages_by_row(spark, tmp_path):
+    r = random.Random(3)
+    a, b, c, d, item = (prose(r, 80) for _ in range(5))
+    near_a = a + " tail"
+    own = [(1, a), (1, a), (1, a), (2, b), (2, near_a), (3, near_a), (3, c), (None, b), (None, d), (None, d), (None, "d " + d), (4, ""), (4, ""), (None, None), (None, None), (5, None)]
+    df = frame(spark, own)
+    kept = corpus_pipeline.drop_near_copies(spark, df, "")
+    assert kept.columns == df.columns
+    got = pairs(kept)
+    one_d = [x for x in got if x[1] in (d, "d " + d)]
+    assert len(one_d) == 1 and one_d[0][0] is None
+    assert [x for x in got if x not in one_d] == [(1, a), (2, b), (3, c), (4, ""), (5, None), (None, None)]
+
+    line = prose(r, 60)
+    repeated = frame(spark, [(1, line + " one"), (1, "two " + line), (None, line + " three")])
+    words = corpus_pipeline.cut_repeats(spark, repeated, "").collect()
+    assert sum(line in x.text for x in words) == 1 and next(x.doc_id for x in words if line in x.text) == 1
+    assert next(x.text for x in words if x.doc_id is None) == "three"
+
+    spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    leaky = frame(spark, [(1, a), (1, item + " x"), (None, "y " + item), (None, b), (2, None)])
+    assert pairs(corpus_pipeline.drop_leaks(spark, leaky, str(tmp_path))) == [(1, a), (2, None), (None, b)]
+
+
+@pytest.mark.parametrize("largest", [rows.LARGEST, 9])
+def test_numbers(spark, largest):
+    own = [(3, "a"), (3, "a"), (3, "b"), (-2, "a"), (9, None), (9, "a"), (None, "a"), (None, "b"), (None, "b"), (None, None), (4, "z")]
+    df, old, copied = rows.numbered(frame(spark, own), largest)
+    got = df.select("doc_id", old, "text", copied).collect()
+    number = {(x[1], x[2]): x[0] for x in got}
+    assert sorted(((x[1], x[2]) for x in got), key=str) == sorted(own, key=str)
+    assert len({x[0] for x in got}) == len(set(own)) and None not in number.values()
+    assert {(x[1], x[2]) for x in got if x[3]} == {(3, "a"), (None, "b")}
+    first = [min(n for (i, _), n in number.items() if i == j) for j in (-2, 3, 4, 9)]
+    assert first == sorted(first)
+    assert max(first) < min(n for (i, _), n in number.items() if i is None)
+    plain, _, copied = rows.numbered(frame(spark, [(7, "a"), (8, "a")]))
+    assert sorted(x.doc_id for x in plain.collect()) == [7, 8] and not plain.filter(F.col(copied)).count()
