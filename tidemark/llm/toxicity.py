@@ -9,15 +9,16 @@ thresholds t1 < t2 < ..., the model is
 and the output is the expected severity, the sum of these probabilities.
 
 It is fitted on a bounded sample of labelled documents (``SAMPLE``, the first by
-a hash of their id): term counts by class, the ``TERMS`` terms that tell the
+a hash of their id; each class has half of it, or all its documents if they are
+fewer, and what one class leaves goes to the other): term counts by class, the ``TERMS`` terms that tell the
 classes apart best, then the regression.  Labels say only whether a document is
 toxic, so the severity grade of a toxic one is the third it falls into by the
 number of telling terms that it has.  A document is toxic from the severity on
 that separates the sample best.
 
 Every document is scored, on its whole text.  Defined results: a null or empty
-text has no features, and the severity of none; without labels of both classes
-severity is 0 and nothing is toxic; a document labelled twice counts once, with
+text has no features, and the severity of none; without labels of both classes,
+or terms that tell them apart, severity is 0 and nothing is toxic; a document labelled twice counts once, with
 the larger label; null ids are scored but never train; repeated rows stay; other
 columns are ignored.
 """
@@ -33,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 SAMPLE = 12_000
 TERMS = 2_000
 LEAST_DOCS = 5
@@ -159,8 +162,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int = T
     """The model from ``(doc_id, text)`` and ``(doc_id, toxic)``."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic in (0, 1)")
     known = known.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    picked = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    picked = docs.sparkSession.createDataFrame([tuple(r) for r in picked.collect()], "doc_id long, toxic int")  # at most ``sample`` rows
+    known = stored(known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "labelled")
+    # at most ``sample`` rows of each class
+    clean, bad = ([tuple(r) for r in known.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()] for y in (0, 1))
+    bad = bad[: max(sample // 2, sample - len(clean))]
+    picked = docs.sparkSession.createDataFrame(bad + clean[: sample - len(bad)], "doc_id long, toxic int")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id")
     size = {r.toxic: r["count"] for r in picked.groupBy("toxic").count().collect()}
     if len(size) < 2:
