@@ -18,7 +18,7 @@ of each document.  All links count: none is lost to a cap or a sample.
    is left as soon as the rest of either set is too short to reach the overlap.
 5. Links make components.  In a larger group whose members are not in one
    component yet, every member outside the most common one is compared with all
-   members of other components (sketch, then tree), in blocks.  Members of one
+   members of other components (sketch, then tree), in blocks of both.  Members of one
    component need no comparison, so a group of thousands of near copies costs
    about one comparison per member, and the result is exact.
 
@@ -355,16 +355,26 @@ def _across(similar: tuple[int, int]):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
         for b in batches:
-            for g, salt, stray, *row in zip(*(b[c].to_pylist() for c in ("g", "salt", "stray", "r", "c", "n", "bits")), strict=True):
-                if (g, salt) != now:
+            for g, salt, block, stray, *row in zip(*(b[c].to_pylist() for c in ("g", "salt", "block", "stray", "r", "c", "n", "bits")), strict=True):
+                if (g, salt, block) != now:
                     yield from flush()
-                    now, rows, odd = (g, salt), [], []
+                    now, rows, odd = (g, salt, block), [], []
                 (odd if stray else rows).append(row)
         yield from flush()
 
     return run
 
 
+def _dealt(split: DataFrame) -> DataFrame:
+    """The members of split groups in blocks of about MEMBERS (``salt``), the strays
+    also in theirs (``block``): each block of strays meets each block of members."""
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("r"), n).cast("int")
+    stray = split.filter("c != main").withColumn("block", own("blocks")).withColumn("salt", every("salts")).withColumn("stray", F.lit(True))
+    whole = split.withColumn("salt", own("salts")).withColumn("block", every("blocks")).withColumn("stray", F.lit(False))
+    return whole.unionByName(stray).select("g", "salt", "block", "stray", "r", "c", "n", "bits")
+
+
 def linked(docs: DataFrame, k: int = SHINGLE, similar: tuple[int, int] = SIMILAR, buckets: int = BUCKETS) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` of each row of ``(doc_id, text)``."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -392,13 +402,12 @@ def linked(docs: DataFrame, k: int = SHINGLE, similar: tuple[int, int] = SIMILAR
 
     large = rows.filter(F.col("size") > ALL_PAIRS).select("g", "r", "size").join(labels, "r", "left").withColumn("c", F.coalesce("c", "r"))
     by = large.groupBy("g", "c").agg(F.count("*").alias("m"))
-    main = by.groupBy("g").agg(F.max(F.struct("m", "c")).alias("top"), F.count("*").alias("parts")).filter("parts > 1").select("g", F.col("top.c").alias("main"))
+    main = by.groupBy("g").agg(F.max(F.struct("m", "c")).alias("top"), F.count("*").alias("parts")).filter("parts > 1").select("g", F.col("top.c").alias("main"), F.col("top.m").alias("most"))
     split = large.join(main, "g").join(bits, "r")
-    split = stored(split.withColumn("salts", F.ceil(F.col("size") / MEMBERS).cast("int")), "split-groups")
+    blocks = [F.ceil(n / MEMBERS).cast("int").alias(c) for c, n in (("salts", F.col("size")), ("blocks", F.col("size") - F.col("most")))]
+    split = stored(split.select("*", *blocks), "split-groups")
     if split.limit(1).count():
-        stray = split.filter("c != main").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).withColumn("stray", F.lit(True))
-        whole = split.withColumn("salt", F.pmod(F.xxhash64("r"), "salts").cast("int")).withColumn("stray", F.lit(False))
-        dealt = whole.unionByName(stray).select("g", "salt", "stray", "r", "c", "n", "bits").repartition("g", "salt").sortWithinPartitions("g", "salt")
+        dealt = _dealt(split).repartition("g", "salt", "block").sortWithinPartitions("g", "salt", "block")
         more = dealt.mapInArrow(_across(similar), "a long, b long").distinct()
         more = stored(verified(stored(more, "cross-pairs"), sketched, k, similar), "cross-links")
         if more.limit(1).count():
