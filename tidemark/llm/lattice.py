@@ -7,7 +7,9 @@ exploded into its substrings of bounded length; an equi-join with the piece tabl
 leaves the edges of its lattice; the edges are grouped by segment and folded, in the
 order of their ends, by a higher-order ``aggregate`` that keeps the best spelling of
 every prefix (Viterbi).  A character that no piece spells gives one edge of byte
-pieces.  The substrings stay in the partition of their segment and next to each
+pieces.  A segment of more than ``STRETCH`` characters is spelt by a function that
+walks it once, as the array of a fold is copied at each end and the weights of a path
+have bounded bits.  The substrings stay in the partition of their segment and next to each
 other, so edges are neither shuffled nor sorted: an Arrow function only marks in the
 stream of edges where segments and ends begin.  The segments' ids go back to the
 words as words' ids go to texts (below).
@@ -36,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import stored
-from .pieces import MODEL, SPACE, Pieces, load
+from .pieces import MODEL, SPACE, Pieces, best_ids, load
 
 #: Words that may be broadcast with their spelling.
 FREQUENT = 200_000
@@ -44,6 +46,9 @@ FREQUENT = 200_000
 BYTES = (1 << 25) - 1
 #: Bits for the pieces of a path; the rest of a long holds its cost.
 PIECE_BITS = 20
+#: Characters of a segment up to which it is folded: a character costs less than 2^29 and
+#: has at most 4 pieces (``piece_table``), so cost and pieces stay below 2^43 and 2^16.
+STRETCH = 1 << 14
 #: Bits of the hash that each occurrence adds to a text's digest.
 DIGEST_BITS = 40
 
@@ -209,13 +214,31 @@ def spell_segments(segments: DataFrame, pieces: Pieces) -> DataFrame:
     return paths.select("segment", "uses", each.alias("ids"))
 
 
+def _walked(pieces: Pieces):
+    """``(segment, uses)`` in, ``(segment, uses, ids)`` out, one segment at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for segment, uses in zip(batch["segment"].to_pylist(), batch["uses"].to_pylist(), strict=True):
+                ids = pa.array([best_ids(segment, pieces)], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([pa.array([segment]), pa.array([uses], pa.int64()), ids], names=["segment", "uses", "ids"])
+
+    return run
+
+
 def spell(vocabulary: DataFrame, pieces: Pieces, frequent: int) -> DataFrame:
     """``(word, count, ids)`` of ``(word, count)`` with distinct words.  Each
     distinct segment of the words is spelt once."""
     pairs = frozenset(p[i : i + 2] for p in pieces.scores for i in range(len(p) - 1))
     cut = stored(vocabulary.mapInArrow(_split(pairs), "word string, count long, segments array<string>"), "segments")
     used = cut.select(F.explode("segments").alias("segment")).groupBy("segment").agg(F.count("*").alias("uses"))
-    spelt = stored(spell_segments(used, pieces), "segment-spellings")
+    is_long = lambda c: F.char_length(c) > STRETCH
+    if cut.filter(F.exists("segments", is_long)).limit(1).count():
+        long = used.filter(is_long("segment")).mapInArrow(_walked(pieces), "segment string, uses long, ids array<int>")
+        found = spell_segments(used.filter(~is_long("segment")), pieces).unionByName(long)
+    else:
+        found = spell_segments(used, pieces)
+    spelt = stored(found, "segment-spellings")
     least = frequent_from(spelt.select(F.col("uses").alias("count")), frequent)
     known = F.broadcast(spelt.filter(F.col("uses") >= least).select("segment", "ids"))
     rare = spelt.filter(F.col("uses") < least).select("segment", "ids").hint("merge")

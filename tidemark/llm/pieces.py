@@ -9,6 +9,7 @@ The table is bounded by the model (32,000 pieces), so it may be broadcast.
 
 from __future__ import annotations
 
+from array import array
 import math
 from dataclasses import dataclass
 
@@ -58,9 +59,15 @@ def load(path: str = MODEL) -> Pieces:
 def viterbi(word: str, pieces: Pieces) -> list[int]:
     """Ids of the best spelling of one word: highest score, then fewest pieces,
     then the longest last piece."""
-    text = SPACE + word
-    best: list[tuple[int, int, int, int]] = [(0, 0, 0, 0)]  # score, pieces, start, id
+    return best_ids(SPACE + word, pieces)
+
+
+def best_ids(text: str, pieces: Pieces) -> list[int]:
+    """Ids of the best spelling of a text without a mark.  Two numbers are held for
+    each of its places; scores only for as many as the longest piece has."""
     longest = pieces.longest
+    best: dict[int, tuple[int, int]] = {0: (0, 0)}  # end: score, pieces
+    starts, ids = array("q", [0]), array("q", [-1])
     for end in range(1, len(text) + 1):
         top: tuple[int, int, int, int] | None = None
         for start in range(max(0, end - longest), end):
@@ -74,12 +81,14 @@ def viterbi(word: str, pieces: Pieces) -> list[int]:
             have = (best[start][0] + score, best[start][1] + n, start, i)
             if top is None or have[0] > top[0] or have[0] == top[0] and have[1] < top[1]:
                 top = have
-        best.append(top)
+        best[end] = top[:2]
+        best.pop(end - longest, None)
+        starts.append(top[2])
+        ids.append(top[3])
     out: list[int] = []
     at = len(text)
     while at:
-        _, _, start, i = best[at]
-        own = [i] if i >= 0 else [pieces.byte_ids[b] for b in text[start:at].encode("utf-8", "surrogatepass")]
-        out[:0] = own
+        start, i = starts[at], ids[at]
+        out += [i] if i >= 0 else [pieces.byte_ids[b] for b in reversed(text[start:at].encode("utf-8", "surrogatepass"))]
         at = start
-    return out
+    return out[::-1]
