@@ -4,7 +4,9 @@ Records come in many layouts: a row per turn, a list of messages, a prompt and
 its response, an instruction with an input.  The nested field paths of a layout
 are hashed; the fingerprint selects a declarative mapping that says where the
 conversation id, the roles and the texts are, and the mapping is compiled to
-Spark expressions that give canonical turns ``(conv_id, turn, role, text)``.
+Spark expressions that give canonical turns ``(conv_id, turn, role, text)``.  Where a
+table has the fields of several layouts, each row is read by the one whose fields it
+fills: most filled fields, then fewest empty ones, then the order of ``LAYOUTS``.
 
 A template then marks the turns.  Control characters inside roles and texts are
 escaped, so the marks never occur in them and the formatted text reads back
@@ -15,7 +17,9 @@ held in memory.
 Defined results: a null text is empty; a null role is empty and never under the
 loss mask; a null conversation id forms a conversation of its own (null); equal
 turn numbers are ordered by role, then text, repeated rows all stay; a null turn
-number comes first; empty tables give no rows; further columns are ignored.
+number comes first; a null or empty list of turns has no turns, so it gives no rows;
+nor does a row of a table of several layouts that fills no field of any; empty tables
+give no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,6 +28,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -95,6 +100,24 @@ def choose(schema: T.StructType, layouts: tuple[Layout, ...] = LAYOUTS) -> Layou
     raise ValueError(f"no layout for fields {sorted(paths)}")
 
 
+def known(schema: T.StructType, layouts: tuple[Layout, ...] = LAYOUTS) -> list[Layout]:
+    """The layouts whose fields the schema has, without those that are a part of
+    another; one alone is that of ``choose``."""
+    paths = set(field_paths(schema))
+    has = [x for x in layouts if paths.issuperset(x.paths())]
+    return [x for x in has if not any(set(x.paths()) < set(y.paths()) for y in has)] or [choose(schema, layouts)]
+
+
+def _filled(x: Layout) -> tuple[Column, int]:
+    """Fields of the layout that a row fills (the id apart), and how many there are."""
+    if x.items:
+        name, *fields = x.items
+        there = [F.exists(F.col(f"`{name}`").getField(f), lambda v: v.isNotNull()) for f in fields]
+    else:
+        there = [F.col(f"`{f}`").isNotNull() for f in x.paths()[1:]]
+    return sum((F.coalesce(c, F.lit(False)).cast("int") for c in there), F.lit(0)), len(there)
+
+
 def _role(c: Column) -> Column:
     names = F.create_map(*[F.lit(x) for kv in ROLE_NAMES.items() for x in kv])
     return F.coalesce(names[c], c, F.lit(""))
@@ -102,7 +125,18 @@ def _role(c: Column) -> Column:
 
 def to_turns(df: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """Canonical turns ``(conv_id long, turn long, role string, text string)``."""
-    x = choose(df.schema, layouts)
+    found = known(df.schema, layouts)
+    if len(found) == 1:
+        return _turns(df, found[0])
+    # most filled fields, fewest empty ones, the first
+    rank = [F.struct(n.alias("n"), (n - size).alias("full"), F.lit(-i).alias("i")) for i, (n, size) in enumerate(map(_filled, found))]
+    best = F.greatest(*rank)
+    parts = [_turns(df.filter((best["n"] > 0) & (best["i"] == -i)), x) for i, x in enumerate(found)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _turns(df: DataFrame, x: Layout) -> DataFrame:
+    """The turns of rows of one layout."""
     ref = lambda name: F.col(f"`{name}`")
     conv = ref(x.id).cast("long").alias("conv_id")
     if x.row:
