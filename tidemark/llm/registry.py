@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, chat, decontaminate, jaccard, langid, lattice, phrases, spelling, tokencount, topk, toxicity, urls
+from . import alignment, chat, decontaminate, jaccard, langid, lattice, phrases, spelling, suffixes, tokencount, topk, toxicity, urls
 from .common import table
 from .oracle import ORACLE
 
@@ -69,6 +69,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.digests(table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digests(table(spark, sf_dir, "documents"))
+
+
 def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.digests(table(spark, sf_dir, "documents"))
 
@@ -90,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_benchmark_decontamination,
         op9_url_filter,
         op10_sentencepiece,
+        op11_suffix_dedup,
         op12_tokenizer_alignment,
         op13_spelling_variants,
     )
