@@ -84,19 +84,21 @@ def test_against_brute_force(spark, tokenizers, options):
 
 
 def test_coarse_cuts_are_refined():
-    """Two bytes of one character in each tokenizer: a cut inside the character."""
+    """Some bytes of one character in both tokenizers: cuts inside the character."""
     al = alignment.aligner(alignment.BYTE_BPE, alignment.MODEL)
-    (groups,) = al.groups(["𓀀"])
-    assert [len(g.a) for g in groups] != [len(al.a.encode(" 𓀀", add_special_tokens=False).ids)] and len(groups) > 2
-    assert al.units("a b  c\n d ") == ["a", "b", " c\n d "] or " ".join(al.units("a b  c\n d ")) == "a b  c\n d "
+    found = alignment.learn(al, ["𓀀", "x"])
+    assert found.numbers[0, 2] > 2 and found.numbers[1].tolist() == [1, 1, 1, 1]
+    assert " ".join(al.units("a b  c\n d ")) == "a b  c\n d " and len(al.units("a b  c\n d ")) == 3
 
 
 def test_memory_of_units_is_bounded(monkeypatch):
     monkeypatch.setattr(alignment, "HELD", 10)
-    memory = alignment._Units(alignment.BYTE_BPE, alignment.MODEL)
+    known = alignment.Memory(alignment.BYTE_BPE, alignment.MODEL)
     for i in range(30):
-        found = memory.of({f"w{i}", f"v{i}", "x" * 100})
-        assert set(found) == {f"w{i}", f"v{i}", "x" * 100} and len(memory.known) <= 10
+        units = [f"w{i}", f"v{i}", "x" * 100, "a▁b"]
+        known.know(units)
+        assert set(units) <= set(known.place) and len(known.place) <= 10
+        assert known.numbers[known.place["a▁b"], 0] == -1
 
 
 def test_empty_table(spark):

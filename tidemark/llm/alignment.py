@@ -8,8 +8,8 @@ end.
 * A text, with a space before it, is cut into units where a space follows a character
   that is no white space.  There both tokenizers begin anew: A splits at such a place
   before it merges, and no piece of B has a space after another character (checked
-  when it is loaded; if one has, a text is one unit).  So units are tokenized apart,
-  frequent ones once for a task (at most ``HELD`` of at most ``SHORT`` characters).
+  when it is loaded; if one has, a text is one unit).  So a worker tokenizes units that
+  it does not know, some at a time, and remembers them up to a bound.
 * Coarse cuts of a unit are the ends of spans that both have, A's character offsets and
   B's offset mapping (which took the place of the immutable proto in the installed
   version; the spans are the same).  A token of A whose span overlaps the next one, and
@@ -34,7 +34,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import itertools
-from collections import Counter
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -48,20 +48,14 @@ from .lattice import frequent_from
 from .pieces import MODEL, SPACE
 
 BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
-#: Units that a task remembers, and how many characters they have at most.
-HELD, SHORT = 150_000, 48
+#: Units and links that a worker remembers.
+HELD, HELD_LINKS = 400_000, 1 << 23
+#: Characters of the texts that are aligned at a time (one long text may exceed it).
+CHUNK = 1 << 17
 #: Counts of pairs that may be broadcast.
 FREQUENT = 300_000
 
 
-@dataclass(frozen=True)
-class Group:
-    """Tokens between two cuts."""
-
-    a: tuple[int, ...]
-    b: tuple[int, ...]
-
-
 def byte_of() -> dict[str, int]:
     """The byte that each character of a byte-level vocabulary stands for: printable
     bytes stand for themselves, the others follow from U+0100 on."""
@@ -70,6 +64,11 @@ def byte_of() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
+_WHITE = re.compile(r"[\s\u180e]")
+#: A space that follows white space, or ends or begins a text.
+_NO_CUT = re.compile(r"(?:\A|[\s\u180e]) | \Z")
+
+
 def _piece_bytes(piece: str, is_byte: bool) -> bytes:
     return bytes([int(piece[3:5], 16)]) if is_byte else piece.replace(SPACE, " ").encode()
 
@@ -94,6 +93,9 @@ class Aligner:
         self.byte_ids = {i for i in range(size) if self.b.is_byte(i)}
         pieces = [self.b.id_to_piece(i) for i in range(size)]
         self.b_bytes = [_piece_bytes(p, i in self.byte_ids) for i, p in enumerate(pieces)]
+        self.is_byte = np.array([i in self.byte_ids for i in range(size)])
+        self.length_a = np.array([len(self.a_bytes.get(i, b"")) for i in range(max(self.a_bytes) + 1)])
+        self.length_b = np.array([len(x) for x in self.b_bytes])
         # a space after another character, in a piece that a text can have
         special = {i for i in range(size) if self.b.is_control(i) or self.b.is_unknown(i)}
         self.cuts = not any(SPACE in p.lstrip(SPACE) for i, p in enumerate(pieces) if i not in special)
@@ -103,9 +105,9 @@ class Aligner:
         if not self.cuts:
             return [text]
         parts = text.split(" ")
-        ends = lambda p: p and not p[-1].isspace() and p[-1] != "\u180e"
-        if all(map(ends, parts[:-1])) and parts[-1]:
+        if not _NO_CUT.search(text):
             return parts
+        ends = lambda p: p and not _WHITE.match(p[-1])
         out, open_ = [], None
         for p in parts:
             open_ = p if open_ is None else f"{open_} {p}"
@@ -117,49 +119,45 @@ class Aligner:
             return [*out[:-1], out[-1] + " "]
         return out if open_ is None else [*out, open_]
 
-    def groups(self, units: list[str]) -> Iterator[list[Group] | None]:
-        """The groups of each unit; None if its tokens do not spell it."""
-        marked = [" " + u for u in units]
-        for unit, a, b in zip(marked, self.a.encode_batch(marked, add_special_tokens=False), self.b.encode(units, return_type="offset_mapping", num_threads=1), strict=True):
-            ids_a, ids_b = a.ids, b["ids"]
-            raw = unit.encode()
-            if b"".join([self.a_bytes[i] for i in ids_a]) != raw or b"".join([self.b_bytes[i] for i in ids_b]) != raw:
-                yield None
-            else:
-                yield [Group(tuple(ids_a[i:x]), tuple(ids_b[j:y])) for (i, j), (x, y) in itertools.pairwise(self._cuts(ids_a, a.offsets, ids_b, b["offsets"]))]
-
-    def _cuts(self, ids_a: list[int], spans_a: list, ids_b: list[int], spans_b: list) -> list[tuple[int, int]]:
+    def spans(self, text: str) -> tuple[np.ndarray, ...]:
+        """Ids, begins and ends of the tokens of A and of B of a text with a space
+        before it; places are characters."""
+        a = self.a.encode(" " + text, add_special_tokens=False)
+        b = self.b.encode(text, return_type="offset_mapping")
+        # the space before a text is not in B's text
+        return np.array(a.ids, np.int64), *_columns(a.offsets), np.array(b["ids"], np.int64), *(x + 1 for x in _columns(b["offsets"]))
+
+    def cuts_of(self, ids_a, begin_a, end_a, ids_b, begin_b, end_b) -> tuple[np.ndarray, np.ndarray]:
         """How many tokens of A and of B are before each cut, from none to all."""
-        ends_a, inner_a = {}, []
-        for i, (_, end) in enumerate(spans_a):
-            if i + 1 < len(spans_a) and spans_a[i + 1][0] < end:
-                inner_a.append(i)
-            else:
-                ends_a[end] = i + 1
-        ends_b, inner_b = {}, []
-        for j, (begin, end) in enumerate(spans_b):
-            if begin == end and ids_b[j] in self.byte_ids:
-                inner_b.append(j)
-            else:
-                # the space before a unit is not in B's text
-                ends_b[end + 1] = j + 1
-        coarse = [(0, 0), *((i, ends_b[p]) for p, i in ends_a.items() if p in ends_b)]
-        if not inner_a or not inner_b:
-            return coarse
-        out = [(0, 0)]
-        at_a = at_b = 0
-        for (i, j), (x, y) in itertools.pairwise(coarse):
-            while at_a < len(inner_a) and inner_a[at_a] < i:
-                at_a += 1
-            while at_b < len(inner_b) and inner_b[at_b] < j:
-                at_b += 1
-            if at_a < len(inner_a) and inner_a[at_a] < x and at_b < len(inner_b) and inner_b[at_b] < y:
-                sums_a = itertools.accumulate(len(self.a_bytes[k]) for k in ids_a[i:x])
-                sums_b = {s: j + k for k, s in enumerate(itertools.accumulate(len(self.b_bytes[k]) for k in ids_b[j:y]), 1)}
-                out += [(i + k, sums_b[s]) for k, s in enumerate(sums_a, 1) if s in sums_b]
-            else:
-                out.append((x, y))
-        return out
+        whole_a = np.append(end_a[:-1] <= begin_a[1:], True)
+        whole_b = ~(self.is_byte[ids_b] & (begin_b == end_b))
+        at_a, at_b = np.flatnonzero(whole_a), np.flatnonzero(whole_b)
+        # two tokens of B may end at one place, where the first is the space: the last counts
+        last = np.append(end_b[at_b][1:] != end_b[at_b][:-1], True)
+        at_b = at_b[last]
+        common = np.intersect1d(end_a[at_a], end_b[at_b], assume_unique=True)
+        i = np.append(0, at_a[np.searchsorted(end_a[at_a], common)] + 1)
+        j = np.append(0, at_b[np.searchsorted(end_b[at_b], common)] + 1)
+        if whole_a.all() or whole_b.all():
+            return i, j
+        # refine, by the bytes of tokens, what lies between two cuts and has tokens of both that end inside a character
+        inner_a, inner_b = np.append(0, np.cumsum(~whole_a)), np.append(0, np.cumsum(~whole_b))
+        inside = (np.diff(inner_a[i]) > 0) & (np.diff(inner_b[j]) > 0)
+        bytes_a, bytes_b = np.cumsum(self.length_a[ids_a]), np.cumsum(self.length_b[ids_b])
+        tokens_a = np.flatnonzero(np.repeat(inside, np.diff(i)))
+        tokens_b = np.flatnonzero(np.repeat(inside, np.diff(j)))
+        _, x, y = np.intersect1d(bytes_a[tokens_a], bytes_b[tokens_b], assume_unique=True, return_indices=True)
+        return np.union1d(i, tokens_a[x] + 1), np.union1d(j, tokens_b[y] + 1)
+
+    def spells(self, text: str, ids_a: np.ndarray, ids_b: np.ndarray) -> bool:
+        """Whether the tokens' bytes are those of the text and the space before it."""
+        raw = (" " + text).encode()
+        return b"".join(map(self.a_bytes.__getitem__, ids_a.tolist())) == raw == b"".join(map(self.b_bytes.__getitem__, ids_b.tolist()))
+
+
+def _columns(pairs: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    flat = np.fromiter(itertools.chain.from_iterable(pairs), np.int64, 2 * len(pairs))
+    return flat[::2], flat[1::2]
 
 
 @functools.lru_cache(maxsize=2)
@@ -167,97 +165,152 @@ def aligner(a: str, b: str) -> Aligner:
     return Aligner(a, b)
 
 
-def spelt(groups: list[Group]) -> str:
-    """``a1,a2|b1;a3|b2,b3``"""
-    return ";".join([f"{','.join(map(str, g.a))}|{','.join(map(str, g.b))}" for g in groups])
-
-
-def _unit(groups: list[Group] | None) -> tuple | None:
-    """Tokens of A and B, groups, links, spelling, and each pair of ids with its
-    number, of a unit."""
-    if groups is None:
-        return None
-    pairs: dict[int, int] = {}
-    links = n_a = n_b = 0
-    for g in groups:
-        n_a += len(g.a)
-        n_b += len(g.b)
-        links += len(g.a) * len(g.b)
-        if len(g.a) == len(g.b) == 1:
-            k = g.a[0] << 32 | g.b[0]
-            pairs[k] = pairs.get(k, 0) + 1
-        else:
-            again = Counter(g.b)
-            for x, n in Counter(g.a).items():
-                for y, m in again.items():
-                    pairs[x << 32 | y] = pairs.get(x << 32 | y, 0) + n * m
-    return n_a, n_b, len(groups), links, spelt(groups), np.array(list(pairs), np.int64).tobytes(), np.array(list(pairs.values()), np.int64).tobytes()
-
-
-class _Units:
-    """What is known of units; short ones are remembered."""
+@dataclass
+class Learnt:
+    """What is known of some units: tokens of A and B, groups and links of each, its
+    groups as a text, and its links (ids of A above bit 32) from ``first`` on.  A unit
+    that its tokens do not spell has -1 tokens."""
+
+    numbers: np.ndarray
+    texts: list[str]
+    first: np.ndarray
+    links: np.ndarray
+
+
+def learn(al: Aligner, units: list[str]) -> Learnt:
+    """Aligns units, as one text if its tokens spell it, else each by itself.  Of
+    several units none ends in white space."""
+    text = " ".join(units)
+    ids_a, begin_a, end_a, ids_b, begin_b, end_b = spans = al.spans(text)
+    if not al.spells(text, ids_a, ids_b):
+        if len(units) > 1:
+            each = [learn(al, [u]) for u in units]
+            first = np.append(0, np.cumsum([len(x.links) for x in each]))
+            return Learnt(np.concatenate([x.numbers for x in each]), [x.texts[0] for x in each], first, np.concatenate([x.links for x in each]))
+        return Learnt(np.full((1, 4), -1), [""], np.zeros(2, np.int64), np.zeros(0, np.int64))
+    i, j = al.cuts_of(*spans)
+    # every unit ends at a cut
+    ends = np.cumsum([len(u) + 1 for u in units])
+    unit_a = np.append(0, np.searchsorted(end_a, ends, "right"))
+    of_unit = np.searchsorted(i, unit_a)
+    if not np.array_equal(i[of_unit], unit_a):
+        raise ValueError("a unit does not end at a cut")
+    n_a, n_b = np.diff(i), np.diff(j)
+    links_before = np.append(0, np.cumsum(n_a * n_b))
+    numbers = np.stack([np.diff(unit_a), np.diff(j[of_unit]), np.diff(of_unit), np.diff(links_before[of_unit])], axis=1)
+    # tokens in the order of groups, those of A first; a unit's last one ends its line
+    order = np.concatenate([np.repeat(np.arange(len(n_a)) * 2, n_a), np.repeat(np.arange(len(n_b)) * 2 + 1, n_b)])
+    marks = np.concatenate([np.where(np.isin(np.arange(1, len(ids_a) + 1), i), 1, 0), np.where(np.isin(np.arange(1, len(ids_b) + 1), j), 2, 0)])
+    marks[len(ids_a) + j[of_unit[1:]] - 1] = 3
+    names, signs = np.concatenate([ids_a, ids_b]), np.array([",", "|", ";", "\n"], object)
+    put = np.argsort(order, kind="stable")
+    pieces = [""] * (2 * len(put))
+    pieces[::2], pieces[1::2] = map(str, names[put].tolist()), signs[marks[put]].tolist()
+    texts = "".join(pieces).split("\n")[:-1]
+    return Learnt(numbers, texts, links_before[of_unit], _links(ids_a, ids_b, i, j, n_a, n_b))
+
+
+def _links(ids_a, ids_b, i, j, n_a, n_b) -> np.ndarray:
+    """The linked ids of all groups, in their order."""
+    each = n_a * n_b
+    total = int(each.sum())
+    if total == len(each):  # one token of each
+        return ids_a[i[:-1]] << 32 | ids_b[j[:-1]]
+    group = np.repeat(np.arange(len(each)), each)
+    at = np.arange(total) - np.repeat(np.cumsum(each) - each, each)
+    return ids_a[i[group] + at // n_b[group]] << 32 | ids_b[j[group] + at % n_b[group]]
+
+
+class Memory:
+    """What a worker knows of units, ``HELD`` and ``HELD_LINKS`` at most; it forgets
+    all when it is full."""
 
     def __init__(self, a: str, b: str) -> None:
-        self.aligner, self.known = aligner(a, b), {}
-
-    def of(self, units: set[str] | dict) -> dict[str, tuple | None]:
-        known = self.known
-        new = [u for u in units if u not in known]
-        if len(known) + len(new) > HELD:
-            known.clear()
-            new = list(units)
-        found = {}
-        for lo in range(0, len(new), 4096):
-            part = new[lo : lo + 4096]
-            found.update(zip(part, map(_unit, self.aligner.groups(part)), strict=True))
-        have = {u: known[u] for u in units if u in known}
-        known.update((u, r) for u, r in found.items() if len(u) <= SHORT)
-        return have | found
+        self.aligner = aligner(a, b)
+        self.forget()
+
+    def forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.numbers = np.zeros((1024, 4), np.int64)
+        self.texts: list[str] = []
+        self.first = np.zeros(1025, np.int64)
+        self.links = np.zeros(4096, np.int64)
+
+    def know(self, units: list[str]) -> None:
+        """Learns those of the units, all different, that it does not know."""
+        new = [u for u in units if u not in self.place]
+        if self.place and (len(self.place) + len(new) > HELD or self.first[len(self.place)] > HELD_LINKS):
+            self.forget()
+            new = units
+        # white space at the end of a unit would meet the space of the next one
+        alone = [u for u in new if not u or _WHITE.match(u[-1])]
+        new = [u for u in new if u and not _WHITE.match(u[-1])] if alone else new
+        for lo in range(0, len(new), 1 << 14):
+            self._add(new[lo : lo + (1 << 14)])
+        for u in alone:
+            self._add([u])
+
+    def _add(self, units: list[str]) -> None:
+        found, k = learn(self.aligner, units), len(self.place)
+        n, begin = k + len(units), int(self.first[k])
+        end = begin + len(found.links)
+        self.numbers = _room(self.numbers, n)
+        self.first = _room(self.first, n + 1)
+        self.links = _room(self.links, end)
+        self.numbers[k:n], self.first[k + 1 : n + 1], self.links[begin:end] = found.numbers, begin + found.first[1:], found.links
+        self.texts += found.texts
+        self.place.update(zip(units, range(k, n), strict=True))
+
+
+def _room(x: np.ndarray, n: int) -> np.ndarray:
+    """``x`` with room for ``n`` rows."""
+    return x if len(x) >= n else np.concatenate([x, np.zeros((max(n, 2 * len(x)) - len(x), *x.shape[1:]), x.dtype)])
+
+
+@functools.lru_cache(maxsize=2)
+def memory(a: str, b: str) -> Memory:
+    """The memory of a worker, for all of its tasks."""
+    return Memory(a, b)
 
 
 def _aligned(a: str, b: str):
     names = ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"]
     nothing = (0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64))
 
-    def document(text: str | None, memory: _Units) -> tuple:
-        if not text:
+    def document(units: list[str], known: Memory) -> tuple:
+        if not units:
             return nothing
-        units = memory.aligner.units(text)
-        uses = Counter(units)
-        of = memory.of(uses)
-        if None in of.values():
+        at = np.fromiter(map(known.place.__getitem__, units), np.int64, len(units))
+        numbers = known.numbers[at]
+        if numbers[:, 0].min() < 0:
             return nothing
-        rows = [of[u] for u in uses]
-        times = list(uses.values())
-        totals = [sum([r[c] * n for r, n in zip(rows, times, strict=True)]) for c in range(4)]
-        sha = hashlib.sha256(";".join([of[u][4] for u in units]).encode()).hexdigest()
-        keys = np.frombuffer(b"".join([r[5] for r in rows]), np.int64)
-        each = np.frombuffer(b"".join([r[6] for r in rows]), np.int64) * np.repeat(times, [len(r[5]) >> 3 for r in rows])
-        order = np.argsort(keys, kind="stable")
-        keys = keys[order]
-        head = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        return *totals, sha, keys[head], np.add.reduceat(each[order], head)
-
-    def pack(ids: list, docs: list, rows: list[tuple]) -> pa.RecordBatch:
-        cols = [pa.array(c, pa.int64()) for c in (ids, docs, *([r[k] for r in rows] for k in range(4)))]
+        sha = hashlib.sha256(";".join(map(known.texts.__getitem__, at.tolist())).encode()).hexdigest()
+        first, n = known.first[at], numbers[:, 3]
+        links = known.links[np.arange(int(n.sum())) + np.repeat(first - (np.cumsum(n) - n), n)]
+        pairs, times = np.unique(links, return_counts=True)
+        return *numbers.sum(axis=0).tolist(), sha, pairs, times
+
+    def pack(ids: pa.Array, docs: pa.Array, rows: list[tuple]) -> pa.RecordBatch:
+        cols = [ids, docs, *(pa.array([r[k] for r in rows], pa.int64()) for k in range(4))]
         offsets = pa.array(np.cumsum([0, *(len(r[5]) for r in rows)]), pa.int32())
         lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([r[k] for r in rows]))) for k in (5, 6)]
         return pa.RecordBatch.from_arrays([*cols, pa.array([r[4] for r in rows], pa.string()), *lists], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _Units(a, b)
+        known = memory(a, b)
         for batch in batches:
-            ids, docs, rows, size = [], [], [], 0
-            for i, d, text in zip(batch["row"], batch["doc_id"], batch["text"], strict=True):
-                ids.append(i.as_py())
-                docs.append(d.as_py())
-                rows.append(document(text.as_py(), memory))
-                size += len(rows[-1][5])
-                if size > 1 << 18:
-                    yield pack(ids, docs, rows)
-                    ids, docs, rows, size = [], [], [], 0
-            if rows:
-                yield pack(ids, docs, rows)
+            lo = 0
+            while lo < batch.num_rows:
+                hi, size, split = lo, 0, []
+                while hi < batch.num_rows and size < CHUNK:
+                    text = batch["text"][hi].as_py()
+                    split.append(known.aligner.units(text) if text else [])
+                    size += len(text or "")
+                    hi += 1
+                known.know(list(dict.fromkeys(itertools.chain.from_iterable(split))))
+                rows = [document(units, known) for units in split]
+                yield pack(batch["row"][lo:hi], batch["doc_id"][lo:hi], rows)
+                lo = hi
 
     return run
 
