@@ -160,12 +160,12 @@ def market_week_ends(bars: DataFrame, as_of=None) -> DataFrame:
 
 # ----------------------------------------------------------------------- E2 / E1
 def weekly_volume(bars: DataFrame, as_of=None) -> DataFrame:
-    """Per (symbol, week): last traded date and summed quantity."""
+    """Per (symbol, week): last traded date and summed quantity.  Combined map-side,
+    so the bars without symbol, or of a much traded one, are a row a week and task."""
     return (
-        weekly_rows(bars, as_of)
-        .withColumn("_first", _first_of_week())
-        .filter(F.col("_first"))
-        .select("symbol", "week_start", F.col("_week_end").alias("week_end_date"), F.col("_week_sum").alias("weekly_sum"))
+        through_week(bars, as_of)
+        .groupBy("symbol", week_start("_file_date").alias("week_start"))
+        .agg(F.max("_file_date").alias("week_end_date"), F.sum("TTL_TRD_QNTY").alias("weekly_sum"))
     )
 
 
@@ -202,11 +202,12 @@ def surge_stats(bars: DataFrame, as_of=None, factor=3, weeks: int = 26) -> DataF
 
 def volume_surge_check(bars: DataFrame, as_of=None, factor=3, weeks: int = 26) -> DataFrame:
     """Weekly volume against ``factor`` x its mean over the prior ``weeks``
-    traded weeks, for the rows whose week ends on the anchor date.  A symbol
-    that did not trade on the anchor date is absent."""
+    traded weeks, for the rows whose week ends on the anchor date, the last date of
+    all bars, with or without symbol.  A symbol that did not trade on the anchor
+    date is absent."""
     return (
         surge_stats(bars, as_of, factor, weeks)
-        .filter(F.col("_file_date") == anchor_date(named(bars), as_of))
+        .filter(F.col("_file_date") == anchor_date(bars, as_of))
         .drop("week_start")
     )
 

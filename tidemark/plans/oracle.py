@@ -15,7 +15,8 @@ NO = "'❌ NO'"
 
 # ----------------------------------------------------------------- fixtures
 X1 = """
-SELECT 'S' || lpad(CAST(l_suppkey AS VARCHAR), 6, '0') AS symbol,
+SELECT CASE WHEN CAST(l_shipdate AS DATE) = DATE '2001-11-04' OR (l_suppkey % 10 = 8 AND day(CAST(l_shipdate AS DATE)) = 1) THEN NULL
+            ELSE 'S' || lpad(CAST(l_suppkey AS VARCHAR), 6, '0') END AS symbol,
        MIN(CAST(l_extendedprice AS DECIMAL(12,2))) AS open_price,
        MAX(CAST(l_extendedprice AS DECIMAL(12,2))) AS high_price,
        MIN(CAST(l_extendedprice AS DECIMAL(12,2))) AS low_price,
@@ -117,7 +118,7 @@ HEADER = ", ".join(BHAVCOPY_COLUMNS)
 
 X2 = f"""
 SELECT x1.*,
-       'S' || lpad(CAST(_key AS VARCHAR), 6, '0') || {_SUFFIX} AS x2_symbol,
+       symbol || {_SUFFIX} AS x2_symbol,
        CASE WHEN _key % 10 = 9 THEN 'BE' ELSE 'EQ' END AS x2_series,
        'sec_bhavdata_full_b' || CAST(_key // 1000 AS VARCHAR) || '_'
          || strftime(_file_date, '%d%m%Y') || '.csv' AS filename
@@ -125,7 +126,7 @@ FROM x1
 """
 
 X2_FIELDS = """
-SELECT ' ' || CASE WHEN _key % 4 = 1 THEN lower(x2_symbol) ELSE x2_symbol END || ' ' AS SYMBOL,
+SELECT CASE WHEN _key % 4 = 1 THEN ' ' || lower(x2_symbol) || ' ' ELSE ' ' || x2_symbol || ' ' END AS SYMBOL,
        ' ' || x2_series AS SERIES,
        ' ' || strftime(_file_date, '%d-%b-%Y') AS DATE1,
        ' ' || CAST(close_price AS VARCHAR) AS PREV_CLOSE,
@@ -136,7 +137,7 @@ SELECT ' ' || CASE WHEN _key % 4 = 1 THEN lower(x2_symbol) ELSE x2_symbol END ||
        ' ' || CAST(close_price AS VARCHAR) AS CLOSE_PRICE,
        ' ' || CAST(close_price AS VARCHAR) AS AVG_PRICE,
        ' ' || CAST(TTL_TRD_QNTY AS VARCHAR) AS TTL_TRD_QNTY,
-       ' -' AS TURNOVER_LACS,
+       CASE WHEN _key % 10 = 4 THEN CAST(TTL_TRD_QNTY AS VARCHAR) || ',' || chr(10) || 'x"y' ELSE ' -' END AS TURNOVER_LACS,
        ' ' || CAST(TTL_TRD_QNTY AS VARCHAR) AS NO_OF_TRADES,
        ' ' || CASE WHEN DELIV_QTY = 0 THEN '' ELSE CAST(DELIV_QTY AS VARCHAR) END AS DELIV_QTY,
        CASE WHEN DELIV_QTY = 0 THEN NULL ELSE CAST(DELIV_QTY * 100 // TTL_TRD_QNTY AS VARCHAR) END AS DELIV_PER,
@@ -148,9 +149,9 @@ FROM x2
 
 X2_LINE = """
 SELECT filename, _file_date,
-       SYMBOL || ',' || SERIES || ',' || DATE1 || ',' || PREV_CLOSE || ',' || OPEN_PRICE || ',' || HIGH_PRICE || ','
+       COALESCE(SYMBOL, 'NA') || ',' || SERIES || ',' || DATE1 || ',' || PREV_CLOSE || ',' || OPEN_PRICE || ',' || HIGH_PRICE || ','
        || LOW_PRICE || ',' || LAST_PRICE || ',' || CLOSE_PRICE || ',' || AVG_PRICE || ',' || TTL_TRD_QNTY || ','
-       || TURNOVER_LACS || ',' || NO_OF_TRADES || ',' || DELIV_QTY || ',' || COALESCE(DELIV_PER, 'NA') AS line
+       || CASE WHEN _key % 10 = 4 THEN '"' || replace(TURNOVER_LACS, '"', '""') || '"' ELSE TURNOVER_LACS END || ',' || NO_OF_TRADES || ',' || DELIV_QTY || ',' || COALESCE(DELIV_PER, 'NA') AS line
 FROM (SELECT *, _source_file AS filename FROM x2f)
 """
 
@@ -159,7 +160,7 @@ SELECT filename, '{HEADER}' || chr(10) || string_agg(line, chr(10) ORDER BY line
 FROM x2line GROUP BY filename
 """
 
-KEEP = f"x2_series = 'EQ' AND NOT regexp_matches(x2_symbol, '{EXCLUDE_REGEX}')"
+KEEP = f"x2_series = 'EQ' AND NOT regexp_matches(COALESCE(x2_symbol, ''), '{EXCLUDE_REGEX}')"
 
 
 def x2_ctes() -> str:
@@ -266,7 +267,8 @@ WHERE strikes < 2 AND filename NOT IN (SELECT filename FROM landed)"""
 
 ATTEMPTS = """
 SELECT 'f' || CAST(user_id AS VARCHAR) AS feed, 'f' || CAST(user_id AS VARCHAR) AS filename, ts, event_id AS seq,
-       CASE event_type WHEN 'error' THEN 404 WHEN 'purchase' THEN 200 END AS status
+       CASE event_type WHEN 'error' THEN 404 WHEN 'purchase' THEN 200
+            WHEN 'signup' THEN CASE event_id % 4 WHEN 0 THEN 500 WHEN 1 THEN -1 WHEN 2 THEN 0 END END AS status
 FROM events
 """
 
@@ -280,6 +282,17 @@ WHERE a.status = 404 AND NOT EXISTS (
 )
 GROUP BY a.filename"""
 
+# Strikes of an earlier run stay unless the log has a 200; new ones add up.
+STRIKE_COUNTS_CARRIED = f"""
+WITH att AS ({ATTEMPTS}),
+fresh AS ({STRIKE_COUNTS.replace(f"WITH att AS ({ATTEMPTS})", "")}),
+kept AS (
+    SELECT 'f' || CAST(c_custkey AS VARCHAR) AS filename, CAST(c_custkey % 3 AS INTEGER) AS strikes FROM customer
+    WHERE 'f' || CAST(c_custkey AS VARCHAR) NOT IN (SELECT filename FROM att WHERE status = 200)
+)
+SELECT filename, CAST(SUM(strikes) AS INTEGER) AS strikes FROM (FROM fresh UNION ALL FROM kept)
+GROUP BY filename HAVING SUM(strikes) > 0"""
+
 
 def fetch_window_sql(limit: int = 5) -> str:
     return f"""

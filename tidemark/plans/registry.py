@@ -72,6 +72,16 @@ def q_volume_surge_check(spark, sf):
     return silver.volume_surge_check(X.bars(spark, sf), LATEST)
 
 
+@register(
+    "volume_surge_check_as_of",
+    f"WITH {O.bars_cte()}, {O.silver_ctes('bars', SIGNAL_AS_OF)}\n"
+    "SELECT symbol, _file_date, TTL_TRD_QNTY, avg_vol_180d, IS_3X_SURGE FROM surges "
+    "WHERE _file_date = (SELECT MAX(week_end_date) FROM week_volume)",
+)
+def q_volume_surge_check_as_of(spark, sf):
+    return silver.volume_surge_check(X.bars(spark, sf), SIGNAL_AS_OF)
+
+
 @register(
     "price_breakout_check",
     f"WITH {O.bars_cte()}, {O.silver_ctes('bars', LATEST)}\n"
@@ -246,6 +256,11 @@ def q_strike_counts(spark, sf):
     return files.strike_counts(X.fetch_attempts(spark, sf))
 
 
+@register("strike_counts_carried", O.STRIKE_COUNTS_CARRIED)
+def q_strike_counts_carried(spark, sf):
+    return files.strike_counts(X.fetch_attempts(spark, sf), X.carried_strikes(spark, sf))
+
+
 @register("fetch_window", O.fetch_window_sql())
 def q_fetch_window(spark, sf):
     return files.fetch_window(X.fetch_attempts(spark, sf))

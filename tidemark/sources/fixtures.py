@@ -23,6 +23,8 @@ from tidemark.sources.bhavcopy import BHAVCOPY_COLUMNS
 # three are dropped by the stock filter; the fourth must survive because the
 # exclusion patterns are anchored at the end.
 X2_SUFFIX = {0: "BEES", 1: "ETF", 2: "SDLX", 3: "BEESX"}
+# Latest ship date at every scale.
+LAST_DATE = "2001-11-04"
 # Suppliers per raw file: bounds one file (one row, one string) whatever the
 # scale.  All blocks of a day are named ``sec_bhavdata_full_b<k>_<ddMMyyyy>.csv``
 # (the date is the part after the last underscore).
@@ -52,10 +54,17 @@ def _symbol(key) -> "F.Column":
     return F.concat(F.lit("S"), F.lpad(F.col(key).cast("string"), 6, "0"))
 
 
+def _no_symbol() -> "F.Column":
+    """Bars without symbol: all of the last ship date, and those of every tenth
+    supplier on the first of a month."""
+    scattered = (F.col("l_suppkey") % 10 == 8) & (F.dayofmonth("_file_date") == 1)
+    return (F.col("_file_date") == F.lit(LAST_DATE).cast("date")) | scattered
+
+
 def bars_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """X1: silver bars, one per (supplier, ship date)."""
     return _bars_keyed(lineitem).select(
-        _symbol("l_suppkey").alias("symbol"),
+        F.when(~_no_symbol(), _symbol("l_suppkey")).alias("symbol"),
         "open_price",
         "high_price",
         "low_price",
@@ -94,22 +103,19 @@ def bhavcopy_lines(lineitem: DataFrame) -> DataFrame:
     deliv_pct = F.when(F.col("DELIV_QTY") == 0, F.lit("NA")).otherwise(
         F.expr("DELIV_QTY * 100 div TTL_TRD_QNTY").cast("string")
     )
+    # a quoted field with a comma, a line end and a quote for every tenth supplier
+    quoted = F.concat(F.lit('"'), s("TTL_TRD_QNTY"), F.lit(',\nx""y"'))
+    spaced = lambda c: F.concat(F.lit(" "), c)
     padded = F.concat_ws(
-        ", ",
-        F.concat(F.lit(" "), sym_text, F.lit(" ")),
-        series,
-        F.date_format("_file_date", "dd-MMM-yyyy"),
-        s("close_price"),
-        s("open_price"),
-        s("high_price"),
-        s("low_price"),
-        s("close_price"),
-        s("close_price"),
-        s("close_price"),
-        s("TTL_TRD_QNTY"),
-        F.lit("-"),
-        s("TTL_TRD_QNTY"),
-        deliv,
+        ",",
+        F.when(_no_symbol(), F.lit("NA")).otherwise(F.concat(F.lit(" "), sym_text, F.lit(" "))),
+        spaced(series),
+        spaced(F.date_format("_file_date", "dd-MMM-yyyy")),
+        *[spaced(s(c)) for c in ("close_price", "open_price", "high_price", "low_price", "close_price", "close_price", "close_price")],
+        spaced(s("TTL_TRD_QNTY")),
+        F.when(F.col("l_suppkey") % 10 == 4, quoted).otherwise(F.lit(" -")),
+        spaced(s("TTL_TRD_QNTY")),
+        spaced(deliv),
     )
     # The last field is written without padding so that 'NA' is read as NULL.
     block = F.floor(F.col("l_suppkey") / FILE_BLOCK)
@@ -157,12 +163,15 @@ def strike_table(calendar: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------------------- X4
 def fetch_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """X4: one attempt per event; error -> 404, purchase -> 200, others are
-    not attempted (NULL status)."""
+    """X4: one attempt per event; error -> 404, purchase -> 200; of the signups a
+    quarter each is a failed request (500), one that raised (-1) and a file found
+    landed (0); the others are not attempted (NULL status)."""
     ev = table(spark, sf_dir, "events")
+    signup = F.when(F.col("event_id") % 4 == 0, F.lit(500)).when(F.col("event_id") % 4 == 1, F.lit(-1)).when(F.col("event_id") % 4 == 2, F.lit(0))
     status = (
         F.when(F.col("event_type") == "error", F.lit(404))
         .when(F.col("event_type") == "purchase", F.lit(200))
+        .when(F.col("event_type") == "signup", signup)
         .otherwise(F.lit(None).cast("int"))
     )
     feed = F.concat(F.lit("f"), F.col("user_id").cast("string"))
@@ -171,6 +180,12 @@ def fetch_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def carried_strikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X4: strikes of an earlier run, ``custkey % 3`` for the feed of each customer's key."""
+    key = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(F.concat(F.lit("f"), key.cast("string")).alias("filename"), (key % 3).cast("int").alias("strikes"))
+
+
 # ----------------------------------------------------------------------- X5
 def watchlist_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X5: change log; error -> delete, anything else -> upsert."""
@@ -190,13 +205,15 @@ def watchlist_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ----------------------------------------------------------------------- X6
 WIDGET_NAME = "WL Volume % gain"
+# A later widget whose name matches as well, with fields of other types: not read.
+CLASHING_WIDGET = '{"name":"old WL Volume % gain","values":[{"event_id":"x","user_id":[1],"value":"n/a","other":{"a":1}}]}'
 PAYLOAD_CHUNK = 1000  # event ids per payload: bounds the size of one document
 
 
 def widget_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X6: JSON payloads ``{data: [{name, values: [...]}, ...]}``, one per day
     and block of event ids, one widget per event type; the purchase widget
-    carries the watched name."""
+    carries the watched name, and so does a later one with other field types."""
     ev = table(spark, sf_dir, "events")
     keyed = ev.select(
         F.col("ts").cast("date").alias("day"),
@@ -208,9 +225,7 @@ def widget_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Screener: "), F.col("event_type"))
     )
     widgets = keyed.groupBy("day", "chunk", "event_type").agg(F.array_sort(F.collect_list("v")).alias("values"))
-    return (
-        widgets.select("day", "chunk", F.struct(name.alias("name"), "values").alias("w"))
-        .groupBy("day", "chunk")
-        .agg(F.array_sort(F.collect_list("w")).alias("data"))
-        .select("day", "chunk", F.to_json(F.struct("data")).alias("payload"))
-    )
+    watched = F.col("event_type") == "purchase"
+    each = widgets.select("day", "chunk", watched.alias("watched"), F.to_json(F.struct(name.alias("name"), "values")).alias("w"))
+    data = F.concat_ws(",", F.array_sort(F.collect_list("w")), F.when(F.max("watched"), F.lit(CLASHING_WIDGET)))
+    return each.groupBy("day", "chunk").agg(F.concat(F.lit('{"data":['), data, F.lit("]}")).alias("payload"))
