@@ -84,16 +84,21 @@ _TEXT_COLUMNS = {
 }
 
 
-def clean_bars_losses(bronze: DataFrame) -> DataFrame:
-    """What ``lenient=True`` turns into NULL: per column, the number of
-    non-blank texts that do not convert (one aggregation, combined map-side)."""
-    kept = bronze.filter((F.trim(F.col("SERIES")) == "EQ") & F.col("_file_date").isNotNull())
-    aggs = []
-    for out, src in _TEXT_COLUMNS.items():
-        conv = _price(src, True) if out.endswith("price") else _quantity(src, True)
+def loss_counts() -> list[Column]:
+    """Per column, the number of non-blank texts that ``lenient=True`` turns into NULL,
+    as aggregates over bronze rows (for ``agg`` or ``observe``)."""
+    kept = (F.trim(F.col("SERIES")) == "EQ") & F.col("_file_date").isNotNull()
+    out = []
+    for name, src in _TEXT_COLUMNS.items():
+        conv = _price(src, True) if name.endswith("price") else _quantity(src, True)
         lost = F.nullif(F.trim(F.col(src)), F.lit("")).isNotNull() & conv.isNull()
-        aggs.append(F.count(F.when(lost, F.lit(1))).alias(out))
-    return kept.agg(*aggs)
+        out.append(F.count(F.when(kept & lost, F.lit(1))).alias(name))
+    return out
+
+
+def clean_bars_losses(bronze: DataFrame) -> DataFrame:
+    """``loss_counts`` of a bronze table (one aggregation, combined map-side)."""
+    return bronze.agg(*loss_counts())
 
 
 # ------------------------------------------------------------------ shared steps

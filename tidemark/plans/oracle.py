@@ -179,6 +179,22 @@ SELECT x2_symbol AS symbol, open_price, high_price, low_price, close_price, TTL_
 FROM x2 WHERE {KEEP}
 """
 
+def file_errors_sql() -> str:
+    """What becomes of each X2 file if those of the first days of a month are broken."""
+    return f"""
+WITH {x2_ctes()},
+f AS (SELECT filename, day(any_value(_file_date)) AS d, count(*) FILTER ({KEEP}) AS kept FROM x2 GROUP BY filename),
+e AS (
+    SELECT CASE WHEN d = 5 THEN 'undated ' || filename || '.old' ELSE filename END AS filename,
+           CASE d WHEN 1 THEN 'header does not have 15 columns' WHEN 2 THEN 'line with more than 15 fields'
+                  WHEN 3 THEN 'empty file' WHEN 4 THEN 'no content' WHEN 5 THEN 'no ddMMyyyy date in file name' END AS error,
+           CASE WHEN d <= 6 THEN 0 ELSE kept END AS rows_kept
+    FROM f
+)
+SELECT filename, CASE WHEN error IS NOT NULL THEN 'bad' WHEN rows_kept = 0 THEN 'empty' ELSE 'loaded' END AS status, error, rows_kept
+FROM e"""
+
+
 # Files a previous run already processed: those dated before this day.
 PREVIOUS_RUN = "1998-07-01"
 DONE_BEFORE = f"_file_date < DATE '{PREVIOUS_RUN}'"

@@ -15,9 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import file_date_from_name, previous_business_day
-from tidemark.operators import files, gold, serve, silver, watchlist
+from tidemark.operators import files, gold, serve, silver, watchlist, weekly_state
 from tidemark.plans import oracle as O
 from tidemark.plans import pipeline
+from tidemark.plans.lake import Lake
 from tidemark.session import scratch_dir
 from tidemark.sources import bhavcopy, landing, widgets
 from tidemark.sources import fixtures as X
@@ -297,7 +298,39 @@ def q_widget_rows(spark, sf):
 )
 def q_run_pipeline(spark, sf):
     result = pipeline.run_pipeline(spark, _landing_dir(spark, sf), scratch_dir(spark, "lake"), PIPELINE_AS_OF)
-    return result.table(spark, "historical_signals")
+    return pipeline.signals_table(spark, result)
+
+
+def _closes_sql() -> str:
+    return (
+        f"WITH {O.bars_cte()}, {O.silver_ctes('bars', LATEST)}\n"
+        'SELECT symbol, b._file_date, close_price, prev_180d_friday_high, "50w_Moving_avg", week_sum, mean_before, delivered FROM breakouts b\n'
+        "JOIN (SELECT symbol, _file_date, TTL_TRD_QNTY AS week_sum, mean_before FROM volume_means) USING (symbol, _file_date)\n"
+        "JOIN (SELECT symbol, MAX(_file_date) AS _file_date, CAST(SUM(DELIV_QTY) AS BIGINT) AS delivered FROM dated GROUP BY symbol, monday) USING (symbol, _file_date)"
+    )
+
+
+@register("weekly_state_two_runs", _closes_sql())
+def q_weekly_state_two_runs(spark, sf):
+    """The stored weeks and closes after two runs, the second of which brings bars of
+    all weeks, late ones included."""
+    change = Lake(spark, scratch_dir(spark, "state")).change()
+    bars, odd = X.bars(spark, sf), F.dayofmonth("_file_date") % 2 == 1
+    weekly = closes = None
+    for run in (bars.filter(odd), bars.filter(~odd)):
+        new = weekly_state.update(run, weekly, closes)
+        weekly = change.refresh_years("weekly", new.weekly, "year", new.years)
+        closes = change.refresh_years("closes", new.closes, "year", new.years)
+    change.commit()
+    weeks = weekly.select("symbol", "week_start", F.col("weekly_sum").alias("week_sum"), "mean_before", "delivered")
+    return closes.join(weeks, ["symbol", "week_start"]).drop("week_start")
+
+
+@register("file_errors", O.file_errors_sql())
+def q_file_errors(spark, sf):
+    """What became of each raw file, broken ones included."""
+    raw = X.raw_files_some_broken(spark, sf)
+    return pipeline.file_status(raw, bhavcopy.bronze_rows(raw))
 
 
 @register(

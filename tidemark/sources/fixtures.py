@@ -142,6 +142,23 @@ def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_files_some_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X2 with broken files: by the day of the month the first lines lose a column
+    (1), a line has a field too many (2), the file is empty (3) or has no content (4);
+    files of the 5th have a name without date, and those of the 6th no stocks."""
+    raw = raw_files(spark, sf_dir)
+    day = F.substring(F.regexp_extract("filename", r"([0-9]{8})", 1), 1, 2).cast("int")
+    content = (
+        F.when(day == 1, F.regexp_replace("content", r"\A[^,]*,", ""))
+        .when(day == 2, F.concat(F.col("content"), F.lit(",".join(["9"] * 16) + "\n")))
+        .when(day == 3, F.lit(" \n"))
+        .when(day == 4, F.lit(None).cast("string"))
+        .when(day == 6, F.regexp_replace("content", r"(?s)\A([^\n]*\n).*", "$1"))
+        .otherwise(F.col("content"))
+    )
+    return raw.select(F.when(day == 5, F.concat(F.lit("undated "), F.col("filename"), F.lit(".old"))).otherwise(F.col("filename")).alias("filename"), content.alias("content"))
+
+
 # ----------------------------------------------------------------------- X3
 def landed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X3: file names already landed = dates of orders with status 'P'."""

@@ -5,12 +5,15 @@ or Hive-style folders ``filename=<name>/part-*`` as written by
 ``write_landing``; both read as one row per file (``wholetext``), named by
 the folder when present, else by the file.  Reading is file-parallel.
 
-The raw-file table has a key on ``filename``; Spark enforces none, so new
-rows are de-duplicated and anti-joined against the table before appending.
+The raw-file table has a key on ``filename``; Spark enforces none, so the
+listing of a landing directory is de-duplicated and anti-joined by name against the
+table before any file is opened.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,16 +42,39 @@ def read_landing(spark: SparkSession, landing_dir: str, modified_after: str | No
     )
 
 
-def new_raw_files(candidates: DataFrame, existing: DataFrame | None, loaded_at: Column | None = None) -> DataFrame:
-    """Rows to append under the key on ``filename``: one per name, and only
-    names not in ``existing``."""
-    new = candidates.dropDuplicates(["filename"])
+def list_landing(spark: SparkSession, landing_dir: str, modified_after: str | None = None) -> DataFrame:
+    """``(path, filename, modified, bytes)`` of the files in ``landing_dir``; what is in
+    them is not read, as the content column of this source is pruned."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after)
+    return reader.load(landing_dir).select(
+        "path",
+        landed_name(F.col("_metadata.file_path"), F.col("_metadata.file_name")).alias("filename"),
+        F.col("modificationTime").alias("modified"),
+        F.col("length").alias("bytes"),
+    )
+
+
+def new_listing(listing: DataFrame, existing: DataFrame | None) -> DataFrame:
+    """The listed files to land under the key on ``filename``: one for each name that
+    is not in ``existing``.  Names alone are compared."""
+    new = listing.groupBy("filename").agg(F.min("path").alias("path"))
     if existing is not None:
         new = new.join(existing.select("filename").distinct(), "filename", "left_anti")
-    return new.select(
-        "filename",
-        "content",
-        (loaded_at if loaded_at is not None else F.current_timestamp()).alias("loaded_at"),
+    return new
+
+
+def read_files(spark: SparkSession, landing_dir: str, paths: list[str]) -> DataFrame:
+    """``(filename, content)`` of some files of a landing directory."""
+    if not paths:
+        return spark.createDataFrame([], "filename string, content string")
+    # names are no patterns
+    plain = [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths]
+    df = spark.read.text(plain, wholetext=True)
+    return df.select(
+        landed_name(F.col("_metadata.file_path"), F.col("_metadata.file_name")).alias("filename"),
+        F.col("value").alias("content"),
     )
 
 
@@ -59,12 +85,13 @@ def land_files(
     loaded_at: Column | None = None,
     modified_after: str | None = None,
 ) -> DataFrame:
-    """New raw-file rows from a landing directory (not yet in ``existing``)."""
-    return new_raw_files(read_landing(spark, landing_dir, modified_after), existing, loaded_at)
-
+    """New raw-file rows from a landing directory (names not yet in ``existing``).
 
-def append_raw_files(rows: DataFrame, raw_path: str) -> None:
-    rows.select(*RAW_COLUMNS).write.mode("append").parquet(raw_path)
+    The directory is listed, the list is compared by name, and only files that are new
+    are opened.  The driver holds the new files' paths, as it does for any scan."""
+    new = new_listing(list_landing(spark, landing_dir, modified_after), existing)
+    rows = read_files(spark, landing_dir, [r.path for r in new.select("path").collect()])
+    return rows.select("filename", "content", (loaded_at if loaded_at is not None else F.current_timestamp()).alias("loaded_at"))
 
 
 def write_landing(raw: DataFrame, landing_dir: str) -> None:
