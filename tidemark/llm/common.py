@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import ensure_checkpoint_dir, scratch_dir
+from tidemark.sources.storage import delete
 
 #: Rows of two or three short columns that may be broadcast; larger sides take a shuffle join.
 BROADCAST_ROWS = 500_000
@@ -20,7 +21,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     back: its lineage is cut, and a lost executor costs no recomputation."""
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes ``stored`` tables from which everything wanted has been stored anew."""
+    for t in tables:
+        delete(t.sparkSession, t.stored_at)
 
 
 def free(name: str, df: DataFrame) -> str:
@@ -37,4 +46,4 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-__all__ = ["BROADCAST_ROWS", "ensure_checkpoint_dir", "free", "scratch_dir", "small", "stored", "table"]
+__all__ = ["BROADCAST_ROWS", "dropped", "ensure_checkpoint_dir", "free", "scratch_dir", "small", "stored", "table"]

@@ -14,11 +14,12 @@ a window covers which also starts at any other place of any text.
    position goes when its rank is its own alone, and is past the threshold when twice
    the links would leave the bytes that all windows of its anchor have.
 3. Contexts.  What is past the threshold shares a rank with others.  The bytes of all
-   windows of such an anchor are one string; these are sorted in the same way, by rank
-   and digest.  Windows of equal strings are repeated.
-4. Windows.  Where a rank has different strings, each of these gives its windows, one
-   string of equal ones, and the windows are sorted by digest (128 bits of all their
-   bytes): equal neighbours are repeated.
+   windows of such an anchor are one string; these are sorted in the same way, by digests
+   of the bytes that all windows of an anchor have and of the string.  Windows of equal
+   strings are repeated.
+4. Windows.  Where strings differ but share the bytes that all windows have, each gives
+   its windows, one string of equal ones, and the windows are sorted by digest (128 bits
+   of all their bytes): equal neighbours are repeated.
 
 A sort deals out rows by range of (key, row, place), so equal keys, however many, spread
 over tasks; ranks go on over a task's end by a table with one row for each task.
@@ -42,11 +43,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import dropped, stored
 from .phrases import least_at
 from .wordhash import _BYTE_VALUE, _prefix, mix
 
-WINDOW, GAP, GRAM = 400, 96, 16
+WINDOW, GAP, GRAM = 400, 124, 16
 #: Texts are cut into positions some at a time, of about so many bytes.
 CHUNK_BYTES = 1 << 18
 #: Fields of a place: position, doublings, bytes to the link, and bytes back to the first
@@ -148,11 +149,11 @@ def _ranks(keys: list[str], classes: int):
     first row of equal keys, ``several`` says that its class has other keys too (or
     may have, at a task's ends).  A last row describes the task."""
 
-    names = ["row", "place", "key", "start", "task", "single", "head", "several", "task_ends"]
+    names = ["row", "place", "start", "task", "single", "head", "several", "task_ends"]
 
-    def pack(task: int, row, place, key, start, single, head, several) -> pa.RecordBatch:
+    def pack(task: int, row, place, start, single, head, several) -> pa.RecordBatch:
         n = len(row)
-        cols = [pa.array(row), pa.array(place), pa.array(key), pa.array(start), pa.array(np.full(n, task, np.int32)), pa.array(single), pa.array(head), pa.array(several)]
+        cols = [pa.array(row), pa.array(place), pa.array(start), pa.array(np.full(n, task, np.int32)), pa.array(single), pa.array(head), pa.array(several)]
         return pa.RecordBatch.from_arrays([*cols, pa.nulls(n, pa.list_(pa.int64()))], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,36 +199,36 @@ def _ranks(keys: list[str], classes: int):
                 out = ~single | (idx[h] == 0) | (several if classes else False)
                 h, single, several = h[out], single[out], several[out]
                 if len(h):
-                    yield pack(task, row[h], place[h], k[0, h], starts[h], single, np.ones(len(h), bool), several)
+                    yield pack(task, row[h], place[h], starts[h], single, np.ones(len(h), bool), several)
                 t = heads[-1]
-                held = (row[t], place[t], k[0, t], starts[t])
+                held = (row[t], place[t], starts[t])
                 size = n - int(t)
             rest = np.flatnonzero(~new)
             if len(rest):
                 no = np.zeros(len(rest), bool)
-                yield pack(task, row[rest], place[rest], k[0, rest], starts[rest], no, no, no)
+                yield pack(task, row[rest], place[rest], starts[rest], no, no, no)
             start, class_start, key, base = int(starts[-1]), int(class_starts[-1]), k[:, -1], base + n
         if held is not None:
             if start == 0:
                 first_size = size
             yield pack(task, *([x] for x in held), [size == 1], [True], [True])
             ends = [base, first_size, start, size, *map(int, first_key), *map(int, key)]
-            nothing = [pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int64())]
+            nothing = [pa.nulls(1, pa.int64())] * 3
             flags = [pa.nulls(1, pa.bool_())] * 3
             yield pa.RecordBatch.from_arrays([*nothing, pa.array([task], pa.int32()), *flags, pa.array([ends], pa.list_(pa.int64()))], names=names)
 
     return run
 
 
-def ranked(rows: DataFrame, keys: list[str], name: str, classes: int = 0) -> DataFrame:
+def ranked(rows: DataFrame, keys: list[str], name: str, classes: int = 0) -> tuple[DataFrame, DataFrame]:
     """``rows`` of ``keys``, ``row`` and ``place`` sorted by all of these; those that
-    share their keys with another: ``(row, place, key, rank, single, head, several)``, with
-    the place in the order of the first of equal keys as their rank and ``key`` the first
-    key.  With ``classes`` also single rows that share their first ``classes`` keys (see
-    ``_ranks``)."""
+    share their keys with another: ``(row, place, rank, single, head, several)``, with the
+    place in the order of the first of equal keys as their rank; and the stored table
+    behind them.  With ``classes`` also single rows that share their first ``classes``
+    keys (see ``_ranks``)."""
     spark = rows.sparkSession
     order = [*keys, "row", "place"]
-    kind = "row long, place long, key long, start long, task int, single boolean, head boolean, several boolean, task_ends array<bigint>"
+    kind = "row long, place long, start long, task int, single boolean, head boolean, several boolean, task_ends array<bigint>"
     local = rows.select(order).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_ranks(keys, classes), kind)
     local = stored(local, name)
     # one row for each task of the sort
@@ -249,8 +250,8 @@ def ranked(rows: DataFrame, keys: list[str], name: str, classes: int = 0) -> Dat
     at_first, at_last = F.col("start") == 0, F.col("start") == F.col("last_start")
     rank = F.when(at_first, F.col("first")).when(at_last, F.col("last")).otherwise(F.col("offset") + F.col("start"))
     alone = F.when(at_first, F.col("first_alone")).when(at_last, F.col("last_alone")).otherwise(F.col("single"))
-    found = found.select("row", "place", "key", rank.alias("rank"), alone.alias("single"), "head", "several")
-    return found if classes else found.filter("not single")
+    found = found.select("row", "place", rank.alias("rank"), alone.alias("single"), "head", "several")
+    return found if classes else found.filter("not single"), local
 
 
 def _pairs(step: int):
@@ -292,43 +293,51 @@ def _pairs(step: int):
     return run
 
 
-def repeated_anchors(base: DataFrame, window: int = WINDOW, gap: int = GAP, gram: int = GRAM) -> DataFrame | None:
-    """``(row, place, class)`` of the anchors with windows whose links others have too;
-    anchors of one class have equal links.  None if there are none."""
+def repeated_anchors(base: DataFrame, window: int = WINDOW, gap: int = GAP, gram: int = GRAM) -> tuple[DataFrame, list[DataFrame]]:
+    """``(row, place)`` of the anchors with windows whose links others have too, and the
+    stored tables that hold them."""
     rows = stored(base.mapInArrow(_positions(window, gap, gram), "k1 long, row long, place long"), "positions")
-    keys, found, step = ["k1"], None, 0
+    keys, found, step, tables = ["k1"], None, 0, []
     while True:
-        alike = ranked(rows, keys, f"ranks-{step}")
+        alike, table = ranked(rows, keys, f"ranks-{step}")
+        if not step:
+            dropped(rows)
+        tables.append(table)
         past = alike.filter((_field(F.col("place"), "k") == step) & (_field(F.col("place"), "lo") != NO_WINDOW))
-        past = past.select("row", "place", F.shiftleft("rank", 4).bitwiseOR(F.lit(step)).alias("class"))
+        past = past.select("row", "place", F.lit(0).cast("long").alias("mark"))
         found = past if found is None else found.unionByName(past)
         more = alike.filter(_field(F.col("place"), "k") > step)
         if not more.limit(1).count():
-            return found
+            return found, tables
         # the positions that others lead to have as many doublings as this round
         own = alike.select("row", "place", "rank").repartition("row").sortWithinPartitions("row", "place")
         rows = own.mapInArrow(_pairs(step), "k1 long, k2 long, row long, place long")
         keys, step = ["k1", "k2"], step + 1
 
 
-def _two(digest: bytes) -> tuple[int, int]:
-    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
-
-
 def _span(place: int) -> tuple[int, int]:
     """The first and the last window of an anchor."""
     at = place >> FIELDS["at"]
     return at - (place >> FIELDS["lo"] & 127), at - (place & 127)
 
 
-def _digested(window: int, each: bool):
-    """Digests of the bytes of all windows of the anchors asked of a text, or of
-    ``each`` window by itself, whose place says whether its string is there once."""
+def _digested(window: int, gap: int, each: bool):
+    """Digests of the bytes of the anchors asked of a text: of those that all windows of
+    such an anchor have, and of all bytes of its windows; or of ``each`` window by itself,
+    whose place says whether its string is there once."""
     names = ["k1", "k2", "row", "place"] if each else ["class", "k1", "k2", "row", "place"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-        pack = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=names)
+        digests: list[bytes] = []
+        rows: list[tuple[int, int]] = []
+
+        def pack() -> pa.RecordBatch:
+            keys = np.frombuffer(b"".join(digests), np.int64).reshape(len(rows), -1).T
+            cols = [*keys, *np.array(rows, np.int64).T]
+            digests.clear()
+            rows.clear()
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in cols], names=names)
+
         for batch in batches:
             for row, text, asked in zip(batch["row"], batch["text"].cast(pa.large_binary()), batch["asked"], strict=True):
                 i, view = row.as_py(), memoryview(text.as_buffer())
@@ -336,14 +345,17 @@ def _digested(window: int, each: bool):
                 for place, mark in zip(places, marks, strict=True):
                     lo, hi = _span(place)
                     if each:
-                        out += [(*_two(hashlib.blake2b(view[p : p + window], digest_size=16).digest()), i, p << 1 | mark) for p in range(lo, hi + 1)]
+                        digests += [hashlib.blake2b(view[p : p + window], digest_size=16).digest() for p in range(lo, hi + 1)]
+                        rows += [(i, p << 1 | mark) for p in range(lo, hi + 1)]
                     else:
-                        out.append((mark, *_two(hashlib.blake2b(view[lo : hi + window], digest_size=16).digest()), i, place))
-                    if len(out) > 1 << 15:
-                        yield pack(out)
-                        out = []
-        if out:
-            yield pack(out)
+                        at = place >> FIELDS["at"]
+                        digests.append(hashlib.blake2b(view[at : at + window - gap + 1], digest_size=8).digest())
+                        digests.append(hashlib.blake2b(view[lo : hi + window], digest_size=16).digest())
+                        rows.append((i, place))
+                    if len(rows) > 1 << 15:
+                        yield pack()
+        if rows:
+            yield pack()
 
     return run
 
@@ -360,19 +372,25 @@ def numbered_texts(docs: DataFrame) -> DataFrame:
 
 
 def repeated_spans(base: DataFrame, window: int = WINDOW, gap: int = GAP, gram: int = GRAM) -> DataFrame:
-    """``(row, a, b)``: the bytes a to b - 1 of a row are covered by repeated windows."""
+    """``(row, spans)``: the bytes a to b - 1 of each span of a row are covered by repeated
+    windows."""
     if not gap + gram <= (window - gap + 1) or gap >= NO_WINDOW:
         raise ValueError("a window must hold the places of its anchor and of the next link")
-    anchors = repeated_anchors(base, window, gap, gram)
-    strings = _asked(base, anchors.withColumnRenamed("class", "mark")).mapInArrow(_digested(window, False), "class long, k1 long, k2 long, row long, place long")
-    alike = ranked(stored(strings, "contexts"), ["class", "k1", "k2"], "context-ranks", classes=1)
+    anchors, tables = repeated_anchors(base, window, gap, gram)
+    strings = stored(_asked(base, anchors).mapInArrow(_digested(window, gap, False), "class long, k1 long, k2 long, row long, place long"), "contexts")
+    dropped(*tables)
+    alike, table = ranked(strings, ["class", "k1", "k2"], "context-ranks", classes=1)
+    dropped(strings)
     at = _field(F.col("place"), "at")
     whole = alike.filter("not single").select("row", (at - _field(F.col("place"), "lo")).alias("a"), (at - _field(F.col("place"), "hi") + window).alias("b"))
     apart = alike.filter("several and (single or head)").select("row", "place", F.col("single").cast("long").alias("mark"))
-    windows = _asked(base, apart).mapInArrow(_digested(window, True), "k1 long, k2 long, row long, place long")
-    again = ranked(stored(windows, "windows"), ["k1", "k2"], "window-ranks")
+    windows = _asked(base, apart).mapInArrow(_digested(window, gap, True), "k1 long, k2 long, row long, place long")
+    again, more = ranked(windows, ["k1", "k2"], "window-ranks")
     p = F.shiftright("place", 1)
-    return whole.unionByName(again.filter(F.col("place").bitwiseAND(1) == 1).select("row", p.alias("a"), (p + window).alias("b")))
+    spans = whole.unionByName(again.filter(F.col("place").bitwiseAND(1) == 1).select("row", p.alias("a"), (p + window).alias("b")))
+    spans = stored(spans.groupBy("row").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "byte-spans")
+    dropped(table, more)
+    return spans
 
 
 def runs(spans: list[dict], n: int) -> list[tuple[int, int]]:
@@ -415,9 +433,8 @@ def _result(digest: bool):
 
 def _with_spans(docs: DataFrame, **options: int) -> DataFrame:
     base = numbered_texts(docs)
-    spans = stored(repeated_spans(base, **options).groupBy("row").agg(F.collect_list(F.struct("a", "b")).alias("_spans")), "byte-spans")
     # a merge join at every size: the spans grow with the texts
-    side = spans.withColumnRenamed("row", "_row").hint("merge")
+    side = repeated_spans(base, **options).select(F.col("row").alias("_row"), F.col("spans").alias("_spans")).hint("merge")
     return base.join(side, F.col("row") == F.col("_row"), "left").select("doc_id", "text", "_spans")
 
 
