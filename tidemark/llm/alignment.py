@@ -49,7 +49,7 @@ from .pieces import MODEL, SPACE
 
 BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 #: Units and links that a worker remembers.
-HELD, HELD_LINKS = 400_000, 1 << 23
+HELD, HELD_LINKS = 600_000, 1 << 23
 #: Characters of the texts that are aligned at a time (one long text may exceed it).
 CHUNK = 1 << 17
 #: Counts of pairs that may be broadcast.
