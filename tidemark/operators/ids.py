@@ -21,8 +21,7 @@ _LOW_BITS = (1 << 33) - 1
 def dense_positions(df: DataFrame, order_col: str, out: str = "_pos") -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = max(1, spark.sparkContext.defaultParallelism)
-    ranged = df.repartitionByRange(n, order_col).sortWithinPartitions(order_col).checkpoint(eager=True)
+    ranged = df.repartitionByRange(order_col).sortWithinPartitions(order_col).checkpoint(eager=True)
     mid = F.monotonically_increasing_id()
     tagged = ranged.select("*", F.shiftright(mid, 33).alias("_pid"), (mid.bitwiseAND(F.lit(_LOW_BITS))).alias("_idx"))
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

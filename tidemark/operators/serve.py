@@ -1,37 +1,25 @@
 """Serving views over the signal table: the history listing, one page of it,
 month counts, and JSON records.
 
-Paging takes one scalar (the filtered row count) to the driver to clamp the
-page number; the page itself is a top-k (``TakeOrderedAndProject``), never a
-full sort of the table into one task.
+Pages are read by position from a stored index (``PageIndex``).
 """
 
 from __future__ import annotations
 
-import math
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.gold import MULTIPLE_COLUMN
+from tidemark.operators.ids import dense_positions
 from tidemark.operators.silver import MA_COLUMN
 
 # Chart link prefix, page size, and the serving column names.
 CHART_URL = "https://in.tradingview.com/chart/?symbol="
 PAGE_SIZE = 10
 MA_LABEL = "50-week moving average"
-VIEW_COLUMNS = [
-    "_file_date",
-    "month_year",
-    "symbol",
-    "close_price",
-    MA_LABEL,
-    "prev_180d_friday_high",
-    MULTIPLE_COLUMN,
-    "IS_3X_SURGE",
-    "IS_PRICE_BREAKOUT",
-]
-
 
 def _display_order():
     return [F.col(MULTIPLE_COLUMN).desc_nulls_last(), F.col("symbol").asc(), F.col("_file_date").asc()]
@@ -58,41 +46,65 @@ def signal_history_view(signals: DataFrame, chart_url: str = CHART_URL) -> DataF
     ).orderBy(*_display_order())
 
 
-def _month_filter(view: DataFrame, month: str) -> DataFrame:
-    return view if month == "all" else view.filter(F.col("month_year") == month)
-
-
-def signals_page(view: DataFrame, month: str = "all", page: int = 1, page_size: int = PAGE_SIZE) -> DataFrame:
-    """One page of the (month-filtered) view; the page number is clamped to
-    1..total pages and there is always at least one page."""
-    rows = _month_filter(view, month)
-    n = rows.count()
-    total = max(1, math.ceil(n / page_size))
-    page = min(max(int(page), 1), total)
-    return (
-        rows.orderBy(*_display_order())
-        .offset((page - 1) * page_size)
-        .limit(page_size)
-        .withColumn("page", F.lit(page).cast("bigint"))
-        .withColumn("total_pages", F.lit(total).cast("bigint"))
-    )
+#: The month that stands for all rows.
+ALL = "all"
+
+
+@dataclass(frozen=True)
+class PageIndex:
+    """The view with the position of each row within its month and within all rows
+    (``rows``: month, pos and the view's columns, a folder for each month, in order), and
+    the number of rows of each month (``totals``)."""
+
+    rows: DataFrame
+    totals: DataFrame
+
+    @classmethod
+    def build(cls, view: DataFrame, path: str) -> PageIndex:
+        """Stores the index of ``view`` under ``path``.  Positions come from one sort
+        over ranges and one row for each month; no task holds a month."""
+        spark = view.sparkSession
+        order = F.struct(F.col(MULTIPLE_COLUMN).isNull().alias("n"), (-F.col(MULTIPLE_COLUMN)).alias("m"), "symbol", "_file_date")
+        whole = view.withColumn("month", F.lit(ALL))
+        rows = whole.unionByName(view.filter(F.col("month_year").isNotNull()).withColumn("month", F.col("month_year")))
+        placed = dense_positions(rows.withColumn("_order", F.struct("month", order.alias("o"))), "_order").drop("_order").checkpoint()
+        counts = placed.groupBy("month").agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("total"))
+        # one row for each month
+        numbered = placed.join(F.broadcast(counts.select("month", "_start")), "month").withColumn("pos", F.col("_pos") - F.col("_start") + 1).drop("_pos", "_start")
+        numbered.repartitionByRange("month", "pos").sortWithinPartitions("month", "pos").write.mode("overwrite").partitionBy("month").parquet(f"{path}/rows")
+        counts.select("month", "total").write.mode("overwrite").parquet(f"{path}/totals")
+        return cls.open(spark, path, numbered.schema)
+
+    @classmethod
+    def open(cls, spark: SparkSession, path: str, schema: T.StructType | None = None) -> PageIndex:
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        return cls(reader.parquet(f"{path}/rows"), spark.read.schema("month string, total bigint").parquet(f"{path}/totals"))
+
+    def page(self, month: str = ALL, page: int = 1, page_size: int = PAGE_SIZE) -> DataFrame:
+        """One page of a month: the rows at its positions.  The page number is clamped to
+        1..total pages, of which there is at least one; the total comes from the index,
+        and no row is counted or skipped."""
+        total = F.coalesce(self.totals.filter(F.col("month") == month).agg(F.max("total")).scalar(), F.lit(0))
+        pages = F.greatest(F.ceil(total / page_size), F.lit(1)).cast("bigint")
+        number = F.least(F.greatest(F.lit(int(page)).cast("bigint"), F.lit(1)), pages)
+        at = F.col("pos").between((number - 1) * page_size + 1, number * page_size)
+        rows = self.rows.filter((F.col("month") == month) & at).orderBy("pos")
+        return rows.drop("month", "pos").withColumns({"page": number, "total_pages": pages})
 
 
 def signal_month_counts(view: DataFrame, chronological: bool = False) -> DataFrame:
-    """Distinct symbols and rows per month plus an ``all`` row; months in
-    reverse text order of ``MM-yyyy`` (so 12-2025 precedes 01-2026), or
-    newest month first with ``chronological=True``."""
-    per_month = view.groupBy("month_year").agg(
-        F.countDistinct("symbol").alias("symbol_count"), F.count(F.lit(1)).alias("row_count")
-    )
-    overall = view.agg(
-        F.lit("all").alias("month_year"),
-        F.countDistinct("symbol").alias("symbol_count"),
-        F.count(F.lit(1)).alias("row_count"),
+    """Distinct symbols and rows per month plus an ``all`` row, in one pass over the
+    view (a rollup); months in reverse text order of ``MM-yyyy`` (so 12-2025 precedes
+    01-2026), or newest month first with ``chronological=True``."""
+    counts = view.rollup("month_year").agg(
+        F.countDistinct("symbol").alias("symbol_count"), F.count(F.lit(1)).alias("row_count"), F.grouping("month_year").alias("_all")
     )
     month_start = F.try_to_timestamp(F.concat(F.lit("01-"), F.col("month_year")), F.lit("dd-MM-yyyy"))
     key = month_start if chronological else F.col("month_year")
-    return per_month.unionByName(overall).orderBy((F.col("month_year") == "all").desc(), key.desc())
+    named = F.when(F.col("_all") == 1, F.lit(ALL)).otherwise(F.col("month_year"))
+    # an empty view has its row for all months as well
+    ordered = counts.withColumn("_key", key).select(named.alias("month_year"), "symbol_count", "row_count", "_all", "_key")
+    return ordered.orderBy(F.col("_all").desc(), F.col("_key").desc()).drop("_all", "_key")
 
 
 def signals_json(view: DataFrame) -> DataFrame:

@@ -12,8 +12,8 @@ otherwise it gets a new id ``max(id) + position`` in order of its first
 change after the delete, and ``is_notified = false``.  (The one-at-a-time
 reference can reuse the id of a deleted maximum row; a batch does not.)
 
-Everything is aggregation and joins keyed by symbol, so a symbol with a huge
-log is still combined map-side; new ids come from ``dense_positions``.
+Changes are combined map-side by (symbol, day) before any join, so a symbol with a
+huge log is a row a day; new ids come from ``dense_positions``.
 """
 
 from __future__ import annotations
@@ -44,29 +44,51 @@ def normalise_reminder(raw: Column) -> Column:
     return F.when(raw.isNull() | (raw == ""), F.lit(None).cast("timestamp_ntz")).otherwise(ts)
 
 
-def watchlist_apply(current: DataFrame, changes: DataFrame, order_cols=("ts", "seq")) -> DataFrame:
-    """The watchlist after applying a batch of changes."""
-    order = F.struct(*order_cols)
-    ch = changes.filter(F.col("symbol").isNotNull() & (F.col("symbol") != "")).withColumn("_o", order)
+def _folded(changes: DataFrame, order_cols) -> DataFrame:
+    """What a batch says of each symbol: its last delete (``_del``), and of the upserts
+    after it the last one's values, the last event id and the first one's order.
+
+    Changes fold to a row for each (symbol, day) map-side.  All but the first upsert
+    after the delete follows from these; for that the changes of the delete's day alone
+    are looked at again."""
+    never = F.lit("0001-01-01").cast("date")
+    day = lambda c: F.coalesce(F.to_date(c), never)
+    ch = changes.filter(F.col("symbol").isNotNull() & (F.col("symbol") != "")).withColumn("_o", F.struct(*order_cols)).withColumn("_day", day(F.col(order_cols[0])))
     is_del = F.col("op") == "delete"
-    last_del = ch.filter(is_del).groupBy("symbol").agg(F.max("_o").alias("_del"))
-    after = ch.filter(~is_del).join(last_del, "symbol", "left").filter(
-        F.col("_del").isNull() | (F.col("_o") > F.col("_del"))
-    )
-    folded = after.groupBy("symbol").agg(
-        F.max_by(F.struct("note", "file_name", "reminder_time"), F.col("_o")).alias("_last"),
-        F.max_by(F.col("event_id"), F.when(F.col("event_id").isNotNull(), F.col("_o"))).alias("_event"),
-        F.min("_o").alias("_first"),
+    values = F.struct("_o", "note", "file_name", "reminder_time")
+    days = ch.groupBy("symbol", "_day").agg(
+        F.max(F.when(is_del, F.col("_o"))).alias("_del"),
+        F.min(F.when(~is_del, F.col("_o"))).alias("_first"),
+        F.max(F.when(~is_del, values)).alias("_last"),
+        F.max(F.when(~is_del & F.col("event_id").isNotNull(), F.struct("_o", "event_id"))).alias("_event"),
     )
-    upserted = folded.select(
+    per = days.groupBy("symbol").agg(F.max("_del").alias("_del"), F.max("_last").alias("_last"), F.max("_event").alias("_event"))
+    after = lambda c: F.col("_del").isNull() | (F.col(c)["_o"] > F.col("_del"))
+    of_day = per.filter(F.col("_del").isNotNull()).select("symbol", "_del", day(F.col("_del")[order_cols[0]]).alias("_day"))
+    later = days.select("symbol", "_day", "_first").join(of_day.withColumnRenamed("_day", "_del_day"), "symbol", "left")
+    later = later.filter(F.col("_del_day").isNull() | (F.col("_day") > F.col("_del_day"))).select("symbol", "_first")
+    same = ch.filter(~is_del).join(of_day, ["symbol", "_day"]).filter(F.col("_o") > F.col("_del")).select("symbol", F.col("_o").alias("_first"))
+    first = later.unionByName(same).groupBy("symbol").agg(F.min("_first").alias("_first"))
+    last = F.when(after("_last"), F.col("_last"))
+    return per.join(first, "symbol", "left").select(
         "symbol",
-        F.col("_last.note").alias("note"),
-        F.col("_last.file_name").alias("file_name"),
-        normalise_reminder(F.col("_last.reminder_time")).alias("reminder_time"),
-        "_event",
+        F.col("_del").isNotNull().alias("_deleted"),
+        last.isNotNull().alias("_upserted"),
+        last["note"].alias("note"),
+        last["file_name"].alias("file_name"),
+        normalise_reminder(last["reminder_time"]).alias("reminder_time"),
+        F.when(after("_event"), F.col("_event.event_id")).alias("_event"),
         "_first",
     )
 
+
+def watchlist_apply(current: DataFrame, changes: DataFrame, order_cols=("ts", "seq")) -> DataFrame:
+    """The watchlist after applying a batch of changes; the first of ``order_cols`` is a
+    time.  ``current`` meets one row for each symbol of the batch."""
+    batch = _folded(changes, order_cols)
+    last_del = batch.filter("_deleted")
+    upserted = batch.filter("_upserted").drop("_deleted", "_upserted")
+
     kept = current.join(last_del.select("symbol"), "symbol", "left_anti")
     updated = kept.alias("c").join(upserted.alias("u"), "symbol", "left").select(
         F.col("c.id").alias("id"),

@@ -217,9 +217,9 @@ def view_with(src_ctes: str, as_of: str, factor=3) -> str:
     return history_with(src_ctes, as_of, factor) + f",\nv AS ({VIEW})"
 
 
-def page_sql(src_ctes: str, as_of: str, page: int, size: int = 10, month: str = "all") -> str:
+def page_sql(src_ctes: str, as_of: str, page: int, size: int = 10, month: str = "all", factor=3) -> str:
     where = "" if month == "all" else f" WHERE month_year = '{month}'"
-    return view_with(src_ctes, as_of) + f""",
+    return view_with(src_ctes, as_of, factor) + f""",
 f AS (SELECT * FROM v{where}),
 pages AS (SELECT CAST(GREATEST(CEIL(COUNT(*) / {size}.0), 1) AS BIGINT) AS total_pages FROM f),
 cur AS (SELECT LEAST(GREATEST({page}, 1), total_pages) AS page, total_pages FROM pages),
@@ -328,6 +328,14 @@ agg AS (SELECT feed, COUNT(CASE WHEN made THEN 1 END) AS rows_made,
 SELECT agg.feed, rows_made, reached_limit, stop_ts, stop_seq FROM agg LEFT JOIN stops USING (feed)"""
 
 
+def fetch_state_sql(limit: int = 5) -> str:
+    """What stays of each feed after the whole log: where it stopped, and its strikes."""
+    return f"""
+WITH win AS ({fetch_window_sql(limit)}), strikes AS ({STRIKE_COUNTS})
+SELECT feed, rows_made, reached_limit, stop_ts, stop_seq, COALESCE(strikes, 0) AS strikes
+FROM win LEFT JOIN strikes ON filename = feed"""
+
+
 # ---------------------------------------------------------------- watchlist
 CHANGES = """
 SELECT ts, event_id AS seq,
@@ -342,6 +350,12 @@ FROM events
 
 WATCHLIST_WITH = f"""
 WITH ch AS ({CHANGES}),
+cur AS (
+    SELECT c_custkey + 1 AS id, 'U' || CAST(c_custkey AS VARCHAR) AS symbol, c_mktsegment AS note, CAST(NULL AS VARCHAR) AS file_name,
+           CAST(NULL AS TIMESTAMP) AS reminder_time, c_custkey % 3 = 0 AS is_notified,
+           CASE WHEN c_custkey % 5 = 0 THEN 'e' || CAST(c_custkey AS VARCHAR) END AS event_id
+    FROM customer WHERE c_custkey % 2 = 0
+),
 o AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY ts, seq) AS pos FROM ch
       WHERE symbol IS NOT NULL AND symbol <> ''),
 ld AS (SELECT symbol, MAX(pos) AS del_pos FROM o WHERE op = 'delete' GROUP BY symbol),
@@ -356,16 +370,20 @@ fo AS (
            arg_min(seq, pos) AS first_seq
     FROM af GROUP BY symbol
 ),
-norm AS (SELECT *, replace(rt, 'T', ' ') AS rt1 FROM fo),
+norm AS (
+    SELECT *, CASE WHEN rt IS NULL OR rt = '' THEN NULL
+                   ELSE TRY_CAST(CASE WHEN length(replace(rt, 'T', ' ')) = 16 THEN replace(rt, 'T', ' ') || ':00' ELSE replace(rt, 'T', ' ') END AS TIMESTAMP)
+              END AS reminder
+    FROM fo
+),
+kept AS (SELECT * FROM cur WHERE symbol NOT IN (SELECT symbol FROM ld)),
 wl AS (
-    SELECT CAST(ROW_NUMBER() OVER (ORDER BY first_ts, first_seq) AS BIGINT) AS id,
-           symbol, note, file_name,
-           CASE WHEN rt IS NULL OR rt = '' THEN NULL
-                ELSE TRY_CAST(CASE WHEN length(rt1) = 16 THEN rt1 || ':00' ELSE rt1 END AS TIMESTAMP) END
-             AS reminder_time,
-           FALSE AS is_notified,
-           event_id
-    FROM norm
+    SELECT k.id, k.symbol, if(n.symbol IS NULL, k.note, n.note) AS note, if(n.symbol IS NULL, k.file_name, n.file_name) AS file_name,
+           if(n.symbol IS NULL, k.reminder_time, n.reminder) AS reminder_time, k.is_notified, COALESCE(n.event_id, k.event_id) AS event_id
+    FROM kept k LEFT JOIN norm n USING (symbol)
+    UNION ALL
+    SELECT (SELECT MAX(id) FROM cur) + ROW_NUMBER() OVER (ORDER BY first_ts, first_seq), symbol, note, file_name, reminder, FALSE, event_id
+    FROM norm WHERE symbol NOT IN (SELECT symbol FROM kept)
 )"""
 
 WATCHLIST_APPLY = WATCHLIST_WITH + "\nSELECT * FROM wl"
@@ -393,3 +411,9 @@ SELECT CAST(event_id AS DOUBLE) AS event_id, CAST(user_id AS DOUBLE) AS user_id,
        round_even(value * 10, 0) / 10 AS value
 FROM events WHERE event_type = 'purchase'
 """
+
+WIDGET_EXPORT = """
+SELECT CAST(ts AS DATE) AS day, CAST(event_id AS DOUBLE) AS event_id, CAST(user_id AS DOUBLE) AS user_id,
+       round_even(value * 10, 0) / 10 AS value
+FROM events WHERE event_type = 'purchase'
+"""

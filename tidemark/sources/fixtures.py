@@ -220,6 +220,20 @@ def watchlist_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X5: the watchlist that the changes meet, a row for every second customer's key."""
+    key = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").filter(key % 2 == 0).select(
+        (key + 1).alias("id"),
+        F.concat(F.lit("U"), key.cast("string")).alias("symbol"),
+        F.col("c_mktsegment").alias("note"),
+        F.lit(None).cast("string").alias("file_name"),
+        F.lit(None).cast("timestamp_ntz").alias("reminder_time"),
+        (key % 3 == 0).alias("is_notified"),
+        F.when(key % 5 == 0, F.concat(F.lit("e"), key.cast("string"))).alias("event_id"),
+    )
+
+
 # ----------------------------------------------------------------------- X6
 WIDGET_NAME = "WL Volume % gain"
 # A later widget whose name matches as well, with fields of other types: not read.

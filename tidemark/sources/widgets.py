@@ -15,7 +15,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,9 +80,28 @@ def unreadable_payloads(payloads: DataFrame, column: str = "payload") -> DataFra
     return payloads.agg(F.count_if(bad).alias("unreadable"))
 
 
-def write_widget_csv(rows: DataFrame, out_dir: str, day) -> str:
-    """Dated CSV export with a header and no index:
-    ``<out_dir>/wl_volume_gain_<ddMMyyyy>`` (a folder of part files)."""
-    path = f"{out_dir.rstrip('/')}/wl_volume_gain_{day.strftime('%d%m%Y')}"
-    rows.write.mode("overwrite").option("header", True).csv(path)
-    return path
+# Name of a day's export.
+EXPORT_PREFIX, EXPORT_DAY = "wl_volume_gain_", "ddMMyyyy"
+
+
+def write_widget_csv(rows: DataFrame, out_dir: str, day: str) -> None:
+    """CSV exports with a header and no index of all days of the date column ``day``, in
+    one job: ``<out_dir>/file=wl_volume_gain_<ddMMyyyy>``, each a folder of part files.
+    Days that are there already are replaced, others stay."""
+    name = F.concat(F.lit(EXPORT_PREFIX), F.date_format(day, EXPORT_DAY))
+    named = rows.withColumn("file", name).drop(day)
+    (
+        named.repartition("file")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("header", True)
+        .partitionBy("file")
+        .csv(out_dir.rstrip("/"))
+    )
+
+
+def read_widget_csv(spark: SparkSession, out_dir: str, record_schema: str, day: str = "day") -> DataFrame:
+    """Exported rows and their day."""
+    rows = spark.read.option("header", True).schema(f"{record_schema}, file string").csv(out_dir.rstrip("/"))
+    date = F.to_date(F.substring_index("file", "_", -1), EXPORT_DAY)
+    return rows.select(date.alias(day), *[c for c in rows.columns if c != "file"])
