@@ -337,15 +337,25 @@ def test_month_order_and_counts(spark):
     assert colors == {("A", "12-2025"): "green", ("A", "01-2026"): "red", ("B", "01-2026"): "red"}
 
 
-def test_paging_clamps(spark):
-    v = view_df(spark, [(f"S{i:02d}", D(2026, 1, 9), "1", 1.0, float(i)) for i in range(12)])
-    p0 = serve.signals_page(v, page=0).collect()
-    assert len(p0) == 10 and p0[0]["page"] == 1 and p0[0]["total_pages"] == 2 and p0[0]["symbol"] == "S11"
-    p99 = serve.signals_page(v, page=99).collect()
-    assert len(p99) == 2 and p99[0]["page"] == 2
-    empty = serve.signals_page(v.filter("false"), page=5)
-    assert empty.count() == 0
-    assert serve.signals_page(v, month="02-2026").count() == 0
+def test_pages_by_position(spark, tmp_path):
+    days = [D(2026, 1, 9)] * 12 + [D(2026, 2, 6)] * 25
+    v = view_df(spark, [(f"S{i:02d}", d, "1", 1.0, float(i) if i % 7 else None) for i, d in enumerate(days)])
+    index = serve.PageIndex.build(v, str(tmp_path / "index"))
+    order = [r.symbol for r in v.collect()]
+    p0 = index.page(page=0).collect()
+    assert [r.symbol for r in p0] == order[:10] and p0[0]["page"] == 1 and p0[0]["total_pages"] == 4
+    p99 = index.page(page=99).collect()
+    assert [r.symbol for r in p99] == order[30:] and p99[0]["page"] == 4
+    january = [r.symbol for r in v.collect() if r.month_year == "01-2026"]
+    assert [[r.symbol for r in index.page("01-2026", n).collect()] for n in (1, 2)] == [january[:10], january[10:]]
+    assert [len(index.page("02-2026", n, 4).collect()) for n in (1, 7)] == [4, 1]
+    assert index.page("03-2026", 2).count() == 0
+    again = serve.PageIndex.open(spark, str(tmp_path / "index")).page(page=2)
+    assert [r.symbol for r in again.collect()] == order[10:20] and set(again.columns) == {*v.columns, "page", "total_pages"}
+    plan = again._jdf.queryExecution().executedPlan().toString()
+    assert " = all)" in plan and "PartitionFilters: [isnotnull(month" in plan and "Offset" not in plan and "Limit" not in plan
+    none = serve.PageIndex.build(v.filter("false"), str(tmp_path / "none"))
+    assert none.page(page=5).count() == 0
 
 
 def test_signals_json_sorted_keys_and_text_decimals(spark):
@@ -419,9 +429,6 @@ def test_widget_first_match_and_rounding(spark, tmp_path):
     assert len(got) == 1
     r = got[0].asDict()
     assert r == {"n": 3.0, "s": "b", "x": float(np.round(0.35, 1))}
-    path = widgets.write_widget_csv(widgets.widget_rows(df), str(tmp_path), dt.date(2024, 1, 5))
-    assert path.endswith("wl_volume_gain_05012024")
-    assert spark.read.option("header", True).csv(path).count() == 1
 
 
 def _fold(statuses, limit=5):

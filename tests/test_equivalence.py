@@ -79,7 +79,7 @@ def test_pipeline_is_idempotent_and_stream_matches_batch(spark):
     q = ingest.stream_ingest(spark, land, stream_bronze, ckpt, max_files_per_trigger=200)
     assert len(q.recentProgress) > 1  # the backlog was split into bounded batches
     ingest.stream_ingest(spark, land, stream_bronze, ckpt)  # restart: nothing new
-    streamed = spark.read.parquet(stream_bronze).drop("_loaded_at")
+    streamed = ingest.read_bronze(spark, stream_bronze).drop("_loaded_at")
     assert rows(streamed) == rows(bronze)
 
     hist = third.table(spark, "signal_history")

