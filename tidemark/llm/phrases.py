@@ -101,8 +101,8 @@ def _passages(window: int, gram: int):
 def _words(window: int, heavy_windows: bool):
     """The words of the passages asked of a document; of frequent anchors' also
     each window by itself, with a hash (``heavy_windows``)."""
-    names = ["h", "sh", "wh", "first", "salts", "text"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    names = ["h", "sh", "wh", "first", "copied", "salts", "text"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,12 +117,12 @@ def _words(window: int, heavy_windows: bool):
                         a = int(w.first[r]) + x["at"]
                         if not heavy_windows:
                             text = w.text(a, a + x["m"] + window - 1)
-                            out.append((x["h"], x["sh"], None, ids[lo + r], x["salts"], text))
+                            out.append((x["h"], x["sh"], None, ids[lo + r], x["copied"], x["salts"], text))
                             size += len(text)
                         elif x["salts"] > 1:
                             for j in range(a, a + x["m"]):
                                 text = w.text(j, j + window)
-                                out.append((x["h"], x["sh"], int(_signed(mix(grams[j : j + 1]))[0]), ids[lo + r], x["salts"], text))
+                                out.append((x["h"], x["sh"], int(_signed(mix(grams[j : j + 1]))[0]), ids[lo + r], x["copied"], x["salts"], text))
                                 size += len(text)
                         if size > 1 << 23:
                             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
@@ -133,8 +133,8 @@ def _words(window: int, heavy_windows: bool):
     return run
 
 
-_WORDS = "h long, sh long, wh long, first long, salts int, text binary"
-_FOUND = "h long, sh long, a int, b int, first long"
+_WORDS = "h long, sh long, wh long, first long, copied boolean, salts int, text binary"
+_FOUND = "h long, sh long, found array<struct<a: int, b: int, first: bigint>>"
 
 
 class _Shard:
@@ -165,9 +165,9 @@ class _Shard:
             self.size += len(c)
         self.streams += [x[:3] for x in coded]
 
-    def locate(self) -> Iterator[tuple[int, int, int, int, int]]:
-        """(h, sh, a, b, first): the windows a to b - 1 of a passage occur in
-        document ``first``, and in none before it."""
+    def locate(self) -> Iterator[tuple[int, int, list[dict[str, int]]]]:
+        """(h, sh, spans): the windows a to b - 1 of a passage occur in document
+        ``first``, and in none before it."""
         machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
         for c, first in self.phrases.items():
             machine.add_word(c, (len(c), first))
@@ -180,13 +180,13 @@ class _Shard:
                     spans[-1][1] = max(spans[-1][1], b)
                 else:
                     spans.append([a, b, first])
-            for a, b, first in spans:
-                yield h, sh, a, b, first
+            if spans:
+                yield h, sh, [{"a": a, "b": b, "first": first} for a, b, first in spans]
 
 
 def _locate(window: int):
-    names = ["h", "sh", "a", "b", "first"]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+    names = ["h", "sh", "found"]
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("first", pa.int64())]))]
 
     def pack(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
@@ -215,6 +215,15 @@ def _locate(window: int):
     return run
 
 
+def _dealt(windows: DataFrame) -> DataFrame:
+    """``(h, salt, first, text)``: the windows of frequent anchors that are in two passages
+    or documents, once for each group that has a passage with them."""
+    again = (F.max("copied") | (F.min("sh") < F.max("sh"))).alias("again")
+    at = F.collect_set(F.pmod("sh", "salts").cast("int")).alias("at")
+    phrases = windows.groupBy("h", "wh").agg(F.min("first").alias("first"), again, F.min("text").alias("text"), at).filter("again")
+    return phrases.select("h", F.explode("at").alias("salt"), "first", "text")
+
+
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, many: int = MANY) -> DataFrame:
     """``(doc_id, tk, a, b)``: words a to b - 1 of a document are covered by
     windows that occur in a smaller one.  ``tk`` is xxhash64 of the text."""
@@ -223,28 +232,28 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, many
     recurring = found.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("h")
     passages = stored(found.join(recurring, "h", "left_semi"), "passages")
     owned = passages.select("h", "sh", "doc_id", "tk", F.element_at("ats", 1).alias("at"), "m")
-    owned = owned.groupBy("h", "sh").agg(F.min(F.struct("doc_id", "tk", "at", "m")).alias("o")).select("h", "sh", "o.*")
+    # an owner also says whether another document has the passage
+    copied = (F.min("doc_id") < F.max("doc_id")).alias("copied")
+    owned = owned.groupBy("h", "sh").agg(F.min(F.struct("doc_id", "tk", "at", "m")).alias("o"), copied).select("h", "sh", "o.*", "copied")
     owned = stored(owned, "passage-owners")
     salts = F.ceil(F.count("*") / many).cast("int").alias("salts")
     frequent = stored(owned.groupBy("h").agg(salts).filter("salts > 1"), "frequent-anchors")
     asked = owned.join(small(frequent), "h", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
-    asked = asked.groupBy("doc_id", "tk").agg(F.collect_list(F.struct("h", "sh", "at", "m", "salts")).alias("asked"))
+    asked = asked.groupBy("doc_id", "tk").agg(F.collect_list(F.struct("h", "sh", "at", "m", "copied", "salts")).alias("asked"))
     asked = stored(asked, "passages-asked")
     texts = base.join(small(asked.select("doc_id").distinct()), "doc_id", "left_semi").dropDuplicates(["doc_id", "tk"])
     texts = texts.join(asked, ["doc_id", "tk"]).select("doc_id", "text", "asked")
     streams = texts.mapInArrow(_words(window, False), _WORDS)
     streams = streams.select("h", "sh", F.pmod("sh", "salts").cast("int").alias("salt"), F.lit(False).alias("phrase"), "first", "text")
     if frequent.limit(1).count():
-        # windows of frequent anchors that more than one passage has, or a passage of more than one document
-        copies = passages.join(small(frequent), "h", "left_semi").groupBy("h", "sh").agg((F.min("doc_id") < F.max("doc_id")).alias("copied"))
-        heavy = texts.filter(F.exists("asked", lambda x: x["salts"] > 1)).mapInArrow(_words(window, True), _WORDS)
-        heavy = heavy.join(copies, ["h", "sh"]).groupBy("h", "salts", "wh").agg(F.min("first").alias("first"), (F.max("copied") | (F.min("sh") < F.max("sh"))).alias("again"), F.min("text").alias("text")).filter("again")
-        phrases = heavy.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+        phrases = _dealt(texts.filter(F.exists("asked", lambda x: x["salts"] > 1)).mapInArrow(_words(window, True), _WORDS))
         streams = streams.unionByName(phrases.select("h", F.lit(0).cast("long").alias("sh"), "salt", F.lit(True).alias("phrase"), "first", "text"))
     dealt = streams.repartition("h", "salt").sortWithinPartitions("h", "salt")
     spans = stored(dealt.mapInArrow(_locate(window), _FOUND), "phrase-spans")
-    hits = passages.join(spans, ["h", "sh"]).filter(F.col("first") < F.col("doc_id")).withColumn("at", F.explode("ats"))
-    return hits.select("doc_id", "tk", (F.col("at") + F.col("a")).alias("a"), (F.col("at") + F.col("b") + (window - 1)).alias("b"))
+    # one row for each passage of a document, as each passage has one list of spans
+    hits = passages.join(spans, ["h", "sh"]).select("doc_id", "tk", "ats", F.filter("found", lambda x: x["first"] < F.col("doc_id")).alias("found"))
+    each = hits.withColumn("x", F.explode("found")).withColumn("at", F.explode("ats"))
+    return each.select("doc_id", "tk", (F.col("at") + F.col("x.a")).alias("a"), (F.col("at") + F.col("x.b") + (window - 1)).alias("b"))
 
 
 def _kept(words: list[bytes], spans: list[dict] | None) -> list[bytes]:

@@ -4,13 +4,17 @@ A word is a maximal run of bytes other than space, tab, newline, vertical tab,
 form feed and carriage return, that is ``[^\\x20\\x09-\\x0D]+`` (all separators
 are ASCII, so splitting the UTF-8 bytes and splitting the text agree).
 
-Hashes are 64-bit: a polynomial over the word's bytes modulo 2**64, mixed, and
-polynomials over runs of mixed word hashes.  They depend on the words alone, so
-they agree between tasks, executors and runs.
+Hashes are 64-bit: of a word of up to seven bytes its bytes and length themselves,
+mixed by a bijection, of a longer one BLAKE2b of its bytes; and polynomials over runs of
+word hashes modulo 2**64.  (A polynomial over bytes would not do: the words of Thue and
+Morse and their complements have one value for every odd base.  Runs are far shorter
+than such words.)  They depend on the words alone, so they agree between tasks,
+executors and runs.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -67,6 +71,40 @@ def _prefix(values: np.ndarray, kind: str) -> tuple[np.ndarray, np.ndarray]:
     return sums, down
 
 
+class _Long(dict):
+    """Hashes of words of more than ``SHORT`` bytes, remembered up to a bound."""
+
+    def __missing__(self, word: bytes) -> int:
+        h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        if len(word) <= 64:
+            if len(self) >= 100_000:
+                self.clear()
+            self[word] = h
+        return h
+
+
+_LONG = _Long()
+SHORT = 7
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the words ``data[start[i]:end[i]]``."""
+    if not len(start):
+        return np.zeros(0, dtype=_U)
+    size = end - start
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.lib.stride_tricks.sliding_window_view(padded, 8)[start]
+    value = np.ascontiguousarray(eight).view("<u8").ravel()
+    kept = np.minimum(size, SHORT).astype(_U)
+    out = mix(value & ((_U(1) << kept * _U(8)) - _U(1)) | kept << _U(56))
+    long = np.flatnonzero(size > SHORT)
+    if len(long):
+        raw = data.tobytes()
+        words = map(raw.__getitem__, map(slice, start[long].tolist(), end[long].tolist()))
+        out[long] = np.fromiter(map(_LONG.__getitem__, words), _U, len(long))
+    return out
+
+
 class Words:
     """The words of a chunk of rows.  Row ``r`` has words ``first[r]`` to
     ``first[r + 1]``; word ``w`` is ``data[start[w]:end[w]]`` and hashes to
@@ -89,8 +127,7 @@ class Words:
             after[:-1] = solid[1:]
         self.end = np.flatnonzero(solid & (~after | edge[1:])) + 1
         self.first = np.searchsorted(self.start, offsets)
-        sums, down = _prefix(_BYTE_VALUE[self.data], "byte")
-        self.hash = mix((sums[self.end] - sums[self.start]) * down[self.start])
+        self.hash = word_hashes(self.data, self.start, self.end)
 
     @property
     def rows(self) -> int:
