@@ -58,7 +58,7 @@ def test_phrases_of_a_frequent_line_grow_with_its_passages(spark, monkeypatch):
     monkeypatch.setattr(phrases, "_dealt", counted)
     for n in (100, 200):
         r = random.Random(n)
-        line = " ".join(f"l{i}" for i in range(14))
+        line = " ".join(f"l{i}" for i in range(40))
         texts = []
         for _ in range(n // 2):
             a, b = (" ".join(f"x{r.randrange(9999)}" for _ in range(60)) for _ in "ab")

@@ -17,8 +17,8 @@ words as words' ids go to texts (below).
 Decoding looks the ids up in the model's names, joins their bytes, and gives the word.
 
 A text is its words; the words of all texts get their spelling by a join: the
-frequent ones, at most ``FREQUENT``, by a broadcast table, the others by a shuffle
-of their occurrences, which no word is frequent enough to make uneven.
+frequent ones, at most ``FREQUENT``, by a broadcast table where the text is, the others
+by a shuffle of their occurrences, which no word is frequent enough to make uneven.
 
 Words are ``[^\\x20\\x09-\\x0D]+``.  Defined results: the best spelling has the
 highest score, then the fewest pieces, then the longest last piece; a null or
@@ -29,11 +29,12 @@ table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import itertools
+import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,8 +50,13 @@ PIECE_BITS = 20
 #: Characters of a segment up to which it is folded: a character costs less than 2^29 and
 #: has at most 4 pieces (``piece_table``), so cost and pieces stay below 2^43 and 2^16.
 STRETCH = 1 << 14
-#: Bits of the hash that each occurrence adds to a text's digest.
-DIGEST_BITS = 40
+#: Bits of what each occurrence adds to a text's digest: its sum has room for 2^32 words.
+DIGEST = (1 << 31) - 1
+#: Distinct words that a task counts at a time, and bytes of a text that it splits at a time.
+HELD, STRETCH_BYTES = 300_000, 1 << 20
+#: Bytes of a word up to which its spelling is broadcast.
+LONGEST_KNOWN = 256
+_SEPARATOR = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def words(text: Column) -> Column:
@@ -89,15 +95,89 @@ def _bytes(char: Column, first: int) -> Column:
     return F.transform(pairs, lambda i: F.conv(F.substring(h, i * 2 - 1, F.lit(2)), 16, 10).cast("int") + first)
 
 
+def _stretches(text: bytes) -> Iterator[list[bytes]]:
+    """The words of a text, those of about ``STRETCH_BYTES`` at a time."""
+    lo = 0
+    while lo < len(text):
+        cut = _SEPARATOR.search(text, lo + STRETCH_BYTES) if len(text) > lo + STRETCH_BYTES else None
+        hi = cut.start() if cut else len(text)
+        # the six separators of a word are those that this method splits at
+        yield text[lo:hi].split()
+        lo = hi
+
+
+def _texts(column: pa.Array) -> Iterator[bytes | None]:
+    for x in column.cast(pa.large_binary()):
+        yield x.as_py()
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(word, count)`` of the words of each batch of texts."""
+    """``(word, count)`` of the words of the texts, of at most about ``HELD`` words at a time."""
+
+    def out(counts: Counter) -> Iterator[pa.RecordBatch]:
+        words = list(counts)
+        for lo in range(0, len(words), 1 << 14):
+            part = words[lo : lo + (1 << 14)]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()).cast(pa.string()), pa.array([counts[w] for w in part], pa.int64())], names=["word", "count"])
+
+    counts: Counter = Counter()
     for batch in batches:
-        # the six ASCII separators of a word are those that this function splits at
-        found = pc.value_counts(pc.ascii_split_whitespace(batch["text"].cast(pa.large_string())).flatten())
-        rows = pa.RecordBatch.from_arrays([found.field(0).cast(pa.large_string()), found.field(1)], names=["word", "count"])
-        rows = rows.filter(pc.not_equal(rows["word"], ""))
-        for lo in range(0, rows.num_rows, 1 << 14):
-            yield rows.slice(lo, 1 << 14)
+        for text in _texts(batch["text"]):
+            for words in _stretches(text or b""):
+                counts.update(words)
+                if len(counts) > HELD:
+                    yield from out(counts)
+                    counts = Counter()
+    yield from out(counts)
+
+
+class _Known(dict):
+    def __missing__(self, word: bytes) -> int:
+        return -1
+
+
+def _placed(shared):
+    """The sums of each text over its frequent words, and its other words with their places."""
+    names = ["row", "doc_id", "n_words", "n_pieces", "n_exact", "ids_digest", "words", "places"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, k, x, h = shared.value
+        known = _Known(zip(words, range(len(words)), strict=True))
+        rows: list[tuple] = []
+        size = 0
+
+        def pack() -> pa.RecordBatch:
+            cols = [pa.array([r[c] for r in rows], pa.int64()) for c in range(6)]
+            lists = [pa.array([r[6] for r in rows], pa.list_(pa.binary())).cast(pa.list_(pa.string())), pa.array([r[7] for r in rows], pa.list_(pa.int64()))]
+            return pa.RecordBatch.from_arrays([*cols, *lists], names=names)
+
+        for batch in batches:
+            for row, doc_id, text in zip(batch["row"], batch["doc_id"], _texts(batch["text"]), strict=True):
+                n = pieces = exact = digest = 0
+                rare: list[bytes] = []
+                places: list[int] = []
+                for own in _stretches(text or b""):
+                    if not own:
+                        continue
+                    at = np.fromiter(map(known.__getitem__, own), np.int64, len(own))
+                    there = np.flatnonzero(at >= 0)
+                    i, at_place = at[there], n + there + 1
+                    pieces += int(k[i].sum())
+                    exact += int(x[i].sum())
+                    digest += int((at_place * h[i] & DIGEST).sum())
+                    other = np.flatnonzero(at < 0)
+                    rare += map(own.__getitem__, other.tolist())
+                    places += (n + other + 1).tolist()
+                    n += len(own)
+                rows.append((row.as_py(), doc_id.as_py(), n, pieces, exact, digest, rare, places))
+                size += len(rare) + 16
+                if size > 1 << 16:
+                    yield pack()
+                    rows, size = [], 0
+        if rows:
+            yield pack()
+
+    return run
 
 
 def _split(pairs: frozenset[str]):
@@ -280,15 +360,19 @@ def frequent_from(counts: DataFrame, most: int) -> int:
     return least
 
 
-def encode(docs: DataFrame, model: str = MODEL, frequent: int = FREQUENT) -> tuple[DataFrame, DataFrame]:
-    """The spelling of every distinct word, ``(word, count, ids, exact)`` (exact:
-    it decodes to the word), and of every word of every text, ``(doc_id, tk, pos,
-    ids, exact)``."""
-    pieces = load(model)
+def spellings(docs: DataFrame, pieces: Pieces, frequent: int = FREQUENT) -> DataFrame:
+    """The spelling of every distinct word, ``(word, count, ids, exact)`` (exact: it
+    decodes to the word), stored."""
     some = docs.select(F.col("text").cast("string").alias("text")).filter("text is not null").mapInArrow(_counted, "word string, count long")
     counted = some.groupBy("word").agg(F.sum("count").alias("count"))
     spelt = decode(spell(counted, pieces, frequent), pieces).select("word", "count", "ids", (F.col("decoded") == F.col("word")).alias("exact"))
-    spelt = stored(spelt, "spellings")
+    return stored(spelt, "spellings")
+
+
+def encode(docs: DataFrame, model: str = MODEL, frequent: int = FREQUENT) -> tuple[DataFrame, DataFrame]:
+    """The spelling of every distinct word (``spellings``), and of every word of every
+    text, ``(doc_id, tk, pos, ids, exact)``."""
+    spelt = spellings(docs, load(model), frequent)
     least = frequent_from(spelt, frequent)
     known = F.broadcast(spelt.filter(F.col("count") >= least).select("word", "ids", "exact"))
     rare = spelt.filter(F.col("count") < least).select("word", "ids", "exact").hint("merge")
@@ -299,16 +383,27 @@ def encode(docs: DataFrame, model: str = MODEL, frequent: int = FREQUENT) -> tup
 
 
 def digests(docs: DataFrame, model: str = MODEL, frequent: int = FREQUENT) -> DataFrame:
-    """``(doc_id, n_words, n_pieces, n_exact, ids_digest)`` of each row: its words,
-    their pieces, the words that decode to themselves, and the sum of a hash of
-    place and ids of each word."""
-    _, rows = encode(docs, model, frequent)
-    each = rows.select("doc_id", "tk", F.size("ids").alias("k"), F.col("exact").cast("int").alias("x"), F.xxhash64("pos", "ids").bitwiseAND((1 << DIGEST_BITS) - 1).alias("d"))
-    sums = each.groupBy("doc_id", "tk").agg(F.count("*").alias("n_words"), F.sum("k").alias("n_pieces"), F.sum("x").alias("n_exact"), F.sum("d").alias("ids_digest"))
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tk"))
-    own = own.groupBy("doc_id", "tk").agg(F.count("*").alias("_copies"))
-    sums = sums.select(F.col("doc_id").alias("_d"), F.col("tk").alias("_t"), "n_words", "n_pieces", "n_exact", "ids_digest")
-    joined = own.join(sums, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("tk") == F.col("_t")), "left")
-    # equal rows add up in the sums
-    value = [F.coalesce((F.col(c) / F.col("_copies")).cast("long") if c != "ids_digest" else F.expr("ids_digest div _copies"), F.lit(0)).alias(c) for c in ("n_words", "n_pieces", "n_exact", "ids_digest")]
-    return joined.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).select("doc_id", *value)
+    """``(doc_id, n_words, n_pieces, n_exact, ids_digest)`` of each row: its words, their
+    pieces, the words that decode to themselves, and the sum over words of the low bits
+    of place (from 1) times a hash of the ids.
+
+    Texts are read once: sums over the frequent words' spellings are made where the text
+    is, and only the other words meet theirs in a shuffle."""
+    spelt = spellings(docs, load(model), frequent)
+    short = F.octet_length("word") <= LONGEST_KNOWN
+    least = frequent_from(spelt, frequent)
+    value = spelt.select("word", "count", F.size("ids").cast("long").alias("k"), F.col("exact").cast("long").alias("x"), F.xxhash64("ids").bitwiseAND(DIGEST).alias("h"))
+    is_known = (F.col("count") >= least) & short
+    # at most ``frequent`` words of at most ``LONGEST_KNOWN`` bytes
+    known = value.filter(is_known).select(F.col("word").cast("binary").alias("word"), "k", "x", "h").toArrow()
+    shared = docs.sparkSession.sparkContext.broadcast((known["word"].to_pylist(), *(known[c].to_numpy() for c in "kxh")))
+    own = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    sums = ["n_words", "n_pieces", "n_exact", "ids_digest"]
+    kind = f"row long, doc_id long, {', '.join(f'{c} long' for c in sums)}, words array<string>, places array<long>"
+    placed = stored(own.mapInArrow(_placed(shared), kind), "placed-words")
+    each = placed.select("row", F.explode(F.arrays_zip("words", "places")).alias("o")).select("row", F.col("o.words").alias("word"), F.col("o.places").alias("place"))
+    rare = value.filter(~is_known).drop("count").hint("merge")
+    digest = (F.col("place") * F.col("h")).bitwiseAND(DIGEST)
+    met = each.join(rare, "word").groupBy("row").agg(F.sum("k").alias("n_pieces"), F.sum("x").alias("n_exact"), F.sum(digest).alias("ids_digest"))
+    both = placed.drop("words", "places").unionByName(met, allowMissingColumns=True).groupBy("row")
+    return both.agg(F.max("doc_id").alias("doc_id"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums]).drop("row")
