@@ -98,7 +98,12 @@ def test_memory_of_units_is_bounded(monkeypatch):
         units = [f"w{i}", f"v{i}", "x" * 100, "a▁b"]
         known.know(units)
         assert set(units) <= set(known.place) and len(known.place) <= 10
+        known.seen[[known.place[u] for u in units]] = known.now
         assert known.numbers[known.place["a▁b"], 0] == -1
+        fresh = alignment.learn(known.aligner, [units[0]])
+        k = known.place[units[0]]
+        assert known.texts[k] == fresh.texts[0] and known.numbers[k].tolist() == fresh.numbers[0].tolist()
+        assert known.links[known.first[k] : known.first[k + 1]].tolist() == fresh.links.tolist()
 
 
 def test_empty_table(spark):

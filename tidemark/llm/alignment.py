@@ -222,26 +222,47 @@ def _links(ids_a, ids_b, i, j, n_a, n_b) -> np.ndarray:
 
 
 class Memory:
-    """What a worker knows of units, ``HELD`` and ``HELD_LINKS`` at most; it forgets
-    all when it is full."""
+    """What a worker knows of units, ``HELD`` and ``HELD_LINKS`` at most.  When it is full
+    it forgets those that were not seen again after they were learnt, and all if these
+    are few."""
 
     def __init__(self, a: str, b: str) -> None:
-        self.aligner = aligner(a, b)
-        self.forget()
+        self.aligner, self.now = aligner(a, b), 0
+        self._start()
 
-    def forget(self) -> None:
+    def _start(self) -> None:
         self.place: dict[str, int] = {}
         self.numbers = np.zeros((1024, 4), np.int64)
         self.texts: list[str] = []
         self.first = np.zeros(1025, np.int64)
         self.links = np.zeros(4096, np.int64)
+        #: when a unit was learnt and last seen, in chunks of texts
+        self.learnt, self.seen = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+
+    def forget(self) -> None:
+        n = len(self.place)
+        keep = np.flatnonzero(self.seen[:n] > self.learnt[:n])
+        sizes = self.first[keep + 1] - self.first[keep]
+        if 2 * len(keep) > HELD or 2 * int(sizes.sum()) > HELD_LINKS:
+            keep = keep[:0]
+        old, units, texts = (self.numbers, self.first, self.links, self.learnt, self.seen), list(self.place), self.texts
+        self._start()
+        if len(keep):
+            sizes = old[1][keep + 1] - old[1][keep]
+            ends = np.cumsum(sizes)
+            self.numbers, self.learnt, self.seen = old[0][keep], old[3][keep], old[4][keep]
+            self.first = np.append(0, ends)
+            self.links = old[2][np.arange(int(ends[-1])) + np.repeat(old[1][keep] - (ends - sizes), sizes)]
+            self.texts = [texts[i] for i in keep.tolist()]
+            self.place = {units[i]: k for k, i in enumerate(keep.tolist())}
 
     def know(self, units: list[str]) -> None:
         """Learns those of the units, all different, that it does not know."""
+        self.now += 1
         new = [u for u in units if u not in self.place]
         if self.place and (len(self.place) + len(new) > HELD or self.first[len(self.place)] > HELD_LINKS):
             self.forget()
-            new = units
+            new = [u for u in units if u not in self.place]
         # white space at the end of a unit would meet the space of the next one
         alone = [u for u in new if not u or _WHITE.match(u[-1])]
         new = [u for u in new if u and not _WHITE.match(u[-1])] if alone else new
@@ -254,10 +275,11 @@ class Memory:
         found, k = learn(self.aligner, units), len(self.place)
         n, begin = k + len(units), int(self.first[k])
         end = begin + len(found.links)
-        self.numbers = _room(self.numbers, n)
+        self.numbers, self.learnt, self.seen = _room(self.numbers, n), _room(self.learnt, n), _room(self.seen, n)
         self.first = _room(self.first, n + 1)
         self.links = _room(self.links, end)
         self.numbers[k:n], self.first[k + 1 : n + 1], self.links[begin:end] = found.numbers, begin + found.first[1:], found.links
+        self.learnt[k:n] = self.seen[k:n] = self.now
         self.texts += found.texts
         self.place.update(zip(units, range(k, n), strict=True))
 
@@ -281,6 +303,7 @@ def _aligned(a: str, b: str):
         if not units:
             return nothing
         at = np.fromiter(map(known.place.__getitem__, units), np.int64, len(units))
+        known.seen[at] = known.now
         numbers = known.numbers[at]
         if numbers[:, 0].min() < 0:
             return nothing
