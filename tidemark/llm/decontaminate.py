@@ -3,11 +3,13 @@
 An item is contained in a document if at least ``threshold`` of the item's
 distinct word shingles occur in it, whatever the document's length.  Items are
 partitioned by the size of their shingle set (powers of two).  An item's MinHash
-sketch is its ``size - ceil(threshold * size) + 1`` smallest shingle hashes: a
-document that contains the item must have at least one of them, so no contained
-item is missed.  Within a size partition all sketch values lie below a common
-bound; a document offers to a partition only its shingle hashes below that bound,
-joined by equality.  What meets is verified by exact shingle containment on the
+sketch is its ``size - ceil(threshold * size) + 1`` first shingle hashes in an order of
+all hashes: a document that contains the item must have at least one of them, so no
+contained item is missed.  The order puts the shingles that more than ``COMMON`` items
+hold last, then goes by hash, so boilerplate brings no item and document together as
+long as the item has words of its own.  Within a size partition all sketch values but
+common ones lie below a common bound; a document offers to a partition only its shingle
+hashes below that bound (and, where sketches have common ones, all), joined by equality.  What meets is verified by exact shingle containment on the
 shingles themselves.
 
 Only DataFrame functions run, no Python.
@@ -28,6 +30,8 @@ from .common import free, small, stored
 
 WORDS = 5
 THRESHOLD = (80, 100)
+#: Items that may hold a shingle before it is common.
+COMMON = 8
 
 
 def words(text: Column) -> Column:
@@ -48,13 +52,18 @@ def shingles(w: Column, k: int = WORDS) -> Column:
 
 
 def sketches(items: DataFrame, k: int, threshold: tuple[int, int]) -> DataFrame:
-    """``(item_id, part, h)``: the smallest hashes of each item."""
+    """``(item_id, part, h, common)``: the first hashes of each item."""
     num, den = threshold
     split = items.select("item_id", words(F.col("text")).alias("w"))
-    sets = split.select("item_id", F.array_sort(F.array_distinct(hashes(F.col("w"), k))).alias("h")).filter("h is not null")
-    keep = F.size("h") - F.ceil(F.size("h") * num / den).cast("int") + 1
-    part = F.floor(F.log2(F.size("h"))).cast("int")
-    return sets.select("item_id", part.alias("part"), F.explode(F.slice("h", F.lit(1), keep)).alias("h"))
+    sets = split.select("item_id", F.array_distinct(hashes(F.col("w"), k)).alias("h")).filter("h is not null")
+    each = stored(sets.select("item_id", F.size("h").alias("n"), F.explode("h").alias("h")), "item-shingles")
+    often = each.groupBy("h").agg(F.count_distinct("item_id").alias("items")).filter(F.col("items") > COMMON).select(F.col("h").alias("_h"))
+    marked = each.join(often, F.col("h") == F.col("_h"), "left").select("item_id", "n", F.struct(F.col("_h").isNotNull().alias("common"), "h").alias("s"))
+    # an item is a short text: its shingles are one list
+    lists = marked.groupBy("item_id", "n").agg(F.array_sort(F.collect_list("s")).alias("s"))
+    keep = F.col("n") - F.ceil(F.col("n") * num / den).cast("int") + 1
+    part = F.floor(F.log2("n")).cast("int")
+    return lists.select("item_id", part.alias("part"), F.explode(F.slice("s", F.lit(1), keep)).alias("s")).select("item_id", "part", "s.h", "s.common")
 
 
 def contained(docs: DataFrame, items: DataFrame, k: int = WORDS, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
@@ -65,15 +74,17 @@ def contained(docs: DataFrame, items: DataFrame, k: int = WORDS, threshold: tupl
     items = items.select("item_id", "text").filter(F.col("item_id").isNotNull() & F.col("text").isNotNull())
     sketch = stored(sketches(items, k, threshold), "sketches")
     # one number per size partition, of which there are at most 31
-    bounds = {r.part: r.h for r in sketch.groupBy("part").agg(F.max("h").alias("h")).collect()}
+    bounds = {r.part: r.h for r in sketch.filter("not common").groupBy("part").agg(F.max("h").alias("h")).collect()}
     # the words are a column of their own: as part of the lambda they would be split anew for each shingle
-    split = docs.select("doc_id", words(F.col("text")).alias("w"))
-    offered = split.select("doc_id", F.explode(hashes(F.col("w"), k)).alias("h")).filter(F.col("h") <= max(bounds.values(), default=-(1 << 63)))
+    offered = docs.select("doc_id", words(F.col("text")).alias("w")).select("doc_id", F.explode(hashes(F.col("w"), k)).alias("h"))
     limit = F.create_map(*[F.lit(x) for kv in sorted(bounds.items()) for x in kv]) if bounds else None
-    meets = small(sketch.withColumnRenamed("h", "item_h"))
-    met = offered.join(meets, F.col("h") == F.col("item_h"))
+    meets = sketch.withColumnRenamed("h", "item_h")
+    met = offered.filter(F.col("h") <= max(bounds.values(), default=-(1 << 63))).join(small(meets.filter("not common")), F.col("h") == F.col("item_h"))
     if limit is not None:
         met = met.filter(F.col("h") <= limit[F.col("part")])
+    if sketch.filter("common").limit(1).count():
+        # an item with few words of its own
+        met = met.unionByName(offered.join(small(meets.filter("common")), F.col("h") == F.col("item_h")))
     pairs = stored(met.select("doc_id", "item_id").distinct(), "leak-pairs")
     ids = small(pairs.select(F.col("doc_id").alias("_d")).distinct())
     texts = docs.join(ids, F.col("doc_id") == F.col("_d"), "left_semi").select("doc_id", words(F.col("text")).alias("w"))

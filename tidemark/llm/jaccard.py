@@ -47,7 +47,8 @@ ALL_PAIRS = 16
 #: Sets of one tree, and members of a larger group compared in one block.
 TREE, MEMBERS = 256, 4096
 SKETCH = 1024
-BUCKETS = 512
+#: Buckets of signatures: so many at least, and one for so many elements of different sets.
+BUCKETS, BUCKET_ELEMENTS = 512, 500_000
 #: Sets whose signatures a task remembers to have given.
 SEEN = 100_000
 #: Elements named as common (see ``setparts``): in so many sets of a batch, at most so many in all.
@@ -375,13 +376,15 @@ def _dealt(split: DataFrame) -> DataFrame:
     return whole.unionByName(stray).select("g", "salt", "block", "stray", "r", "c", "n", "bits")
 
 
-def linked(docs: DataFrame, k: int = SHINGLE, similar: tuple[int, int] = SIMILAR, buckets: int = BUCKETS) -> DataFrame:
+def linked(docs: DataFrame, k: int = SHINGLE, similar: tuple[int, int] = SIMILAR, buckets: int | None = None) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` of each row of ``(doc_id, text)``."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     first = stored(base.mapInArrow(_sets(k), "element boolean, doc_id long, n long, d1 long, d2 long"), "shingle-sets")
     sets = first.filter("not element").drop("element")
     common = common_elements(first.filter("element").select("d1", "n"))
     classes = stored(sets.filter("n > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("r"), F.min("n").alias("n")), "set-classes")
+    if buckets is None:  # a bucket is held by one task, so their number grows with the sets
+        buckets = max(BUCKETS, -(-(classes.agg(F.sum("n")).first()[0] or 0) // BUCKET_ELEMENTS))
     blobs = base.filter("doc_id is not null").select("text").mapInArrow(_signatures(k, similar, buckets, common), "bucket int, kind int, sigs binary, keys binary")
     groups = blobs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_groups, "g long, d1 long").distinct()
     groups = stored(groups.join(classes, "d1").select("g", "r"), "signature-groups")

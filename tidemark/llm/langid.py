@@ -137,10 +137,18 @@ def held_out(doc_id: Column) -> Column:
 def sample(docs: DataFrame, may_train: Column, size: int = SAMPLE) -> list[tuple[str, bytes]]:
     """Excerpts ``(lang, bytes)`` of at most ``size`` documents per language."""
     rows = docs.filter(may_train & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", "text")
-    ids = rows.select(F.col("doc_id").alias("_d"), F.col("lang").alias("_l")).distinct()
-    order = Window.partitionBy("_l").orderBy(F.xxhash64(F.col("_d").cast("string")), "_d")
-    ids = ids.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= size).select("_d", "_l")
-    chosen = rows.join(F.broadcast(ids), (F.col("doc_id") == F.col("_d")) & (F.col("lang") == F.col("_l")))
+    # one text for each (id, language), however often its row is repeated
+    ids = rows.groupBy(F.col("doc_id").alias("_d"), F.col("lang").alias("_l")).agg(F.min(F.xxhash64("text")).alias("_t"))
+    ids = ids.withColumn("_h", F.xxhash64(F.col("_d").cast("string")))
+    # the first of each part of a language, and of these the first of all: no task holds a language
+    parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ids = ids.withColumn("_p", F.pmod("_h", F.lit(parts)))
+    for group in (["_l", "_p"], ["_l"]):
+        order = Window.partitionBy(*group).orderBy("_h", "_d")
+        ids = ids.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= size).drop("_n")
+    same = (F.col("doc_id") == F.col("_d")) & (F.col("lang") == F.col("_l")) & (F.xxhash64("text") == F.col("_t"))
+    # at most ``size`` ids for each language
+    chosen = rows.join(F.broadcast(ids.select("_d", "_l", "_t")), same).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from .pieces import MODEL, SPACE, Pieces, load
 
 MAX_NODES = 1_000_000
+#: Words whose counts are remembered.
+MAX_WORDS = 500_000
 LONG_WORD = 64
 
 
@@ -93,14 +95,18 @@ def _counter(pieces: Pieces):
             for text in batch["text"].cast(pa.large_binary()).to_pylist():
                 own = (text or b"").split()  # bytes: splits at ASCII white space only
                 new = {w for w in own if w not in known}
-                if new and len(trie.score) > MAX_NODES:
+                if new and (len(trie.score) > MAX_NODES or len(known) + len(new) > MAX_WORDS):
                     trie.clear()
                     known.clear()
                     new = set(own)
+                long = {}
                 for w in new:
-                    known[w] = trie.tokens(w.decode("utf-8", "surrogatepass"))
+                    # words that add no node are not remembered either
+                    (known if len(w) <= LONG_WORD else long)[w] = trie.tokens(w.decode("utf-8", "surrogatepass"))
                 words.append(len(own))
-                tokens.append(sum(map(known.__getitem__, own)))
+                tokens.append(sum([known[w] if w in known else long[w] for w in own]) if long else sum(map(known.__getitem__, own)))
+                if len(known) > MAX_WORDS:  # one text may have more
+                    known.clear()
             yield pa.RecordBatch.from_arrays([batch["doc_id"].cast(pa.int64()), pa.array(words, pa.int64()), pa.array(tokens, pa.int64())], names=["doc_id", "n_words", "n_tokens"])
 
     return run

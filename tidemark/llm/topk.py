@@ -25,7 +25,9 @@ clipped to it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -33,21 +35,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 1024
-GROUPS = 32
+#: Groups of candidates: so many at least, and one for so many rows.
+GROUPS, GROUP_ROWS = 32, 64 * BLOCK
 _BLOCKS = "dim int, wide boolean, ids binary, vecs binary"
 _HITS = "query_id long, vec_id long, score long"
 _MAX = float(1 << 53)
 
 
 def _packed(scale: float):
+    whole = Fraction(scale)
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[int, list] = {}
 
         def out(dim: int, rows: list) -> pa.RecordBatch:
             ids = np.array([r[0] for r in rows], dtype=np.int64)
             m = np.stack([r[1] for r in rows]) if dim else np.zeros((len(rows), 0))
-            wide = bool(m.size) and float(np.abs(m).max()) >= 2**31
-            body = "\n".join(" ".join(str(int(x)) for x in r) for r in m).encode() if wide else m.astype(np.int32).tobytes()
+            wide = bool(m.size) and not float(np.abs(m).max()) * scale < 2**30
+            if wide:  # exact, as the scaled value may be no double
+                body = "\n".join(" ".join(str(math.floor(Fraction(x) * whole)) for x in r) for r in m.tolist()).encode()
+            else:
+                body = np.floor(m * scale).astype(np.int32).tobytes()
             return pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), pa.array([wide]), pa.array([ids.tobytes()], pa.binary()), pa.array([body], pa.binary())], names=["dim", "wide", "ids", "vecs"])
 
         for batch in batches:
@@ -56,7 +64,7 @@ def _packed(scale: float):
             values = lists.values
             flat = values.cast(pa.float64()).to_numpy(zero_copy_only=False)
             fine = np.isfinite(flat) & np.asarray(values.is_valid())
-            flat = np.floor(np.where(fine, flat, 0.0) * scale)
+            flat = np.where(fine, flat, 0.0)
             bad = np.concatenate([[0], np.cumsum(~fine)])
             there = np.asarray(lists.is_valid()) & np.asarray(ids.is_valid())
             for i, vid in enumerate(ids.to_pylist()):
@@ -104,7 +112,7 @@ class _Best:
     def __init__(self, ids: np.ndarray, m: np.ndarray, k: int, levels: tuple[int, ...]) -> None:
         self.ids, self.m, self.k, self.levels = ids, m, k, levels
         self.score: list[list[tuple[int, int]]] = [[] for _ in ids]
-        self.stats = [_bounds(m, s) for s in levels] if m.shape[1] else []
+        self.stats = [_bounds(m, s) for s in levels] if m.shape[1] and m.dtype != object else []
 
     def floor(self) -> np.ndarray:
         return np.array([float(s[-1][0]) * -1 if len(s) == self.k else -np.inf for s in self.score])
@@ -113,7 +121,8 @@ class _Best:
         rows = np.arange(len(ids))
         floor = self.floor()
         active = np.ones((len(self.ids), len(rows)), dtype=bool)
-        if np.isfinite(floor).any():
+        # integers beyond the range of a double have no bounds
+        if np.isfinite(floor).any() and m.dtype != object:
             for mine, level in zip(self.stats, self.levels, strict=False):
                 theirs = _bounds(m[rows], level)
                 bound = mine @ theirs.T
@@ -161,9 +170,11 @@ def _search(k: int, levels: tuple[int, ...]):
     return search
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0, levels: tuple[int, ...] = (4, 16), groups: int = GROUPS) -> DataFrame:
+def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0, levels: tuple[int, ...] = (4, 16), groups: int | None = None) -> DataFrame:
     """``(query_id, rank, vec_id, score)`` over ``(vec_id, embedding)``."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    if groups is None:
+        groups = max(GROUPS, -(-rows.count() // GROUP_ROWS))
     queries = vectors.filter(is_query).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     usable = F.col("embedding").isNotNull() & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     queries = queries.filter(usable).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))

@@ -168,6 +168,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int = T
     bad = bad[: max(sample // 2, sample - len(clean))]
     picked = docs.sparkSession.createDataFrame(bad + clean[: sample - len(bad)], "doc_id long, toxic int")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id")
+    # one text for each labelled id, however often its row is repeated
+    texts = texts.groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("k"), "text")).alias("x")).select("doc_id", "toxic", "x.text")
     size = {r.toxic: r["count"] for r in picked.groupBy("toxic").count().collect()}
     if len(size) < 2:
         return Model()
