@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import dropped, stored
 from .pieces import MODEL, SPACE, Pieces, best_ids, load
 
 #: Words that may be broadcast with their spelling.
@@ -53,7 +53,7 @@ STRETCH = 1 << 14
 #: Bits of what each occurrence adds to a text's digest: its sum has room for 2^32 words.
 DIGEST = (1 << 31) - 1
 #: Distinct words that a task counts at a time, and bytes of a text that it splits at a time.
-HELD, STRETCH_BYTES = 300_000, 1 << 20
+HELD, STRETCH_BYTES = 500_000, 1 << 20
 #: Bytes of a word up to which its spelling is broadcast.
 LONGEST_KNOWN = 256
 _SEPARATOR = re.compile(rb"[\x20\x09-\x0D]")
@@ -131,18 +131,13 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from out(counts)
 
 
-class _Known(dict):
-    def __missing__(self, word: bytes) -> int:
-        return -1
-
-
 def _placed(shared):
     """The sums of each text over its frequent words, and its other words with their places."""
     names = ["row", "doc_id", "n_words", "n_pieces", "n_exact", "ids_digest", "words", "places"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, k, x, h = shared.value
-        known = _Known(zip(words, range(len(words)), strict=True))
+        known = dict(zip(words, range(len(words)), strict=True))
         rows: list[tuple] = []
         size = 0
 
@@ -159,7 +154,7 @@ def _placed(shared):
                 for own in _stretches(text or b""):
                     if not own:
                         continue
-                    at = np.fromiter(map(known.__getitem__, own), np.int64, len(own))
+                    at = np.fromiter(map(known.get, own, itertools.repeat(-1)), np.int64, len(own))
                     there = np.flatnonzero(at >= 0)
                     i, at_place = at[there], n + there + 1
                     pieces += int(k[i].sum())
@@ -306,9 +301,9 @@ def _walked(pieces: Pieces):
     return run
 
 
-def spell(vocabulary: DataFrame, pieces: Pieces, frequent: int) -> DataFrame:
-    """``(word, count, ids)`` of ``(word, count)`` with distinct words.  Each
-    distinct segment of the words is spelt once."""
+def spell(vocabulary: DataFrame, pieces: Pieces, frequent: int) -> tuple[DataFrame, list[DataFrame]]:
+    """``(word, count, ids)`` of ``(word, count)`` with distinct words, and the stored
+    tables behind it.  Each distinct segment of the words is spelt once."""
     pairs = frozenset(p[i : i + 2] for p in pieces.scores for i in range(len(p) - 1))
     cut = stored(vocabulary.mapInArrow(_split(pairs), "word string, count long, segments array<string>"), "segments")
     used = cut.select(F.explode("segments").alias("segment")).groupBy("segment").agg(F.count("*").alias("uses"))
@@ -330,7 +325,7 @@ def spell(vocabulary: DataFrame, pieces: Pieces, frequent: int) -> DataFrame:
     cols = ["word", "count", "at", "ids"]
     every = placed.filter("ids is not null").select(cols).unionByName(missing.select(cols))
     put = every.groupBy("word", "count").agg(F.sort_array(F.collect_list(F.struct("at", "ids"))).alias("parts"))
-    return put.select("word", "count", F.flatten(F.transform("parts", lambda x: x["ids"])).alias("ids"))
+    return put.select("word", "count", F.flatten(F.transform("parts", lambda x: x["ids"])).alias("ids")), [cut, spelt]
 
 
 def decode(spelt: DataFrame, pieces: Pieces) -> DataFrame:
@@ -365,8 +360,10 @@ def spellings(docs: DataFrame, pieces: Pieces, frequent: int = FREQUENT) -> Data
     decodes to the word), stored."""
     some = docs.select(F.col("text").cast("string").alias("text")).filter("text is not null").mapInArrow(_counted, "word string, count long")
     counted = some.groupBy("word").agg(F.sum("count").alias("count"))
-    spelt = decode(spell(counted, pieces, frequent), pieces).select("word", "count", "ids", (F.col("decoded") == F.col("word")).alias("exact"))
-    return stored(spelt, "spellings")
+    words, tables = spell(counted, pieces, frequent)
+    spelt = stored(decode(words, pieces).select("word", "count", "ids", (F.col("decoded") == F.col("word")).alias("exact")), "spellings")
+    dropped(*tables)
+    return spelt
 
 
 def encode(docs: DataFrame, model: str = MODEL, frequent: int = FREQUENT) -> tuple[DataFrame, DataFrame]:
