@@ -78,3 +78,26 @@ def test_huge_finite_components(spark):
     for q in (0, 50):
         want = sorted(((-clip(sum(a * b for a, b in zip(whole[q], v, strict=True))), i) for i, v in whole.items() if i != q))[:5]
         assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] == [(i, -s) for s, i in want]
+
+
+def test_bounds_prune_pairs_and_lose_none():
+    """Vectors around a few directions: most pairs go by their bounds."""
+    import numpy as np
+
+    r = np.random.default_rng(1)
+    centres = r.normal(0, 40, (20, 64))
+    m = np.round(centres[r.integers(0, 20, 3000)] + r.normal(0, 2, (3000, 64)))
+    best = topk._Best(np.arange(100), m[:100], 5, topk.LEVELS)
+    scored, own = [], topk._exact
+    topk._exact = lambda q, c: scored.append(len(q) * len(c)) or own(q, c)
+    try:
+        for lo in range(0, 3000, 500):
+            best.add(np.arange(lo, lo + 500), m[lo : lo + 500])
+    finally:
+        topk._exact = own
+    want = m[:100] @ m.T
+    want[np.arange(100), np.arange(100)] = -np.inf
+    for i in range(100):
+        order = sorted(((-int(want[i, j]), j) for j in range(3000) if j != i))[:5]
+        assert best.score[i] == order
+    assert sum(scored[1:]) < 0.2 * 100 * 2500

@@ -6,8 +6,8 @@ deviation s of a segment of length L, Cauchy and Schwarz give
     q . x  <=  sum over segments of  L * (mq * mx + sq * sx)
 
 (the same bound, turned round, is a lower bound of the Euclidean distance).  It
-is evaluated coarse to fine: a few long segments first, then short ones for what
-is left, then exact inner products for the survivors.  A candidate goes only if
+is evaluated coarse to fine for each pair: a few long segments first, then short ones for
+what is left, then exact inner products for the survivors.  A candidate goes only if
 its bound is below the query's k-th best score so far, so the result is exact.
 
 Queries and rows are packed into blocks.  Query blocks are copied once to each of
@@ -35,6 +35,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 1024
+#: Segments of the levels, coarse to fine.
+LEVELS = (4, 16, 32)
+#: Share of a block's pairs up to which survivors are scored one query at a time.
+FEW = 0.125
 #: Groups of candidates: so many at least, and one for so many rows.
 GROUPS, GROUP_ROWS = 32, 64 * BLOCK
 _BLOCKS = "dim int, wide boolean, ids binary, vecs binary"
@@ -132,18 +136,20 @@ class _Best:
                 rows, active = rows[alive], active[:, alive]
                 if not len(rows):
                     return
-        scores = _exact(self.m, m[rows])
+        # one product of the blocks is cheaper than many small ones until few pairs are left
+        few = active.mean() <= FEW
+        scores = None if few else _exact(self.m, m[rows])
         got = ids[rows]
         for i in np.flatnonzero(active.any(1)):
-            ok = active[i] & (got != self.ids[i])
+            at = np.flatnonzero(active[i] & (got != self.ids[i]))
+            own = _exact(self.m[i : i + 1], m[rows[at]])[0] if few else scores[i][at]
             if np.isfinite(floor[i]):
-                ok &= scores[i] >= floor[i]
-            at = np.flatnonzero(ok)
+                at, own = at[own >= floor[i]], own[own >= floor[i]]
             if len(at) > self.k:
-                cut = np.partition(scores[i][at], len(at) - self.k)[len(at) - self.k]
-                at = at[scores[i][at] >= cut]
+                cut = np.partition(own, len(at) - self.k)[len(at) - self.k]
+                at, own = at[own >= cut], own[own >= cut]
             if len(at):
-                new = [(-int(s), int(v)) for s, v in zip(scores[i][at], got[at], strict=True)]
+                new = [(-int(s), int(v)) for s, v in zip(own, got[at], strict=True)]
                 self.score[i] = sorted(self.score[i] + new)[: self.k]
 
     def out(self) -> pa.RecordBatch | None:
@@ -170,7 +176,7 @@ def _search(k: int, levels: tuple[int, ...]):
     return search
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0, levels: tuple[int, ...] = (4, 16), groups: int | None = None) -> DataFrame:
+def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0, levels: tuple[int, ...] = LEVELS, groups: int | None = None) -> DataFrame:
     """``(query_id, rank, vec_id, score)`` over ``(vec_id, embedding)``."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     if groups is None:
