@@ -26,6 +26,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
+    """``df`` as a catalog table in the shared scratch folder, dealt out by ``key``: joins
+    by it move the other side alone.  ``df`` is a ``stored`` table, which is dropped."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_dir(spark, name)
+    table = "tidemark_" + path.rsplit("/", 1)[1].replace("-", "_")
+    df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", path).format("parquet").saveAsTable(table)
+    dropped(df)
+    return spark.table(table)
+
+
 def dropped(*tables: DataFrame) -> None:
     """Deletes ``stored`` tables from which everything wanted has been stored anew."""
     for t in tables:
@@ -46,4 +58,4 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-__all__ = ["BROADCAST_ROWS", "dropped", "ensure_checkpoint_dir", "free", "scratch_dir", "small", "stored", "table"]
+__all__ = ["BROADCAST_ROWS", "bucketed", "dropped", "ensure_checkpoint_dir", "free", "scratch_dir", "small", "stored", "table"]

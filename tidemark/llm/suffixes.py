@@ -43,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import dropped, stored
+from .common import bucketed, dropped, stored
 from .phrases import least_at
 from .wordhash import _BYTE_VALUE, _prefix, mix
 
@@ -367,8 +367,10 @@ def _asked(base: DataFrame, places: DataFrame) -> DataFrame:
 
 
 def numbered_texts(docs: DataFrame) -> DataFrame:
-    """``docs`` with a number for each row, stored: ``(row, doc_id, text)``."""
-    return stored(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), "texts")
+    """``docs`` with a number for each row: ``(row, doc_id, text)``, dealt out by the
+    number, so that texts are moved once and positions go to them."""
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return bucketed(stored(rows, "texts"), "row", "texts-by-row")
 
 
 def repeated_spans(base: DataFrame, window: int = WINDOW, gap: int = GAP, gram: int = GRAM) -> DataFrame:
