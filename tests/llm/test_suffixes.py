@@ -7,6 +7,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,3 +114,15 @@ def test_registered_query(spark):
     got = sorted(map(tuple, registry.op11_suffix_dedup(spark, "/root/testdata/sf0.001").collect()), key=str)
     assert got == brute([tuple(x) for x in docs.collect()])
     assert docs.filter(F.col("text").isNull()).count() < len(got)
+
+
+@pytest.mark.parametrize("most", [50, 333, 1000])
+def test_positions_of_a_long_text_come_in_stretches(most):
+    r = random.Random(most)
+    text = "".join(r.choice("ab ") for _ in range(4000)) + "x" * 500 + "ab" * 300 + "".join(r.choice("abc ") for _ in range(3000))
+    data, offsets = np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)])
+    for window, gap, gram in ((400, 124, 16), (60, 10, 4)):
+        whole = suffixes.positions(data, offsets, window, gap, gram)
+        parts = list(suffixes._stretches(data, offsets, window, gap, gram, most))
+        assert len(parts) > 1 or most >= 1000
+        assert [np.concatenate(x).tolist() for x in zip(*parts, strict=True)] == [x.tolist() for x in whole]

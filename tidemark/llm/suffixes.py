@@ -50,6 +50,8 @@ from .wordhash import _BYTE_VALUE, _prefix, mix
 WINDOW, GAP, GRAM = 400, 124, 16
 #: Texts are cut into positions some at a time, of about so many bytes.
 CHUNK_BYTES = 1 << 18
+#: Of a longer text so many bytes are cut into positions at a time.
+LONG_BYTES = 1 << 23
 #: Fields of a place: position, doublings, bytes to the link, and bytes back to the first
 #: and the last window of the anchor (``NO_WINDOW``: it has none).
 FIELDS = {"at": 27, "k": 23, "to": 14, "lo": 7, "hi": 0}
@@ -129,13 +131,33 @@ def positions(data: np.ndarray, offsets: np.ndarray, window: int, gap: int, gram
     return row, place, name.view(np.int64)
 
 
+def _stretches(data: np.ndarray, offsets: np.ndarray, window: int, gap: int, gram: int, most: int = LONG_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``positions``, those of a very long text some at a time: what an anchor needs lies
+    less than ``gap`` before and less than two windows and a gap after it."""
+    n, lo = len(data), 0
+    if n <= most + 4 * window or len(offsets) > 2:
+        found = positions(data, offsets, window, gap, gram)
+        if len(found[0]):
+            yield found
+        return
+    while lo < n:
+        hi = lo + most if n - lo > most + 4 * window else n
+        begin = max(0, lo - gap)
+        part = data[begin : min(n, hi + 3 * window)]
+        row, place, name = positions(part, np.array([0, len(part)]), window, gap, gram)
+        at = (place >> FIELDS["at"]) + begin
+        own = (at >= lo) & (at < hi)
+        if own.any():
+            yield row[own], place[own] + (begin << FIELDS["at"]), name[own]
+        lo = hi
+
+
 def _positions(window: int, gap: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch["row"].to_numpy()
             for lo, data, offsets in _chunks(batch["text"]):
-                row, place, name = positions(data, offsets, window, gap, gram)
-                if len(row):
+                for row, place, name in _stretches(data, offsets, window, gap, gram):
                     yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(ids[lo + row]), pa.array(place)], names=["k1", "row", "place"])
 
     return run
@@ -341,8 +363,8 @@ def _digested(window: int, gap: int, each: bool):
         for batch in batches:
             for row, text, asked in zip(batch["row"], batch["text"].cast(pa.large_binary()), batch["asked"], strict=True):
                 i, view = row.as_py(), memoryview(text.as_buffer())
-                places, marks = asked.values.field("place").to_pylist(), asked.values.field("mark").to_pylist()
-                for place, mark in zip(places, marks, strict=True):
+                places, marks = (asked.values.field(c).to_numpy() for c in ("place", "mark"))
+                for place, mark in zip(map(int, places), map(int, marks), strict=True):
                     lo, hi = _span(place)
                     if each:
                         digests += [hashlib.blake2b(view[p : p + window], digest_size=16).digest() for p in range(lo, hi + 1)]
@@ -395,15 +417,20 @@ def repeated_spans(base: DataFrame, window: int = WINDOW, gap: int = GAP, gram:
     return spans
 
 
-def runs(spans: list[dict], n: int) -> list[tuple[int, int]]:
-    """The maximal runs that the spans cover, in order."""
-    out: list[list[int]] = []
-    for a, b in sorted((x["a"], x["b"]) for x in spans):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return [(a, min(b, n)) for a, b in out]
+def runs(a: np.ndarray, b: np.ndarray, n: int) -> list[tuple[int, int]]:
+    """The maximal runs that the spans from a to b cover, in order."""
+    if not len(a):
+        return []
+    order = np.argsort(a, kind="stable")
+    a, reach = a[order], np.maximum.accumulate(b[order])
+    new = np.flatnonzero(np.concatenate([[True], a[1:] > reach[:-1]]))
+    ends = reach[np.append(new[1:], len(a)) - 1]
+    return list(zip(a[new].tolist(), np.minimum(ends, n).tolist(), strict=True))
+
+
+def _spans(lists: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for x in lists:
+        yield tuple(x.values.field(c).to_numpy() for c in "ab") if x.is_valid else (np.zeros(0, np.int64),) * 2
 
 
 def _kept(text: bytes, removed: list[tuple[int, int]]) -> bytes:
@@ -420,7 +447,7 @@ def _result(digest: bool):
             for lo in range(0, batch.num_rows, 256):
                 b = batch.slice(lo, 256)
                 texts = [t or b"" for t in b["text"].cast(pa.large_binary()).to_pylist()]
-                removed = [runs(s or [], len(t)) for s, t in zip(b["_spans"].to_pylist(), texts, strict=True)]
+                removed = [runs(*s, len(t)) for s, t in zip(_spans(b["_spans"]), texts, strict=True)]
                 kept = [_kept(t, r) for t, r in zip(texts, removed, strict=True)]
                 if digest:
                     last = {"kept_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in kept])}
