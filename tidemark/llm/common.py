@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +47,15 @@ def dropped(*tables: DataFrame) -> None:
         delete(t.sparkSession, t.stored_at)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches, some rows at a time, so that a task never holds copies of the texts of
+    a whole batch; memory that Arrow keeps for later is given back at the end."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+    pa.default_memory_pool().release_unused()
+
+
 def free(name: str, df: DataFrame) -> str:
     """``name``, with underscores before it until ``df`` has no such column."""
     have = {c.lower() for c in df.columns}
@@ -58,4 +70,4 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-__all__ = ["BROADCAST_ROWS", "bucketed", "dropped", "ensure_checkpoint_dir", "free", "scratch_dir", "small", "stored", "table"]
+__all__ = ["BROADCAST_ROWS", "bucketed", "dropped", "ensure_checkpoint_dir", "free", "scratch_dir", "slices", "small", "stored", "table"]

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import dropped, stored
+from .common import dropped, slices, stored
 from .pieces import MODEL, SPACE, Pieces, best_ids, load
 
 #: Words that may be broadcast with their spelling.
@@ -53,7 +53,7 @@ STRETCH = 1 << 14
 #: Bits of what each occurrence adds to a text's digest: its sum has room for 2^32 words.
 DIGEST = (1 << 31) - 1
 #: Distinct words that a task counts at a time, and bytes of a text that it splits at a time.
-HELD, STRETCH_BYTES = 500_000, 1 << 20
+HELD, STRETCH_BYTES = 250_000, 1 << 20
 #: Bytes of a word up to which its spelling is broadcast.
 LONGEST_KNOWN = 256
 _SEPARATOR = re.compile(rb"[\x20\x09-\x0D]")
@@ -121,7 +121,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()).cast(pa.string()), pa.array([counts[w] for w in part], pa.int64())], names=["word", "count"])
 
     counts: Counter = Counter()
-    for batch in batches:
+    for batch in slices(batches):
         for text in _texts(batch["text"]):
             for words in _stretches(text or b""):
                 counts.update(words)
@@ -146,7 +146,7 @@ def _placed(shared):
             lists = [pa.array([r[6] for r in rows], pa.list_(pa.binary())).cast(pa.list_(pa.string())), pa.array([r[7] for r in rows], pa.list_(pa.int64()))]
             return pa.RecordBatch.from_arrays([*cols, *lists], names=names)
 
-        for batch in batches:
+        for batch in slices(batches):
             for row, doc_id, text in zip(batch["row"], batch["doc_id"], _texts(batch["text"]), strict=True):
                 n = pieces = exact = digest = 0
                 rare: list[bytes] = []

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import slices, stored
 
 SAMPLE = 12_000
 TERMS = 2_000
@@ -43,7 +43,7 @@ LEAST_DOCS = 5
 LEAST_Z = 3.0
 GRADES = 3
 PREFIXES = (4, 5)
-MEMO = 100_000
+MEMO = 50_000
 
 
 def features(word: bytes) -> tuple[str, ...]:
@@ -97,7 +97,7 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             s.clear()
         return out
 
-    for batch in batches:
+    for batch in slices(batches):
         for text, y in zip(batch["text"].cast(pa.large_binary()).to_pylist(), batch["toxic"].to_pylist(), strict=True):
             seen[y].update({f for w in set((text or b"").split()) for f in features(w)})
             if len(seen[0]) + len(seen[1]) > MEMO:
@@ -108,7 +108,7 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _active(terms: dict[str, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = _Finder(terms)
-        for batch in batches:
+        for batch in slices(batches):
             rows = [find(t) for t in batch["text"].cast(pa.large_binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["toxic"], pa.array(rows, pa.list_(pa.int32()))], names=["doc_id", "toxic", "terms"])
 
@@ -199,7 +199,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int = T
 def _score(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = _Finder(model.terms)
-        for batch in batches:
+        for batch in slices(batches):
             s = [model.severity(find(t)) for t in batch["text"].cast(pa.large_binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(s, pa.float64()), pa.array([x >= model.cut for x in s], pa.bool_())], names=["doc_id", "severity", "toxic"])
 
@@ -215,7 +215,7 @@ def severities(docs: DataFrame, model: Model) -> DataFrame:
 def _keep(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = _Finder(model.terms)
-        for batch in batches:
+        for batch in slices(batches):
             s = [model.severity(find(t)) < model.cut for t in batch["text"].cast(pa.large_binary()).to_pylist()]
             yield batch.filter(pa.array(s, pa.bool_()))
 
