@@ -331,6 +331,7 @@ def test_month_order_and_counts(spark):
     v = view_df(spark, [("A", D(2025, 12, 5), "10", 5.0, 1.2), ("A", D(2026, 1, 9), "10", None, 1.5), ("B", D(2026, 1, 9), "1", 5.0, None)])
     got = [tuple(r) for r in serve.signal_month_counts(v).collect()]
     assert got == [("all", 2, 3), ("12-2025", 1, 1), ("01-2026", 2, 2)]
+    assert [tuple(r) for r in serve.signal_month_counts(v.filter("false")).collect()] == [("all", 0, 0)]
     chrono = [r[0] for r in serve.signal_month_counts(v, chronological=True).collect()]
     assert chrono == ["all", "01-2026", "12-2025"]
     colors = {(r["symbol"], r["month_year"]): r["price_color"] for r in v.collect()}

@@ -103,6 +103,8 @@ def signal_month_counts(view: DataFrame, chronological: bool = False) -> DataFra
     key = month_start if chronological else F.col("month_year")
     named = F.when(F.col("_all") == 1, F.lit(ALL)).otherwise(F.col("month_year"))
     # an empty view has its row for all months as well
+    none = view.sparkSession.range(1).select(F.lit(None).cast("string").alias("month_year"), F.lit(0).cast("long").alias("symbol_count"), F.lit(0).cast("long").alias("row_count"), F.lit(1).cast("tinyint").alias("_all"))
+    counts = counts.unionByName(none).groupBy("month_year", "_all").agg(F.max("symbol_count").alias("symbol_count"), F.max("row_count").alias("row_count"))
     ordered = counts.withColumn("_key", key).select(named.alias("month_year"), "symbol_count", "row_count", "_all", "_key")
     return ordered.orderBy(F.col("_all").desc(), F.col("_key").desc()).drop("_all", "_key")
 
