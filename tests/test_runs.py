@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tidemark.operators import watchlist
-from tidemark.sources import bhavcopy, storage, widgets
+from tidemark.sources import bhavcopy, landing, storage, widgets
 from tidemark.streaming import fetch_state, ingest
 
 
@@ -50,6 +50,47 @@ def test_a_batch_that_died_before_its_commit_is_written_anew(spark, tmp_path, mo
     assert ingest.read_bronze(spark, bronze).count() == 2
 
 
+def tasks_of(spark, group):
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    return [i.numTasks for i in map(tracker.getStageInfo, stages) if i is not None]
+
+
+def test_a_folder_for_each_file_is_listed_by_a_few_tasks(spark, tmp_path):
+    """By the stream, and by the batch path; both read every file."""
+    sc, landed, bronze = spark.sparkContext, tmp_path / "landing", str(tmp_path / "bronze")
+    most = 4 * sc.defaultParallelism
+    names = [f"sec_bhavdata_full_b{i}_05012024.csv" for i in range(most + 40)]
+    for i, name in enumerate(names):
+        (landed / f"filename={name}").mkdir(parents=True)
+        (landed / f"filename={name}" / "part-0.txt").write_text(csv([f"S{i}"]))
+    query = ingest.stream_ingest(spark, str(landed), bronze, str(tmp_path / "ckpt"))
+    assert {r.SYMBOL for r in ingest.read_bronze(spark, bronze).collect()} == {f"S{i}" for i in range(len(names))}
+    assert 0 < max(tasks_of(spark, str(query.runId))) <= most
+    sc.setJobGroup("land", "")
+    try:
+        got = landing.land_files(spark, str(landed))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < max(tasks_of(spark, "land")) <= most
+    assert sorted(r.filename for r in got.select("filename").collect()) == sorted(names)
+
+
+def test_the_names_of_a_batch_are_one_file(spark, tmp_path):
+    bronze = str(tmp_path / "bronze")
+    ingest.append_batch(files(spark, [(f"{d:02}", "A") for d in range(1, 29)]).repartition(16), "q", 0, bronze)
+    found = [n for n, _ in storage.names(spark, f"{ingest.ledger_path(bronze)}/q-0")]
+    assert len([n for n in found if n.endswith(".parquet")]) == 1
+
+
+def test_landing_writes_nothing_beside_the_files(spark, tmp_path):
+    """No checksum files: on a local disk each costs a process."""
+    folder = tmp_path / "landing"
+    landing.write_landing(files(spark, [("05", "A"), ("08", "B")]), str(folder))
+    found = [p for p in folder.glob("filename=*/*") if p.is_file()]
+    assert len(found) == 2 and not [p for p in found if p.name.endswith(".crc")]
+
+
 def test_a_batch_reads_no_bronze(spark, tmp_path, monkeypatch):
     """The bronze folders of earlier batches may even be gone."""
     bronze = str(tmp_path / "bronze")
