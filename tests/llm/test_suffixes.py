@@ -126,3 +126,26 @@ def test_positions_of_a_long_text_come_in_stretches(most):
         parts = list(suffixes._stretches(data, offsets, window, gap, gram, most))
         assert len(parts) > 1 or most >= 1000
         assert [np.concatenate(x).tolist() for x in zip(*parts, strict=True)] == [x.tolist() for x in whole]
+
+
+@pytest.mark.parametrize("block", [1, 7, 100, 1 << 15])
+def test_anchors_found_in_blocks_are_those_of_a_plain_walk(monkeypatch, block):
+    monkeypatch.setattr(suffixes, "BLOCK", block, raising=False)
+    r = random.Random(block)
+    text = "".join(r.choice("ab ") for _ in range(600)) + "x" * 300 + "ab" * 200
+    data = np.frombuffer(text.encode(), np.uint8)
+    sums, down = suffixes._prefix(suffixes._BYTE_VALUE[data], "byte")
+    gap, gram = 20, 4
+    value = (suffixes.mix((sums[gram:] - sums[:-gram]) * down[: len(data) - gram + 1]) >> np.uint64(suffixes.PLACE_BITS)).tolist()
+    of_place = [min(range(x, x + gap), key=lambda i: (value[i], i)) for x in range(len(value) - gap + 1)]
+    starts, anchors = suffixes._anchors(sums, down, gap, gram)
+    want = [x for x in range(len(of_place)) if not x or of_place[x] != of_place[x - 1]]
+    assert starts.tolist() == want
+    assert anchors.tolist() == [of_place[x] for x in want]
+
+
+def test_the_table_of_a_sorts_tasks_needs_no_python_tasks(spark):
+    df = spark.createDataFrame([(i % 3, i, i) for i in range(20)], "k1 long, row long, place long")
+    found, _ = suffixes.ranked(df, ["k1"], "test")
+    assert found.count() == 20
+    assert "ExistingRDD" not in found._jdf.queryExecution().toString()
