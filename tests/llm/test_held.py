@@ -6,10 +6,11 @@ import time
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import lattice, pieces
-from tidemark.llm.common import stored
+from tidemark.llm import lattice, phrases, pieces
+from tidemark.llm.common import ARROW_ROWS, few_rows, stored
 
 
 def _shuffle_files(spark) -> set[str]:
@@ -18,6 +19,14 @@ def _shuffle_files(spark) -> set[str]:
     return {name for name in found if name.startswith("shuffle_")}
 
 
+def test_texts_go_to_python_few_rows_at_a_time(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    own = spark.conf.get(key)
+    with few_rows(spark):
+        assert int(spark.conf.get(key)) == ARROW_ROWS
+    assert spark.conf.get(key) == own
+
+
 def test_a_stored_table_leaves_no_shuffle_files(spark):
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before, own = _shuffle_files(spark), spark.conf.get(key)
@@ -32,8 +41,22 @@ def test_a_stored_table_leaves_no_shuffle_files(spark):
     assert table.count() == 97 and counts.count() == 97
 
 
-def test_edges_of_many_segments_are_folded_at_once(monkeypatch):
-    monkeypatch.setattr(lattice, "EDGES", 50)
+def test_passages_are_cut_out_some_rows_at_a_time():
+    n = 2000
+    spans = [[{"a": 1, "b": 2}] if i % 3 else None for i in range(n)]
+    kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array([f"a{i} b c" for i in range(n)]), pa.array(spans, kind)], names=["doc_id", "text", "_spans"])
+    out = list(phrases._rewrite(["doc_id", "text"], "_spans")(iter([batch])))
+    assert max(b.num_rows for b in out) <= 512
+    assert [t for b in out for t in b["text"].to_pylist()] == [f"a{i} c" if i % 3 else f"a{i} b c" for i in range(n)]
+    digests = list(phrases._digest(iter([batch])))
+    assert max(b.num_rows for b in digests) <= 512 and sum(b.num_rows for b in digests) == n
+
+
+@pytest.mark.parametrize("edges", [1, 50, 1 << 17])
+def test_edges_of_many_segments_are_folded_at_once(monkeypatch, edges):
+    # 1: the last batch of a task has been folded but for its last segment
+    monkeypatch.setattr(lattice, "EDGES", edges)
     table = pieces.load()
     r = np.random.default_rng(5)
     texts = ["".join(r.choice(list("abenorsté中"), int(r.integers(1, 20)))) for _ in range(300)]

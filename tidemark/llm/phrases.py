@@ -38,13 +38,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free, small, stored
+from .common import few_rows, free, slices, small, stored
 from .wordhash import chunks, mix
 
 WINDOW, GRAM = 50, 12
 MANY = 200
 #: An automaton is compiled for about so many phrase words at a time.
-SHARD_WORDS = 400_000
+SHARD_WORDS = 100_000
 
 _SEGMENTS = "doc_id long, tk long, h long, sh long, ats array<int>, m int"
 
@@ -66,7 +66,7 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 def _passages(window: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ids, keys = batch["doc_id"].to_numpy(), batch["tk"].to_numpy()
             for lo, w in chunks(batch["text"]):
                 n = len(w.hash)
@@ -105,7 +105,7 @@ def _words(window: int, heavy_windows: bool):
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             asked = batch["asked"].to_pylist()
             ids = batch["doc_id"].to_pylist()
             out: list[tuple] = []
@@ -195,7 +195,7 @@ def _locate(window: int):
         shard, now = _Shard(window), None
         phrases: list[tuple[bytes, int]] = []
         passages: list[tuple[int, int, bytes, int]] = []
-        for batch in batches:
+        for batch in slices(batches):
             for h, sh, salt, is_phrase, first, text in zip(*(batch[c].to_pylist() for c in ("h", "sh", "salt", "phrase", "first", "text")), strict=True):
                 if (h, salt) != now:
                     shard.add(phrases, passages)
@@ -230,7 +230,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, many
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tk"), F.col("text").cast("string").alias("text")).filter("doc_id is not null and text is not null")
     found = base.mapInArrow(_passages(window, gram), _SEGMENTS)
     recurring = found.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("h")
-    passages = stored(found.join(recurring, "h", "left_semi"), "passages")
+    with few_rows(docs.sparkSession):
+        passages = stored(found.join(recurring, "h", "left_semi"), "passages")
     owned = passages.select("h", "sh", "doc_id", "tk", F.element_at("ats", 1).alias("at"), "m")
     # an owner also says whether another document has the passage
     copied = (F.min("doc_id") < F.max("doc_id")).alias("copied")
@@ -249,7 +250,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, many
         phrases = _dealt(texts.filter(F.exists("asked", lambda x: x["salts"] > 1)).mapInArrow(_words(window, True), _WORDS))
         streams = streams.unionByName(phrases.select("h", F.lit(0).cast("long").alias("sh"), "salt", F.lit(True).alias("phrase"), "first", "text"))
     dealt = streams.repartition("h", "salt").sortWithinPartitions("h", "salt")
-    spans = stored(dealt.mapInArrow(_locate(window), _FOUND), "phrase-spans")
+    with few_rows(docs.sparkSession):
+        spans = stored(dealt.mapInArrow(_locate(window), _FOUND), "phrase-spans")
     # one row for each passage of a document, as each passage has one list of spans
     hits = passages.join(spans, ["h", "sh"]).select("doc_id", "tk", "ats", F.filter("found", lambda x: x["first"] < F.col("doc_id")).alias("found"))
     each = hits.withColumn("x", F.explode("found")).withColumn("at", F.explode("ats"))
@@ -277,7 +279,7 @@ def with_spans(docs: DataFrame, name: str, **options: int) -> DataFrame:
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches):
         n, gone, sha = [], [], []
         for text, spans in zip(b["text"].cast(pa.large_binary()).to_pylist(), b["_spans"].to_pylist(), strict=True):
             words = (text or b"").split()
@@ -297,7 +299,7 @@ def digests(docs: DataFrame, **options: int) -> DataFrame:
 
 def _rewrite(names: list[str], spans_name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             texts = []
             for text, spans in zip(b["text"].cast(pa.large_binary()).to_pylist(), b[spans_name].to_pylist(), strict=True):
                 texts.append(b" ".join(_kept(text.split(), spans)) if spans else text)
