@@ -41,6 +41,18 @@ def test_a_stored_table_leaves_no_shuffle_files(spark):
     assert table.count() == 97 and counts.count() == 97
 
 
+def test_words_are_decoded_without_the_names_in_the_plan(spark):
+    model = pieces.load()
+    texts = ["plain", "na\u00efve", "\U0001f9ff\u2581x", "\u2581", "", "plain"]
+    rows = [(i, w, pieces.viterbi(w, model) if w else []) for i, w in enumerate(texts)]
+    spelt = spark.createDataFrame(rows, "count long, word string, ids array<int>").repartition(2)
+    got = lattice.decode(spelt, model)
+    assert got.columns == ["count", "word", "ids", "decoded"]
+    assert sorted((r["count"], r.word, r.decoded) for r in got.collect()) == [(i, w, w) for i, w in enumerate(texts)]
+    # the driver keeps the descriptions of plans; the model has 32,000 names
+    assert len(got._jdf.queryExecution().toString()) < 50_000
+
+
 def test_passages_are_cut_out_some_rows_at_a_time():
     n = 2000
     spans = [[{"a": 1, "b": 2}] if i % 3 else None for i in range(n)]
