@@ -137,6 +137,22 @@ def test_token_counts_and_lattice(spark, corpus):
     assert {r.word: list(r.ids) for r in table.collect()} == spelt
 
 
+def test_every_text_has_its_ids_and_is_decoded(spark):
+    """Frequent and other words in any order, with long, odd and repeated rows."""
+    model = pieces.load()
+    rows = [(1, "the cat\tthe  zyxq the"), (1, "zyxq the \U0001f642 caf\xe9 zyxq"), (None, "qqq"), (2, None), (3, " \n"), (4, "the " * 3000 + "w" * 300 + " the"), (4, "the cat\tthe  zyxq the")]
+    rows.append((5, " ".join(f"x{i % 97}y{i}" if i % 3 else "the" for i in range(2000))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = []
+    for i, t in rows:
+        words = (t or "").encode().split()
+        ids = [x for w in words for x in pieces.viterbi(w.decode(), model)]
+        want.append((i or 0, len(words), len(ids), len(words), hashlib.sha256(b" ".join(words)).hexdigest(), ids))
+    for frequent in (200_000, 2):
+        got = lattice.digests(docs, frequent=frequent).collect()
+        assert sorted((r.doc_id or 0, r.n_words, r.n_pieces, r.n_exact, r.decoded_sha256, list(r.ids)) for r in got) == sorted(want)
+
+
 def test_viterbi_is_best():
     model = pieces.load()
     r = random.Random(3)
