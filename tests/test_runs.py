@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -91,6 +92,22 @@ def test_landing_writes_nothing_beside_the_files(spark, tmp_path):
     assert len(found) == 2 and not [p for p in found if p.name.endswith(".crc")]
 
 
+def test_landing_starts_no_process_for_a_file(spark, tmp_path):
+    """Odd names, repeated ones and texts without end are as Spark's writer has them."""
+    started = lambda: int(re.search(r"(?m)^processes (\d+)$", open("/proc/stat").read())[1])
+    raw = [(f"f{i}_05012024.csv", f"é{i}\n") for i in range(600)] + [("a/b=c d%\"[x]'{^?*#:\\.csv", "x"), ("twice.csv", "a\n"), ("twice.csv", "b"), ("none.csv", None)]
+    df = spark.createDataFrame(raw, "filename string, content string")
+    landing.write_landing(df.limit(1), str(tmp_path / "warm"))
+    before = started()
+    landing.write_landing(df, str(tmp_path / "landing"))
+    assert started() - before < 600
+    few = df.filter("filename not like 'f%' or filename like 'f7_%'")
+    few.repartition(1).write.partitionBy("filename").text(str(tmp_path / "plain"))
+    landing.write_landing(few, str(tmp_path / "few"))
+    read = lambda d: sorted((r.filename, sorted(r.content.split())) for r in landing.read_landing(spark, str(tmp_path / d)).collect())
+    assert read("few") == read("plain") and len(read("few")) == 14 and len(read("landing")) == 603
+
+
 def test_a_batch_reads_no_bronze(spark, tmp_path, monkeypatch):
     """The bronze folders of earlier batches may even be gone."""
     bronze = str(tmp_path / "bronze")
