@@ -108,6 +108,13 @@ def test_landing_starts_no_process_for_a_file(spark, tmp_path):
     assert read("few") == read("plain") and len(read("few")) == 14 and len(read("landing")) == 603
 
 
+def test_a_line_is_parsed_once(spark):
+    """The stock filter does not parse it again."""
+    raw = spark.createDataFrame([("a_05012024.csv", csv(["A"]))], "filename string, content string")
+    plan = bhavcopy.bronze_rows(raw)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_csv(") == 1
+
+
 def test_a_batch_reads_no_bronze(spark, tmp_path, monkeypatch):
     """The bronze folders of earlier batches may even be gone."""
     bronze = str(tmp_path / "bronze")
